@@ -243,9 +243,15 @@ def copy_retype(spark, sf):
     return spark.table(name)
 
 
-@query("meta_columns", "select column_name from (describe select * from lineitem)")
+@query(
+    "meta_columns",
+    """select column_name, n as values from (select count(event_id) as event_id, count(ts) as ts, count(user_id) as user_id, count(event_type) as event_type,
+    count(value) as value from (select event_id, ts, case when event_type <> 'error' then user_id end as user_id, event_type, value from events))
+    unpivot (n for column_name in (event_id, ts, user_id, event_type, value))""",
+)
 def meta_columns(spark, sf):
-    return catalog.columns_of(table(spark, sf, "lineitem")).select("column_name")
+    events = table(spark, sf, "events").withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id"))).drop("props")
+    return catalog.column_profile(events).select("column_name", "values")
 
 
 @query("meta_details")

@@ -25,10 +25,14 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
 
-def columns_of(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type, nullable."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+def column_profile(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type and number of values, counted in one pass."""
+    counts = df.agg(*[F.count(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f"c{i}").alias("values"))
+        for i, f in enumerate(df.schema.fields)
+    ])
+    return counts.select(F.inline(rows))
 
 
 def file_details(df: DataFrame) -> DataFrame:
