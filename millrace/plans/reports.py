@@ -1 +1,240 @@
+"""Questions answered end to end by several operators together."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.functions.numbers import exact_avg, net_price
+from millrace.functions.text import email_domain
+from millrace.operators import cleaning
+from millrace.operators.nesting import unnest
+from millrace.operators.quality import DROP, FAIL, Expectation
+from millrace.operators.snapshots import SnapshotTable
+from millrace.plans.registry import query
+from millrace.plans.relational import sales
+from millrace.plans.streams import incoming, stream_of
+from millrace.session import scratch
+from millrace.streaming import datasets as D
+from millrace.streaming.changes import ChangeTable
+from millrace.streaming.ingest import infer_schema, ingest
+from millrace.tables import table
+
+KINDS = ["click", "error", "purchase", "signup", "view"]
+TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@query(
+    "c_top_revenue",
+    """select o_orderpriority, round(total, 2) as total_rev, round(total / n, 2) as avg_rev from (
+        select o_orderpriority, cast(sum(cast(l_extendedprice * (1 - l_discount) as decimal(18,4))) as double) as total, count(*) as n
+        from orders join lineitem on o_orderkey = l_orderkey group by 1) order by total desc limit 3""",
+)
+def c_top_revenue(spark, sf):
+    """The three order priorities with the most revenue, with total and mean per line.
+
+    Lines are summed per order before the join, so that one row per order is joined, even for an
+    order that holds a large part of all lines.
+    """
+    per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.sum(net_price().cast("decimal(18,4)")).alias("rev"), F.count("l_extendedprice").alias("n")
+    )
+    orders = table(spark, sf, "orders").filter(F.col("o_orderpriority").isNotNull()).select("o_orderkey", "o_orderpriority")
+    totals = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(
+        F.sum("rev").cast("double").alias("total"), F.sum("n").alias("n")
+    )
+    top = totals.sort(F.col("total").desc()).limit(3)
+    return top.select("o_orderpriority", F.round("total", 2).alias("total_rev"), F.round(F.col("total") / F.col("n"), 2).alias("avg_rev"))
+
+
+@query(
+    "c_abandoned",
+    """with converted as (select distinct o_custkey from orders where o_totalprice > 400000),
+    carts as (select distinct o_custkey, l_partkey from orders join lineitem on o_orderkey = l_orderkey)
+    select l_partkey as item, count(*) as count from customer join carts on c_custkey = o_custkey
+    where c_custkey not in (select o_custkey from converted) group by 1""",
+)
+def c_abandoned(spark, sf):
+    """Items in carts of customers who never converted, with the number of such customers.
+
+    A cart is a set of (customer, item) pairs rather than an array per customer: the result is
+    the same, and a customer with very many items needs no more room in a task than others.
+    """
+    orders = table(spark, sf, "orders")
+    converted = orders.filter("o_totalprice > 400000").select("o_custkey").distinct().withColumn("converted", F.lit(True))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    undecided = customers.join(converted, "o_custkey", "left").na.fill(False).filter(~F.col("converted")).select("o_custkey")
+    placed = orders.select("o_orderkey", "o_custkey").join(undecided, "o_custkey")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"))
+    carts = placed.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "item").distinct()
+    return carts.groupBy("item").count().sort("item")
+
+
+@query(
+    "c_clickpath",
+    """with p as (select user_id, count(*) filter (event_type = 'click') as click, count(*) filter (event_type = 'error') as error,
+        count(*) filter (event_type = 'purchase') as purchase, count(*) filter (event_type = 'signup') as signup, count(*) filter (event_type = 'view') as view
+        from events group by 1)
+    select p.*, l_orderkey, l_partkey, l_quantity from p join orders on o_custkey = user_id join lineitem on l_orderkey = o_orderkey""",
+)
+def c_clickpath(spark, sf):
+    """Counts of each kind of event per user, next to each item the user bought."""
+    paths = table(spark, sf, "events").groupBy("user_id").pivot("event_type", KINDS).count().na.fill(0, KINDS)
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
+    bought = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
+    return paths.join(orders, "user_id").join(bought, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
+
+
+@query(
+    "c_item_pivot",
+    """select l_orderkey, sum(l_quantity) filter (p_type = 'ECONOMY') as economy, sum(l_quantity) filter (p_type = 'LARGE') as large,
+    sum(l_quantity) filter (p_type = 'MEDIUM') as medium, sum(l_quantity) filter (p_type = 'PROMO') as promo,
+    sum(l_quantity) filter (p_type = 'SMALL') as small, sum(l_quantity) filter (p_type = 'STANDARD') as standard
+    from lineitem join part on l_partkey = p_partkey group by 1""",
+)
+def c_item_pivot(spark, sf):
+    """Quantity per order and kind of part, from nested sales."""
+    items = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
+    typed = items.join(table(spark, sf, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return typed.groupBy("l_orderkey").pivot("p_type", TYPES).sum("l_quantity").toDF("l_orderkey", *[t.lower() for t in TYPES])
+
+
+@query(
+    "c_clean_users",
+    """with dirty as (select case when event_type <> 'error' then user_id end as user_id, date_trunc('hour', ts) as first_touch,
+        case when value > 10 then 'u' || user_id || '@' || event_type || '.example.com' end as email from events),
+    clean as (select user_id, first_touch, max(email) as email from dirty where user_id is not null group by 1, 2)
+    select user_id, first_touch, email, strftime(first_touch, '%b %-d, %Y') as first_touch_date, strftime(first_touch, '%H:%M:%S') as first_touch_time,
+    split_part(email, '@', 2) as email_domain, (select count(*) from dirty where user_id is null) as user_id_nulls,
+    (select count(*) from dirty where email is null) as email_nulls, true as no_duplicates from clean""",
+)
+def c_clean_users(spark, sf):
+    """Count gaps, drop and collapse, check uniqueness, derive date, time and domain."""
+    dirty = table(spark, sf, "events").select(
+        F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("first_touch"),
+        F.when(F.col("value") > 10, F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@"), "event_type", F.lit(".example.com"))).alias("email"),
+    )
+    clean = cleaning.collapse(dirty, ["user_id", "first_touch"], ["email"])
+    derived = clean.withColumns({
+        "first_touch_date": F.date_format("first_touch", "MMM d, yyyy"), "first_touch_time": F.date_format("first_touch", "HH:mm:ss"), "email_domain": email_domain("email"),
+    })
+    # Both checks are one row each.
+    facts = cleaning.null_counts(dirty, ["user_id", "email"]).withColumn("one", F.lit(1))
+    unique = cleaning.is_unique(clean, ["user_id", "first_touch"]).withColumn("one", F.lit(1))
+    return derived.withColumn("one", F.lit(1)).join(F.broadcast(facts), "one").join(F.broadcast(unique), "one").drop("one")
+
+
+@query(
+    "c_user_summary",
+    """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as total_records, cast(sum(cast(value as decimal(18,4))) as double) / count(value) as mean_value
+    from events group by 1""",
+)
+def c_user_summary(spark, sf):
+    return table(spark, sf, "events").groupBy("user_id").agg(
+        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("total_records"), exact_avg("value").alias("mean_value")
+    ).orderBy("user_id")
+
+
+@query("c_medallion_orders", "select cast(cast(o_orderdate as date) as varchar) as order_date, count(*) as total_daily_orders from orders group by 1")
+def c_medallion_orders(spark, sf):
+    """Raw files to typed stream, to checked stream, to daily counts."""
+    source = incoming(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("order_timestamp")))
+    schema = infer_schema(spark, source, infer_types=True, hints={"order_timestamp": "timestamp_ntz"})
+    sets = D.Datasets(spark, scratch(spark, "sets"), {"source": source})
+
+    @sets.dataset(D.STREAM, properties={"quality": "bronze"})
+    def orders_bronze(s):
+        return ingest(spark, s.parameters["source"], schema)
+
+    @sets.dataset(D.STREAM, expectations=[Expectation("valid_date", "order_timestamp > '1990-01-01'", FAIL)], comment="orders with a valid time")
+    def orders_silver(s):
+        return s.read_stream("orders_bronze").drop("source_file", "_rescued_data")
+
+    @sets.dataset(D.TABLE)
+    def orders_by_date(s):
+        return s.read("orders_silver").groupBy(F.to_date("order_timestamp").cast("string").alias("order_date")).agg(F.count(F.lit(1)).alias("total_daily_orders"))
+
+    sets.run()
+    return sets.read("orders_by_date")
+
+
+def customers_silver(spark, sf):
+    """Latest state of each user from a feed of changes, after five rules."""
+    changes = table(spark, sf, "events").select(
+        F.col("user_id").alias("customer_id"), "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("changed_at"), F.col("event_type").alias("state"),
+        F.when(F.col("value") > 5, F.concat(F.lit("user "), F.col("user_id").cast("string"))).alias("name"),
+        F.when(F.col("value") > 3, F.concat(F.lit("u"), F.col("event_id").cast("string"), F.lit("@example.com"))).otherwise(F.lit("none")).alias("email"),
+        F.when(F.col("event_type") == "error", "DELETE").when(F.col("event_type") != "signup", "UPDATE").alias("operation"),
+    )
+    source = incoming(spark, changes)
+    rules = [
+        Expectation("valid_id", "customer_id IS NOT NULL", FAIL), Expectation("valid_operation", "operation IS NOT NULL", DROP),
+        Expectation("valid_name", "name IS NOT NULL OR operation = 'DELETE'"), Expectation("valid_state", "state IS NOT NULL OR operation = 'DELETE'"),
+        Expectation("valid_email", r"email RLIKE r'^([a-zA-Z0-9_\-\.]+)@([a-zA-Z0-9_\-\.]+)\.([a-zA-Z]{2,5})$' OR operation = 'DELETE'", DROP),
+    ]
+    schema = changes.schema
+    sets = D.Datasets(spark, scratch(spark, "sets"), {"source": source})
+
+    @sets.dataset(D.STREAM)
+    def customers_bronze(s):
+        return ingest(spark, s.parameters["source"], schema)
+
+    @sets.dataset(D.STREAM, expectations=rules)
+    def customers_bronze_clean(s):
+        return s.read_stream("customers_bronze")
+
+    sets.run()
+    silver = ChangeTable(
+        spark, scratch(spark, "changes"), ["customer_id"], F.struct("changed_at", "event_id"), delete_when="operation = 'DELETE'",
+        except_columns=["operation", "source_file", "processing_time", "_rescued_data"],
+    )
+    silver.apply_stream(sets.read_stream("customers_bronze_clean"), scratch(spark, "checkpoint"))
+    return silver.current()
+
+
+SILVER = """silver as (select user_id as customer_id, state, email from (
+    select user_id, event_type as state, 'u' || event_id || '@example.com' as email, event_type = 'error' as gone,
+        row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+    from events where event_type <> 'signup' and (value > 3 or event_type = 'error')) where rn = 1 and not gone)"""
+
+
+@query("c_cdc_counts", f"with {SILVER} select state, count(*) as customer_count from silver group by 1")
+def c_cdc_counts(spark, sf):
+    return customers_silver(spark, sf).groupBy("state").agg(F.count(F.lit(1)).alias("customer_count"))
+
+
+@query(
+    "c_cdc",
+    f"""with {SILVER} select l_orderkey as order_id, l_linestatus as status, l_shipdate as status_time, email from lineitem
+    join orders on o_orderkey = l_orderkey join silver on o_custkey = customer_id where o_orderpriority in ('1-URGENT', '2-HIGH') and l_shipdate > timestamp '1996-01-01'""",
+)
+def c_cdc(spark, sf):
+    """Status changes of orders, with the current e-mail of customers who want to be told."""
+    silver = customers_silver(spark, sf)
+    wanted = table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    emails = wanted.alias("a").join(silver.alias("b"), F.col("a.o_custkey") == F.col("b.customer_id")).select(F.col("a.o_orderkey").alias("order_id"), "b.email")
+    status = table(spark, sf, "lineitem").filter("l_shipdate > TIMESTAMP_NTZ '1996-01-01'").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linestatus").alias("status"), F.col("l_shipdate").alias("status_time")
+    )
+    return status.alias("a").join(emails.alias("b"), "order_id").select("a.*", "b.email")
+
+
+@query(
+    "c_daily_mean",
+    """select user_id as mrn, c_name as name, cast(cast(ts as date) as varchar) as day, cast(sum(cast(value as decimal(18,4))) as double) / count(*) as avg_rate
+    from events join customer on user_id = c_custkey where value > 5 group by 1, 2, 3""",
+)
+def c_daily_mean(spark, sf):
+    """Recordings joined to patients as streams, bad values dropped, then the mean per patient and day."""
+    recordings = stream_of(spark, table(spark, sf, "events").select(F.col("user_id").alias("mrn"), "event_id", "ts", "value"))
+    patients = stream_of(spark, table(spark, sf, "customer").select(F.col("c_custkey").alias("mrn"), F.col("c_name").alias("name")))
+    sets = D.Datasets(spark, scratch(spark, "sets"))
+
+    @sets.dataset(D.STREAM, expectations=[Expectation("positive", "value > 5", DROP)])
+    def recordings_enriched(s):
+        return D.enrich_stream(recordings, patients, ["mrn"], salts=4)
+
+    sets.run()
+    daily = sets.read_stream("recordings_enriched").groupBy("mrn", "name", F.to_date("ts").cast("string").alias("day")).agg(exact_avg("value").alias("avg_rate"))
+    target = SnapshotTable(spark, scratch(spark, "snapshot"))
+    D.running_aggregate(daily, target, scratch(spark, "checkpoint"))
+    return target.read()

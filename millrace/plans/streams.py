@@ -1 +1,292 @@
+"""Incremental ingestion, streaming and materialised tables, change feeds, declared datasets."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.operators.quality import DROP, Expectation
+from millrace.operators.snapshots import SnapshotTable
+from millrace.plans.registry import query
+from millrace.plans.relational import sales
+from millrace.session import scratch
+from millrace.streaming import datasets as D
+from millrace.streaming.changes import ChangeTable
+from millrace.streaming.ingest import infer_schema, ingest
+from millrace.tables import table
+
+
+def incoming(spark, df, file_type: str = "json") -> str:
+    """The rows as files in a folder a stream can watch."""
+    path = scratch(spark, "incoming")
+    writer = df.write.option("header", True) if file_type == "csv" else df.write
+    writer.format(file_type).save(path)
+    return path
+
+
+def stream_of(spark, df):
+    """A table as a stream of Parquet files."""
+    return spark.readStream.schema(df.schema).parquet(incoming(spark, df, "parquet"))
+
+
+def run(spark, stream):
+    """Process all input there is, and read the result."""
+    path = scratch(spark, "stream")
+    D.append_stream(stream, path, scratch(spark, "checkpoint"))
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+FEED_SCHEMA = T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, o_totalprice double")
+
+# ---- ingestion ----------------------------------------------------------------------------------
+
+
+def feed(spark, sf):
+    """Order records as JSON lines: some with an extra key, some with a price that is no number."""
+    note = F.when(F.col("o_orderstatus") == "P", F.lit("call first")).alias("note")
+    good = F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_totalprice", note))
+    bad = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.lit("unknown").alias("o_totalprice"), note))
+    path = scratch(spark, "incoming")
+    table(spark, sf, "orders").select(F.when(F.col("o_orderpriority") == "1-URGENT", bad).otherwise(good).alias("value")).write.text(path)
+    return path
+
+
+RESCUED = """select o_orderkey, o_orderstatus, case when o_orderpriority <> '1-URGENT' then o_totalprice end as o_totalprice,
+    case when o_orderpriority = '1-URGENT' then 'unknown' end as bad_price, case when o_orderstatus = 'P' then 'call first' end as extra, true as has_source from orders"""
+
+
+def rescued(df):
+    return df.select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.get_json_object("_rescued_data", "$.o_totalprice").alias("bad_price"),
+        F.get_json_object("_rescued_data", "$.note").alias("extra"), (F.col("source_file").isNotNull() & F.col("processing_time").isNotNull()).alias("has_source"),
+    )
+
+
+@query("st_ingest", RESCUED)
+def st_ingest(spark, sf):
+    """Values that do not fit the schema are rescued, in the stream."""
+    return run(spark, rescued(ingest(spark, feed(spark, sf), FEED_SCHEMA)))
+
+
+@query("st_ingest_batch", RESCUED)
+def st_ingest_batch(spark, sf):
+    return rescued(ingest(spark, feed(spark, sf), FEED_SCHEMA, stream=False))
+
+
+@query("st_ingest_inferred", "select o_orderkey, o_orderstatus, cast(o_totalprice as varchar) is not null as priced, cast(o_orderkey as varchar) as as_text from orders")
+def st_ingest_inferred(spark, sf):
+    """Types inferred, with a hint for one column; and all strings without inference."""
+    path = incoming(spark, table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
+    typed = infer_schema(spark, path, infer_types=True, hints={"o_totalprice": "decimal(12,2)"})
+    texts = infer_schema(spark, path)
+    rows = run(spark, ingest(spark, path, typed).select("o_orderkey", "o_orderstatus", F.col("o_totalprice").isNotNull().alias("priced")))
+    strings = run(spark, ingest(spark, path, texts).select(F.col("o_orderkey").alias("as_text")))
+    return rows.join(strings, F.col("o_orderkey").cast("string") == F.col("as_text"))
+
+
+@query("st_ingest_csv", "select c_custkey, c_name, c_acctbal, true as has_source from customer")
+def st_ingest_csv(spark, sf):
+    path = incoming(spark, table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), "csv")
+    schema = infer_schema(spark, path, "csv", infer_types=True, hints={"c_custkey": "bigint"})
+    return run(spark, ingest(spark, path, schema, "csv").select("c_custkey", "c_name", "c_acctbal", F.col("source_file").isNotNull().alias("has_source")))
+
+
+# ---- streaming and materialised tables ----------------------------------------------------------
+
+
+@query("st_append", "select event_type, count(*) as n from events group by 1")
+def st_append(spark, sf):
+    """Input is read once, however often the stream is run; later files are added."""
+    events = table(spark, sf, "events")
+    source, target, checkpoint = scratch(spark, "incoming"), scratch(spark, "stream"), scratch(spark, "checkpoint")
+    events.filter("event_type <> 'click'").write.parquet(source)
+    for _ in range(2):
+        D.append_stream(spark.readStream.schema(events.schema).parquet(source), target, checkpoint)
+    events.filter("event_type = 'click'").write.mode("append").parquet(source)
+    D.append_stream(spark.readStream.schema(events.schema).parquet(source), target, checkpoint)
+    return spark.read.schema(events.schema).parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("st_materialised", "select user_id, max(value) as top from events group by 1")
+def st_materialised(spark, sf):
+    """Recomputed on each refresh, so it equals its query on the newest input."""
+    sets = D.Datasets(spark, scratch(spark, "sets"))
+    events, limit = table(spark, sf, "events"), {"low": True}
+
+    @sets.dataset(D.TABLE)
+    def top_values(s):
+        rows = events.filter("event_type = 'click'") if limit["low"] else events
+        return rows.groupBy("user_id").agg(F.max("value").alias("top"))
+
+    sets.run()
+    limit["low"] = False
+    sets.run()
+    return sets.read("top_values")
+
+
+@query("st_view", "select event_id, value from events where value > 20 and event_type = 'view'")
+def st_view(spark, sf):
+    """A view is not stored; it is read through the datasets that use it."""
+    sets = D.Datasets(spark, scratch(spark, "sets"))
+
+    @sets.dataset(D.VIEW)
+    def views_only(s):
+        return table(spark, sf, "events").filter("event_type = 'view'")
+
+    @sets.dataset(D.TABLE)
+    def large_views(s):
+        return s.read("views_only").filter("value > 20").select("event_id", "value")
+
+    sets.run()
+    return sets.read("large_views")
+
+
+@query("st_params", "select event_id, value from events where event_type = 'purchase' and value > 30")
+def st_params(spark, sf):
+    """What differs between runs comes in as parameters."""
+    sets = D.Datasets(spark, scratch(spark, "sets"), {"source": f"{sf}/events.parquet", "kind": "purchase", "least": "30"})
+
+    @sets.dataset(D.TABLE)
+    def chosen(s):
+        events = spark.read.parquet(s.parameters["source"])
+        return spark.sql(
+            "SELECT event_id, value FROM {events} WHERE event_type = :kind AND value > CAST(:least AS DOUBLE)",
+            args={k: s.parameters[k] for k in ("kind", "least")}, events=events,
+        )
+
+    sets.run()
+    return sets.read("chosen")
+
+
+@query(
+    "st_graph",
+    """select c_mktsegment, count(*) as orders from orders join customer on o_custkey = c_custkey where o_totalprice > 100000 group by 1""",
+)
+def st_graph(spark, sf):
+    """Declared in any order: a streaming table with a rule, a view over two datasets, a table over the view."""
+    sets = D.Datasets(spark, scratch(spark, "sets"))
+    customer, source = table(spark, sf, "customer"), stream_of(spark, table(spark, sf, "orders"))
+
+    @sets.dataset(D.TABLE, comment="orders per segment", properties={"quality": "gold"})
+    def per_segment(s):
+        return s.read("placed").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("orders"))
+
+    @sets.dataset(D.VIEW)
+    def placed(s):
+        return s.read("good_orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+
+    @sets.dataset(D.STREAM, expectations=[Expectation("large", "o_totalprice > 100000", DROP)], properties={"quality": "silver"})
+    def good_orders(s):
+        return source
+
+    sets.run()
+    return sets.read("per_segment")
+
+
+@query("st_agg", "select event_type, count(*) as n, max(value) as top, min(user_id) as low_user from events group by 1")
+def st_agg(spark, sf):
+    """A running aggregate: two runs over growing input give the aggregate over all of it."""
+    events = table(spark, sf, "events")
+    source, checkpoint = scratch(spark, "incoming"), scratch(spark, "checkpoint")
+    target = SnapshotTable(spark, scratch(spark, "snapshot"))
+
+    def refresh():
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        D.running_aggregate(
+            stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"), F.min("user_id").alias("low_user")), target, checkpoint
+        )
+
+    events.filter("value <= 10").write.parquet(source)
+    refresh()
+    events.filter("value > 10").write.mode("append").parquet(source)
+    refresh()
+    return target.read()
+
+
+# ---- stream joins -------------------------------------------------------------------------------
+
+
+@query(
+    "st_static_join",
+    """select o_orderkey, c_name, c_mktsegment from orders left join (select c_custkey, c_name, c_mktsegment, c_nationkey from customer where c_acctbal > 0) on o_custkey = c_custkey
+    and o_orderstatus <> 'P'""",
+)
+def st_static_join(spark, sf):
+    """A stream of orders, left-joined to a table on two keys."""
+    customer = table(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name", "c_mktsegment", F.lit(True).alias("confirmed"))
+    orders = stream_of(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderstatus") != "P").alias("is_confirmed")))
+    on = (F.col("o_custkey") == F.col("c_custkey")) & (F.col("is_confirmed") == F.col("confirmed"))
+    return run(spark, orders.join(customer, on, "left").select("o_orderkey", "c_name", "c_mktsegment"))
+
+
+@query("st_stream_join", "select event_id, c_name, value from events join customer on user_id = c_custkey")
+def st_stream_join(spark, sf):
+    """Two streams; customers, the smaller side, are held four times so that a busy user's events spread over four tasks."""
+    events = stream_of(spark, table(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), "value"))
+    customers = stream_of(spark, table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name"))
+    return run(spark, D.enrich_stream(events, customers, ["id"], salts=4).select("event_id", "c_name", "value"))
+
+
+@query(
+    "st_gold_city",
+    """select n_name as city, cast(cast(o_orderdate as date) as varchar) as order_date, cast(sum(cast(l_extendedprice as decimal(18,4))) as double) as sales,
+    sum(l_quantity) as quantity, count(l_partkey) as product_count
+    from orders join lineitem on o_orderkey = l_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+    where n_name in ('NATION_3', 'NATION_7') group by 1, 2""",
+)
+def st_gold_city(spark, sf):
+    """Nested orders of chosen cities, exploded and summed by day."""
+    return gold_by_city(placed_sales(spark, sf), ["NATION_3", "NATION_7"])
+
+
+def placed_sales(spark, sf):
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    customer = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "city")
+    orders = table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return orders.join(sales(spark, sf), F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "city", F.to_date("o_orderdate").cast("string").alias("order_date"), F.col("items").alias("ordered_products")
+    )
+
+
+def gold_by_city(orders, cities):
+    each = orders.filter(F.col("city").isin(cities)).select("city", "order_date", F.explode("ordered_products").alias("p"))
+    return each.groupBy("city", "order_date").agg(
+        F.sum(F.col("p.l_extendedprice").cast("decimal(18,4)")).cast("double").alias("sales"), F.sum("p.l_quantity").alias("quantity"),
+        F.count("p.l_partkey").alias("product_count"),
+    )
+
+
+# ---- change feeds -------------------------------------------------------------------------------
+
+
+def event_changes(spark, sf):
+    return table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+
+
+def user_state(spark, **options):
+    return ChangeTable(
+        spark, scratch(spark, "changes"), ["user_id"], F.struct("ts", "event_id"), delete_when="event_type = 'error'", except_columns=["ts"], **options
+    )
+
+
+LATEST = """select user_id, event_id, event_type, value from (
+    select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1 and event_type <> 'error'"""
+
+
+@query("st_scd1", LATEST)
+def st_scd1(spark, sf):
+    """Latest event per user wins, an error deletes the user, as a stream."""
+    target = user_state(spark)
+    target.apply_stream(stream_of(spark, event_changes(spark, sf)), scratch(spark, "checkpoint"))
+    return target.current()
+
+
+@query("st_scd1_late", LATEST)
+def st_scd1_late(spark, sf):
+    """The same state when the newest changes come first and one batch comes twice, folded on the way."""
+    target = user_state(spark, compact_every=2)
+    changes = event_changes(spark, sf)
+    for condition in ("value > 20", "value > 10 AND value <= 20", "value > 20", "value <= 10"):
+        target.apply(changes.filter(condition))
+    return target.current()
 
