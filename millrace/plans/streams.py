@@ -36,7 +36,9 @@ def run(spark, stream):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-FEED_SCHEMA = T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, o_totalprice double")
+FEED_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType())
+])
 
 # ---- ingestion ----------------------------------------------------------------------------------
 
