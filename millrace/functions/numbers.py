@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 
 def exact_sum(value: Column | str, scale: int = 4) -> Column:
-    """Sum of doubles that does not depend on the order in which partitions arrive.
+    """Sum of doubles, each rounded to ``scale`` places, that does not depend on their order.
 
-    Adding as decimal is exact, so a retried or re-split task cannot change the last digits.
+    The values are added as whole numbers, so a retried or re-split task cannot change the last
+    digits. The running sum is a 28-digit decimal and does not overflow.
     """
     value = F.col(value) if isinstance(value, str) else value
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+    whole = F.rint(value * 10**scale).cast("long").cast("decimal(18,0)")
+    return F.sum(whole).cast("double") / 10**scale
 
 
 def exact_avg(value: Column | str, scale: int = 4) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 100_000  # more large keys than this are joined by shuffle
+
 
 def nest_rows(
     rows: DataFrame, keys: list[str], items: Column, into: str = "items", document_limit: int = 10_000
@@ -13,21 +17,23 @@ def nest_rows(
 
     Keys with at most ``document_limit`` rows give one document. A larger key is split evenly
     over as many documents as it needs, so no task ever gathers an unbounded group, and no
-    row is lost; ``part`` numbers a key's documents. The row counts are partial aggregates, and
-    only keys over the limit reach the join, so at most one row in ``document_limit`` is joined.
+    row is lost; ``part`` numbers a key's documents.
+
+    Whether there are such keys is looked up first, by a partial aggregation over the keys
+    alone. Mostly there are none, and the rows are then shuffled once, without a join.
     """
     large = (
         rows.groupBy(*keys).count().filter(F.col("count") > document_limit)
         .select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("count") / document_limit).alias("__parts"))
     )
-    same_key = None
-    for k in keys:
-        term = F.col(k).eqNullSafe(F.col(f"__{k}"))
-        same_key = term if same_key is None else same_key & term
-    numbered = rows.withColumn("__row", F.monotonically_increasing_id())
-    split = numbered.join(large, same_key, "left").withColumn(
-        "part", F.coalesce(F.pmod("__row", F.col("__parts")), F.lit(0))
-    )
+    found = large.count()
+    if found == 0:
+        split = rows.withColumn("part", F.lit(0).cast("long"))
+    else:
+        same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        numbered = rows.withColumn("__row", F.monotonically_increasing_id())
+        side = F.broadcast(large) if found <= BROADCAST_KEYS else large
+        split = numbered.join(side, same_key, "left").withColumn("part", F.coalesce(F.pmod("__row", F.col("__parts")), F.lit(0)))
     return split.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(items)).alias(into))
 
 

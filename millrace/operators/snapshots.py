@@ -4,11 +4,12 @@ A part is a folder of Parquet files (one per partition value for partitioned tab
 written once and never changed. A version is a list of parts. A change writes the rows it
 makes, then adds a history row naming the parts that are still valid and the new ones. So
 appending and restoring move no old data, and update, delete and merge rewrite only those
-parts that hold a row they touch. History rows are few (one per change) and are the only thing
-read on the driver.
+parts that hold a row they touch. The history has one small JSON file per version; the newest
+one is the only thing the driver reads.
 
-One writer at a time: a second one is not detected. A write that fails before its history row
-leaves files that no version names; the next write to that version number replaces them.
+One writer at a time: a second one that commits the same version is refused, but its files may
+already have replaced the first one's uncommitted ones. A write that fails before its history
+row leaves files that no version names; the next write to that version number replaces them.
 """
 
 from __future__ import annotations
@@ -68,23 +69,28 @@ class SnapshotTable:
         """Version, time, operation and row counts of each change."""
         return self._log().select("version", "committed_at", "operation", "rows_added", "rows_removed", "row_count", "comment")
 
-    def _entry(self, version: int | None = None, as_of: datetime | None = None):
-        log = self._log()
-        if version is not None:
-            log = log.filter(F.col("version") == version)
+    def _versions(self) -> list[int]:
+        names = storage.file_names(self.spark, f"{self.root}/history")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def _history_file(self, version: int) -> str:
+        return f"{self.root}/history/{version:020d}.json"
+
+    def _entry(self, version: int | None = None, as_of: datetime | None = None) -> dict:
         if as_of is not None:
-            log = log.filter(F.col("committed_at") <= F.lit(as_of))
-        row = log.orderBy(F.desc("version")).limit(1).collect()
-        if not row:
-            raise ValueError(f"{self.root} has no version {version if version is not None else as_of}")
-        return row[0]
+            version = self._log().filter(F.col("committed_at") <= F.lit(as_of)).agg(F.max("version")).first()[0]
+        elif version is None and self.exists():
+            version = max(self._versions(), default=None)
+        if version is None or not storage.exists(self.spark, self._history_file(version)):
+            raise ValueError(f"{self.root} has no version {version if as_of is None else as_of}")
+        return json.loads(storage.read_text(self.spark, self._history_file(version)))
 
     def version(self) -> int:
-        return self._entry()["version"]
+        return max(self._versions())
 
     def previous_version(self) -> int | None:
-        row = self._log().orderBy(F.desc("version")).limit(2).collect()
-        return row[1]["version"] if len(row) > 1 else None
+        versions = self._versions()
+        return versions[-2] if len(versions) > 1 else None
 
     def has_tag(self, tag: str) -> bool:
         return self.exists() and not self._log().filter(F.col("tag") == tag).isEmpty()
@@ -156,20 +162,24 @@ class SnapshotTable:
             leaves = [f"v={version}/{leaf}".rstrip("/") for leaf in storage.leaf_folders(self.spark, target)]
             new = [{"root": self.root, "path": leaf, "rows": None} for leaf in leaves]
             # Row counts come from the written files' footers: exact even if tasks were retried.
-            counted = {
-                r["__part"]: r["count"] for r in self._read_parts(new, schema, True).groupBy("__part").count().collect()
-            } if new else {}
-            for part in new:
-                part["rows"] = counted.get(self._part_label(part), 0)
+            if len(new) == 1:
+                new[0]["rows"] = self._read_parts(new, schema).count()
+            elif new:
+                counts = self._read_parts(new, schema, True).groupBy("__part").count().collect()
+                counted = {r["__part"]: r["count"] for r in counts}
+                for part in new:
+                    part["rows"] = counted.get(self._part_label(part), 0)
             parts += [p for p in new if p["rows"]]
         before = sum(p["rows"] for p in previous["parts"]) if previous else 0
         kept = sum(p["rows"] for p in keep)
         after = sum(p["rows"] for p in parts)
-        entry = (
-            version, datetime.now(timezone.utc), operation, after - kept, max(before - kept, 0), after,
-            [(p["root"], p["path"], p["rows"]) for p in parts], partition_by, schema.json(), constraints, generated, comment, tag,
-        )
-        self.spark.createDataFrame([entry], HISTORY_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/history")
+        entry = {
+            "version": version, "committed_at": datetime.now(timezone.utc).isoformat(), "operation": operation,
+            "rows_added": after - kept, "rows_removed": max(before - kept, 0), "row_count": after, "parts": parts,
+            "partition_by": partition_by, "schema": schema.json(), "constraints": constraints, "generated": generated,
+            "comment": comment, "tag": tag,
+        }
+        storage.create_text(self.spark, self._history_file(version), json.dumps(entry))
         return version
 
     def _again(self, previous, operation: str, rows: DataFrame | None, keep: list, schema=None, tag=None) -> int:

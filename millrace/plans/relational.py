@@ -320,6 +320,12 @@ def a_multi_key(spark, sf):
     return customer_places(spark, sf).groupBy("geo.n_name", "geo.r_name").count()
 
 
+@query("a_sum_avg", "select l_returnflag, sum(l_linenumber)::bigint as lines, avg(l_quantity) as avg_qty from lineitem group by 1")
+def a_sum_avg(spark, sf):
+    grouped = table(spark, sf, "lineitem").groupBy("l_returnflag").agg({"l_linenumber": "sum", "l_quantity": "avg"})
+    return grouped.withColumnsRenamed({"sum(l_linenumber)": "lines", "avg(l_quantity)": "avg_qty"})
+
+
 @query("a_sum", "select l_returnflag, sum(l_linenumber)::bigint as lines, sum(l_quantity) as qty from lineitem group by 1")
 def a_sum(spark, sf):
     """Whole-number values: the sums are exact in any order."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_avg, net_price
+from millrace.functions.numbers import exact_avg, exact_sum, net_price
 from millrace.functions.text import email_domain
 from millrace.operators import cleaning
 from millrace.operators.nesting import unnest
+from millrace.operators.pivot import pivot_listed
 from millrace.operators.quality import DROP, FAIL, Expectation
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
@@ -30,20 +31,14 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
         from orders join lineitem on o_orderkey = l_orderkey group by 1) order by total desc limit 3""",
 )
 def c_top_revenue(spark, sf):
-    """The three order priorities with the most revenue, with total and mean per line.
-
-    Lines are summed per order before the join, so that one row per order is joined, even for an
-    order that holds a large part of all lines.
-    """
-    per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(net_price().cast("decimal(18,4)")).alias("rev"), F.count("l_extendedprice").alias("n")
-    )
-    orders = table(spark, sf, "orders").filter(F.col("o_orderpriority").isNotNull()).select("o_orderkey", "o_orderpriority")
-    totals = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(
-        F.sum("rev").cast("double").alias("total"), F.sum("n").alias("n")
+    """The three order priorities with the most revenue, with total and mean per line."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", net_price().alias("rev")).filter(F.col("rev").isNotNull())
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    totals = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(
+        exact_sum("rev").alias("total"), exact_avg("rev").alias("mean")
     )
     top = totals.sort(F.col("total").desc()).limit(3)
-    return top.select("o_orderpriority", F.round("total", 2).alias("total_rev"), F.round(F.col("total") / F.col("n"), 2).alias("avg_rev"))
+    return top.select("o_orderpriority", F.round("total", 2).alias("total_rev"), F.round("mean", 2).alias("avg_rev"))
 
 
 @query(
@@ -78,7 +73,7 @@ def c_abandoned(spark, sf):
 )
 def c_clickpath(spark, sf):
     """Counts of each kind of event per user, next to each item the user bought."""
-    paths = table(spark, sf, "events").groupBy("user_id").pivot("event_type", KINDS).count().na.fill(0, KINDS)
+    paths = pivot_listed(table(spark, sf, "events"), ["user_id"], "event_type", KINDS, F.count, F.lit(1))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     bought = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
     return paths.join(orders, "user_id").join(bought, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
@@ -95,7 +90,7 @@ def c_item_pivot(spark, sf):
     """Quantity per order and kind of part, from nested sales."""
     items = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
     typed = items.join(table(spark, sf, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    return typed.groupBy("l_orderkey").pivot("p_type", TYPES).sum("l_quantity").toDF("l_orderkey", *[t.lower() for t in TYPES])
+    return pivot_listed(typed, ["l_orderkey"], "p_type", TYPES, F.sum, "l_quantity")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.numbers import exact_sum
 from millrace.operators.quality import DROP, Expectation
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
@@ -253,7 +254,7 @@ def placed_sales(spark, sf):
 def gold_by_city(orders, cities):
     each = orders.filter(F.col("city").isin(cities)).select("city", "order_date", F.explode("ordered_products").alias("p"))
     return each.groupBy("city", "order_date").agg(
-        F.sum(F.col("p.l_extendedprice").cast("decimal(18,4)")).cast("double").alias("sales"), F.sum("p.l_quantity").alias("quantity"),
+        exact_sum("p.l_extendedprice").alias("sales"), F.sum("p.l_quantity").alias("quantity"),
         F.count("p.l_partkey").alias("product_count"),
     )
 

@@ -1,10 +1,13 @@
 """Folder-level file-system calls, through the Hadoop client Spark itself uses.
 
-They see folders and file sizes, never rows, and work on any store Spark can write to.
+They see folders, file sizes and small text files, never rows, and work on any store Spark can
+write to.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +21,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop_path = _open(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as one history row."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet. It appears under its name only when complete."""
+    fs, hadoop_path = _open(spark, path)
+    if fs.exists(hadoop_path):
+        raise FileExistsError(path)
+    folder, name = path.rsplit("/", 1)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = fs.create(part, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if not fs.rename(part, hadoop_path):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _open(spark, path)
     return fs.delete(hadoop_path, True)
