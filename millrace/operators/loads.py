@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import storage
 from millrace.operators import merge as M
 from millrace.operators.cleaning import latest_per_key
 from millrace.operators.snapshots import SnapshotTable
@@ -141,11 +142,14 @@ class LoadArea:
         """Old rows and the extract, merged by key, written once under the next schema version."""
         keys = M.split_keys(primary_keys)
         old = self.table(name, version).read()
-        M.check_single_match(old, df, keys, null_safe=True)
         wide = old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in old.columns])
-        clauses = [M.when_matched_update(), M.when_not_matched_insert()]
         bumped = next_schema_version(version)
-        self.table(name, bumped).create(M.merge_rows(wide, df, keys, clauses, null_safe=True))
+        target = self.table(name, bumped)
+        extract = target._staged(df, f"{target.root}/staging/extract")
+        M.check_single_match(old, extract, keys, null_safe=True)
+        clauses = [M.when_matched_update(), M.when_not_matched_insert()]
+        target.create(M.merge_rows(wide, extract, keys, clauses, null_safe=True))
+        storage.delete(self.spark, f"{target.root}/staging")
         return bumped
 
     # ---- reading state -------------------------------------------------------------------

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPDATE, DELETE, INSERT = "update", "delete", "insert"
 
@@ -60,8 +61,19 @@ def _first_match(clauses: list[Clause]) -> Column:
     return chain
 
 
-def check_single_match(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> None:
-    """Raise if two source rows match one target row.
+def known_keys(
+    target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False, also: list[str] | None = None
+) -> DataFrame:
+    """Distinct keys that both sides have, with further target columns if asked for.
+
+    Only the key columns of the target are read, and nothing the source does not mention is kept.
+    """
+    same = _same_key("t", "s", keys, null_safe)
+    return target.select(*keys, *(also or [])).alias("t").join(source.select(*keys).alias("s"), same, "left_semi").distinct()
+
+
+def check_single_match(known: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> None:
+    """Raise if two source rows match one target row; ``known`` holds the target's keys.
 
     The usual case costs one partial aggregation of the source; the target is looked at only
     when the source does repeat a key.
@@ -69,7 +81,7 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: list[str], nu
     repeated = source.groupBy(*keys).count().filter("count > 1").select(*keys)
     if repeated.isEmpty():
         return
-    clash = target.select(*keys).alias("t").join(repeated.alias("s"), _same_key("t", "s", keys, null_safe), "left_semi")
+    clash = known.select(*keys).alias("t").join(repeated.alias("s"), _same_key("t", "s", keys, null_safe), "left_semi")
     if not clash.isEmpty():
         raise DuplicateSourceRows(f"several source rows match one target row on {keys}")
 
@@ -115,35 +127,31 @@ def matched_rows(
 
 
 def inserted_rows(
-    target: DataFrame, source: DataFrame, keys: list[str], clauses: list[Clause], null_safe: bool = False
+    known: DataFrame, source: DataFrame, keys: list[str], clauses: list[Clause], schema: T.StructType, null_safe: bool = False
 ) -> DataFrame | None:
     """Rows that the WHEN NOT MATCHED clauses add, or None without such a clause.
 
-    The target is first cut down to the keys the source mentions, so the second join is
-    between two sets no larger than the source.
+    ``known`` are the keys found on both sides (:func:`known_keys`), ``schema`` is the target's.
     """
     inserts = [c for c in clauses if c.kind == INSERT]
     if not inserts:
         return None
-    same = _same_key("t", "s", keys, null_safe)
-    known = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), same, "left_semi").distinct()
     fresh = (
-        source.alias("s").join(known.alias("t"), same, "left_anti")
+        source.alias("s").join(known.select(*keys).alias("t"), _same_key("t", "s", keys, null_safe), "left_anti")
         .withColumn("__clause", _first_match(inserts)).filter(F.col("__clause").isNotNull())
     )
-    types = {f.name: f.dataType for f in target.schema.fields}
 
-    def value_of(name: str) -> Column:
-        chain = F.when(F.lit(False), F.lit(None).cast(types[name]))
+    def value_of(field: T.StructField) -> Column:
+        chain = F.when(F.lit(False), F.lit(None).cast(field.dataType))
         for i, clause in enumerate(inserts):
             if clause.values is None:
-                new = F.col(f"s.{name}") if name in source.columns else F.lit(None)
+                new = F.col(f"s.{field.name}") if field.name in source.columns else F.lit(None)
             else:
-                new = _as_column(clause.values[name]) if name in clause.values else F.lit(None)
-            chain = chain.when(F.col("__clause") == i, new.cast(types[name]))
-        return chain.alias(name)
+                new = _as_column(clause.values[field.name]) if field.name in clause.values else F.lit(None)
+            chain = chain.when(F.col("__clause") == i, new.cast(field.dataType))
+        return chain.alias(field.name)
 
-    return fresh.select(*[value_of(c) for c in target.columns])
+    return fresh.select(*[value_of(f) for f in schema.fields])
 
 
 def merge_rows(
@@ -155,7 +163,7 @@ def merge_rows(
     (:func:`check_single_match`) and for giving the same rows each time it is read.
     """
     survivors = matched_rows(target, source, keys, clauses, null_safe)
-    added = inserted_rows(target, source, keys, clauses, null_safe)
+    added = inserted_rows(known_keys(target, source, keys, null_safe), source, keys, clauses, target.schema, null_safe)
     return survivors if added is None else survivors.unionByName(added)
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta, timezone
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,13 @@ from millrace.operators import merge as M
 
 HISTORY_SCHEMA = (
     "version long, committed_at timestamp, operation string, rows_added long, rows_removed long, row_count long, "
-    "parts array<struct<root: string, path: string, rows: long>>, partition_by array<string>, schema string, "
+    "parts array<struct<root: string, path: string, uri: string, rows: long>>, partition_by array<string>, schema string, "
     "constraints map<string,string>, generated map<string,string>, comment string, tag string"
 )
 
+# Spark reads this folder level as a column, so no table may have a column of this name.
+VERSION_FOLDER = "millrace_version"
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -121,9 +125,9 @@ class SnapshotTable:
         inside = F.substring(path, len(storage.raw_path(self.spark, f"{root}/data")) + 2, 1_000_000)
         return F.concat(F.lit(f"{root}|"), F.regexp_replace(inside, "/[^/]*$", ""))
 
-    def _part_label(self, part) -> str:
-        skip = len(storage.raw_path(self.spark, f"{part['root']}/data")) + 1
-        return f"{part['root']}|" + storage.raw_path(self.spark, f"{part['root']}/data/{part['path']}")[skip:]
+    @staticmethod
+    def _part_label(part) -> str:
+        return f"{part['root']}|{part['uri']}"
 
     def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
         """The table now, at a version, or at a time."""
@@ -145,12 +149,15 @@ class SnapshotTable:
         self, operation: str, rows: DataFrame | None, keep: list, schema: T.StructType, *, previous=None,
         partition_by: list[str] | None = None, constraints=None, generated=None, comment=None, tag=None,
     ) -> int:
+        if VERSION_FOLDER in (n.lower() for n in schema.names):
+            raise SchemaMismatch(f"a column may not be called {VERSION_FOLDER}")
         version = previous["version"] + 1 if previous else 0
         partition_by = list(partition_by or [])
         constraints, generated = dict(constraints or {}), dict(generated or {})
-        parts = [{"root": p["root"], "path": p["path"], "rows": p["rows"]} for p in keep]
+        parts = list(keep)
         if rows is not None:
-            target = f"{self.root}/data/v={version}"
+            folder = f"{VERSION_FOLDER}={version}"
+            target = f"{self.root}/data/{folder}"
             rows, seen = self._checked(rows.select(*[F.col(f"`{n}`") for n in schema.names]), constraints)
             writer = rows.write.mode("overwrite")
             (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
@@ -159,17 +166,14 @@ class SnapshotTable:
                 if broken:
                     storage.delete(self.spark, target)
                     raise ConstraintViolated(f"{operation} on {self.root} violates {broken}")
-            leaves = [f"v={version}/{leaf}".rstrip("/") for leaf in storage.leaf_folders(self.spark, target)]
-            new = [{"root": self.root, "path": leaf, "rows": None} for leaf in leaves]
             # Row counts come from the written files' footers: exact even if tasks were retried.
-            if len(new) == 1:
-                new[0]["rows"] = self._read_parts(new, schema).count()
-            elif new:
-                counts = self._read_parts(new, schema, True).groupBy("__part").count().collect()
-                counted = {r["__part"]: r["count"] for r in counts}
-                for part in new:
-                    part["rows"] = counted.get(self._part_label(part), 0)
-            parts += [p for p in new if p["rows"]]
+            whole = [{"root": self.root, "path": folder, "uri": folder}]
+            if partition_by:
+                counts = self._read_parts(whole, schema, True).groupBy("__part").count().collect()
+                found = {r["__part"][len(self.root) + 1:]: r["count"] for r in counts}
+            else:
+                found = {folder: self._read_parts(whole, schema).count()}
+            parts += [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in found.items() if n]
         before = sum(p["rows"] for p in previous["parts"]) if previous else 0
         kept = sum(p["rows"] for p in keep)
         after = sum(p["rows"] for p in parts)
@@ -245,8 +249,6 @@ class SnapshotTable:
 
     def _split(self, entry, touched: DataFrame) -> tuple[list, list]:
         """Parts with and without a row in ``touched`` (a frame with a ``__part`` column)."""
-        if len(entry["parts"]) == 1:
-            return list(entry["parts"]), []
         hit = {r["__part"] for r in touched.select("__part").distinct().collect()}
         labels = [(self._part_label(p), p) for p in entry["parts"]]
         return [p for label, p in labels if label in hit], [p for label, p in labels if label not in hit]
@@ -283,7 +285,8 @@ class SnapshotTable:
         """Apply ordered clauses. ``evolve`` adds the source's new columns to the table.
 
         The source is written to the table's folder first: the several passes over it then
-        see the same rows, even if it is random, time-dependent or costly.
+        see the same rows, even if it is random, time-dependent or costly. The target is read
+        twice: its keys, to find the parts and keys the source mentions, and then those parts.
         """
         entry = self._entry()
         if tag is not None and self.has_tag(tag):
@@ -293,27 +296,28 @@ class SnapshotTable:
         if evolve:
             new = [f for f in source.schema.fields if f.name not in schema.names]
             schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True) for f in new])
-        staged_at = f"{self.root}/staging/v={entry['version'] + 1}"
-        source.write.mode("overwrite").parquet(staged_at)
-        staged = self.spark.read.schema(source.schema).parquet(staged_at)
+        staging = f"{self.root}/staging/{entry['version'] + 1}"
+        staged = self._staged(source, f"{staging}/source")
         everything = self._read_parts(entry["parts"], schema, True)
-        changes_rows = any(c.kind != M.INSERT for c in clauses)
-        if changes_rows:
-            M.check_single_match(everything, staged, keys, null_safe)
-            same = M._same_key("t", "s", keys, null_safe)
-            hit, keep = self._split(entry, everything.alias("t").join(staged.select(*keys).alias("s"), same, "left_semi"))
-        else:
-            hit, keep = [], list(entry["parts"])
-        touched = self._read_parts(hit, schema)
-        known = touched if changes_rows else everything.drop("__part")
-        survivors = M.matched_rows(touched, staged, keys, clauses, null_safe) if hit else None
-        added = M.inserted_rows(known, staged, keys, clauses, null_safe)
+        known = self._staged(M.known_keys(everything, staged, keys, null_safe, also=["__part"]), f"{staging}/known")
+        hit, keep, survivors = [], list(entry["parts"]), None
+        if any(c.kind != M.INSERT for c in clauses):
+            M.check_single_match(known, staged, keys, null_safe)
+            hit, keep = self._split(entry, known)
+        if hit:
+            survivors = M.matched_rows(self._read_parts(hit, schema), staged, keys, clauses, null_safe)
+        added = M.inserted_rows(known, staged, keys, clauses, schema, null_safe)
         frames = [f for f in (survivors, added) if f is not None]
         rows = reduce(DataFrame.unionByName, frames) if frames else None
         version = self._again(entry, "MERGE", rows, keep, schema, tag=tag)
-        storage.delete(self.spark, staged_at)
+        storage.delete(self.spark, staging)
         return version
 
+    def _staged(self, df: DataFrame, path: str) -> DataFrame:
+        """The frame's rows, written once next to the table so that every pass sees the same."""
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # ---- upkeep --------------------------------------------------------------------------
 
     def restore(self, version: int) -> int:

@@ -112,10 +112,13 @@ def c_clean_users(spark, sf):
     derived = clean.withColumns({
         "first_touch_date": F.date_format("first_touch", "MMM d, yyyy"), "first_touch_time": F.date_format("first_touch", "HH:mm:ss"), "email_domain": email_domain("email"),
     })
-    # Both checks are one row each.
-    facts = cleaning.null_counts(dirty, ["user_id", "email"]).withColumn("one", F.lit(1))
-    unique = cleaning.is_unique(clean, ["user_id", "first_touch"]).withColumn("one", F.lit(1))
-    return derived.withColumn("one", F.lit(1)).join(F.broadcast(facts), "one").join(F.broadcast(unique), "one").drop("one")
+    # Each check is one value.
+    nulls = cleaning.null_counts(dirty, ["user_id", "email"])
+    unique = cleaning.is_unique(clean, ["user_id", "first_touch"])
+    return derived.select(
+        "*", nulls.select("user_id_nulls").scalar().alias("user_id_nulls"), nulls.select("email_nulls").scalar().alias("email_nulls"),
+        unique.scalar().alias("no_duplicates"),
+    )
 
 
 @query(

@@ -291,7 +291,7 @@ def tb_repartition(spark, sf):
 
 @query(
     "tb_expire_dry_run",
-    """select o_orderkey, o_orderstatus, o_totalprice, 'v=0' as first_dead, 2 as dead_parts from orders where o_totalprice < 100000 and o_orderstatus <> 'F'""",
+    """select o_orderkey, o_orderstatus, o_totalprice, 'millrace_version=0' as first_dead, 2 as dead_parts from orders where o_totalprice < 100000 and o_orderstatus <> 'F'""",
 )
 def tb_expire_dry_run(spark, sf):
     """List what may go, remove it, and read the newest version as before."""

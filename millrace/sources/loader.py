@@ -33,7 +33,7 @@ def load(
     try:
         df = reader.load(path)
     except Exception as error:
-        if file_type in NEED_A_CONNECTOR and "DATA_SOURCE" in str(error):
+        if file_type in NEED_A_CONNECTOR and re.search("DATA_SOURCE_NOT_FOUND|find data source", str(error)):
             raise ValueError(f"reading {file_type} needs a connector that is not on the class path") from error
         raise
     return parse_envelope(df, "Body") if file_type == "avro" else df

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,12 @@ def read_time_range(
     reader = spark.read.format(file_type).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.option("basePath", root).load(_glob(root, names, start, end))
+    try:
+        df = reader.option("basePath", root).load(_glob(root, names, start, end))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND" and schema is not None:
+            return spark.createDataFrame([], schema)  # no folder anywhere near the interval
+        raise
     when = folder_time("_metadata.file_path")
     df = df.filter((when >= F.lit(start).cast("timestamp_ntz")) & (when < F.lit(end).cast("timestamp_ntz")))
     return df.drop(*[n for n in names if n in df.columns])

@@ -64,25 +64,6 @@ def raw_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toUri().getRawPath()
 
 
-def leaf_folders(spark: SparkSession, path: str) -> list[str]:
-    """Folders below ``path`` that hold data files, relative to it ('' is ``path`` itself)."""
-    fs, _ = _open(spark, path)
-
-    def walk(folder: str, relative: str) -> list[str]:
-        found, has_files = [], False
-        for status in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(folder)):
-            name = status.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            if status.isDirectory():
-                found += walk(f"{folder}/{name}", f"{relative}/{name}".lstrip("/"))
-            else:
-                has_files = True
-        return ([relative] if has_files else []) + found
-
-    return walk(path, "")
-
-
 def usage(spark: SparkSession, path: str) -> tuple[int, int]:
     """Number of files and of bytes below a folder."""
     fs, hadoop_path = _open(spark, path)

@@ -80,7 +80,8 @@ def enrich_stream(
         other = other.withWatermark(*other_watermark)
     if salts == 1:
         return stream.join(other, keys, "inner")
-    left = stream.withColumn("__salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int"))
+    # Drawn, not hashed: copies of one row have to spread as well.
+    left = stream.withColumn("__salt", F.floor(F.rand(7) * salts).cast("int"))
     right = other.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return left.join(right, [*keys, "__salt"], "inner").drop("__salt")
 
