@@ -83,16 +83,16 @@ def three_loads(spark, sf):
 
 @query(
     "ld_audit_append",
-    """select 'accounts' as table_name, 'overwrite' as write_mode, 'full' as load_type, 'v_001' as schema_version, 0 as latest_version, cast(null as integer) as base_version,
+    """select 'accounts' as table_name, 'overwrite' as write_mode, 'full' as load_type, 'v_001' as schema_version, 0 as latest_version, 'none' as base_version,
     (select count(*) from customer) as rows_now
-    union all select 'accounts', 'overwrite', 'delta', 'v_001', 1, 0, (select count(*) from customer where c_acctbal > 0)
-    union all select 'suppliers', 'overwrite', 'full', 'v_001', 0, null, (select count(*) from supplier)""",
+    union all select 'accounts', 'overwrite', 'delta', 'v_001', 1, '0', (select count(*) from customer where c_acctbal > 0)
+    union all select 'suppliers', 'overwrite', 'full', 'v_001', 0, 'none', (select count(*) from supplier)""",
 )
 def ld_audit_append(spark, sf):
     """One audit row per load, next to the rows each load left."""
     loads = three_loads(spark, sf)
     histories = [loads.table(n).history().select(F.lit(n).alias("table_name"), F.col("version").alias("latest_version"), F.col("row_count").alias("rows_now")) for n in ("accounts", "suppliers")]
-    rows = loads.audit_rows().select("table_name", "write_mode", "load_type", "schema_version", "latest_version", F.col("base_version").cast("int").alias("base_version"))
+    rows = loads.audit_rows().select("table_name", "write_mode", "load_type", "schema_version", "latest_version", F.coalesce(F.col("base_version").cast("string"), F.lit("none")).alias("base_version"))
     joined = rows.join(histories[0].unionByName(histories[1]), ["table_name", "latest_version"])
     return joined.withColumn("latest_version", F.col("latest_version").cast("int"))
 

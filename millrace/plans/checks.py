@@ -25,10 +25,10 @@ def q_expect_warn(spark, sf):
     return quality.expectation_counts(nulled_events(spark, sf), [Expectation("has_user", "user_id IS NOT NULL", WARN)], "events")
 
 
-@query("q_expect_drop", f"select event_id, user_id, value from {NULLED} where coalesce(value > 10, false)")
+@query("q_expect_drop", f"select event_id, event_type, value from {NULLED} where coalesce(value > 10, false)")
 def q_expect_drop(spark, sf):
     """A NULL value breaks the rule as well."""
-    df = nulled_events(spark, sf).select("event_id", "user_id", "value")
+    df = nulled_events(spark, sf).select("event_id", "event_type", "value")
     return quality.keep_expected(df, [Expectation("large", "value > 10", DROP)])
 
 

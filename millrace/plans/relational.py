@@ -159,12 +159,12 @@ def f_case_filter(spark, sf):
 @query(
     "x_cast",
     """select event_id, try_cast(value as integer) is null as no_int, cast(floor(value) as integer) as whole, cast(user_id as varchar) as user_text,
-    cast(cast(ts as date) as varchar) as day, try_cast(event_type as bigint) as bad from events""",
+    cast(cast(ts as date) as varchar) as day, try_cast(event_type as bigint) is null as no_number from events""",
 )
 def x_cast(spark, sf):
     return table(spark, sf, "events").select(
         "event_id", F.col("value").try_cast("int").isNull().alias("no_int"), F.floor("value").cast("int").alias("whole"),
-        F.expr("string(user_id)").alias("user_text"), F.expr("date(ts)").cast("string").alias("day"), F.col("event_type").try_cast("long").alias("bad"),
+        F.expr("string(user_id)").alias("user_text"), F.expr("date(ts)").cast("string").alias("day"), F.col("event_type").try_cast("long").isNull().alias("no_number"),
     )
 
 
@@ -261,11 +261,11 @@ def j_full_outer(spark, sf):
 
 @query(
     "j_left",
-    """select c_custkey, o_orderkey from customer left join (select * from orders where o_totalprice > 300000) on c_custkey = o_custkey""",
+    """select c_custkey, cast(o_orderkey as varchar) as order_text from customer left join (select * from orders where o_totalprice > 300000) on c_custkey = o_custkey""",
 )
 def j_left(spark, sf):
     big = table(spark, sf, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return table(spark, sf, "customer").select("c_custkey").join(big, "c_custkey", "left")
+    return table(spark, sf, "customer").select("c_custkey").join(big, "c_custkey", "left").select("c_custkey", F.col("o_orderkey").cast("string").alias("order_text"))
 
 
 @query(
@@ -297,14 +297,14 @@ def j_alias_star(spark, sf):
     "j_multi_key",
     """with lines as (select l_partkey, l_suppkey, count(*) as n_lines from lineitem group by 1, 2),
     returned as (select l_partkey, l_suppkey, count(*) as n_returned from lineitem where l_returnflag = 'R' group by 1, 2)
-    select l.l_partkey, l.l_suppkey, n_lines, n_returned from lines l left join returned r on l.l_partkey = r.l_partkey and l.l_suppkey = r.l_suppkey""",
+    select l.l_partkey, l.l_suppkey, n_lines, coalesce(n_returned, 0) as n_returned from lines l left join returned r on l.l_partkey = r.l_partkey and l.l_suppkey = r.l_suppkey""",
 )
 def j_multi_key(spark, sf):
     keys = ["l_partkey", "l_suppkey"]
     line = table(spark, sf, "lineitem")
     lines = line.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_lines"))
     returned = line.filter("l_returnflag = 'R'").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_returned"))
-    return lines.join(returned, keys, "left_outer")
+    return lines.join(returned, keys, "left_outer").na.fill(0, ["n_returned"])
 
 
 # ---- aggregation --------------------------------------------------------------------------------

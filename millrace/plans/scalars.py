@@ -180,9 +180,9 @@ def n_drop(spark, sf):
     return nulled_events(spark, sf).select("event_id", "user_id", "value").na.drop()
 
 
-@query("n_drop_all", f"select event_id, user_id, value from {NULLED} where user_id is not null or value is not null")
+@query("n_drop_all", f"select event_id, cast(user_id as varchar) as user_text, value from {NULLED} where user_id is not null or value is not null")
 def n_drop_all(spark, sf):
-    return nulled_events(spark, sf).select("event_id", "user_id", "value").na.drop("all", subset=["user_id", "value"])
+    return nulled_events(spark, sf).select("event_id", "user_id", "value").na.drop("all", subset=["user_id", "value"]).select("event_id", F.col("user_id").cast("string").alias("user_text"), "value")
 
 
 @query("n_fill", f"select event_id, coalesce(user_id, -1) as user_id, coalesce(value, 0.0) as value from {NULLED}")

@@ -153,7 +153,7 @@ def tb_insert_only(spark, sf):
     """with target as (select case when event_type <> 'error' then user_id end as user_id, event_type, count(*) as n, min(value) as low from events group by 1, 2),
     source as (select distinct on (user_id, event_type) user_id, event_type, n from (
         select case when event_type <> 'error' then user_id end as user_id, event_type, count(*) filter (value > 20) as n from events where value > 10 group by 1, 2))
-    select t.user_id, t.event_type, case when s.event_type is not null then s.n else t.n end as n, case when s.event_type is null then t.low end as low
+    select cast(t.user_id as varchar) as user_text, t.event_type, case when s.event_type is not null then s.n else t.n end as n, case when s.event_type is null then t.low end as low
     from target t left join source s on t.user_id is not distinct from s.user_id and t.event_type = s.event_type""",
 )
 def tb_merge_keys(spark, sf):
@@ -165,7 +165,7 @@ def tb_merge_keys(spark, sf):
     source = events.filter("value > 10").groupBy("user_id", "event_type").agg(F.count_if(F.col("value") > 20).alias("n"))
     values = column_map(target.read().columns, source.columns)
     target.merge(source, "user_id, event_type", [when_matched_update(set=values), when_not_matched_insert(values=values)], null_safe=True)
-    return target.read()
+    return target.read().select(F.col("user_id").cast("string").alias("user_text"), "event_type", "n", "low")
 
 
 @query(
