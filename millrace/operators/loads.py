@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import storage
 from millrace.operators import merge as M
@@ -69,7 +70,8 @@ class LoadArea:
             name, table.root, load_date, mode, load_type, schema_version, self.user,
             table.version(), table.previous_version(),
         )
-        df = self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1)
+        fields = T.DataType.fromDDL(AUDIT_SCHEMA).fields
+        df = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
         if not self.audit.exists():
             self.audit.create(df)
         else:

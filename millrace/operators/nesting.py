@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_KEYS = 100_000  # more large keys than this are joined by shuffle
+from millrace.operators.hotkeys import large_keys, numbered_part
 
 
 def nest_rows(
@@ -24,18 +22,11 @@ def nest_rows(
     should be a scan: large keys are split by row number, which a task that is run again after
     a shuffle may give differently.
     """
-    large = (
-        rows.groupBy(*keys).count().filter(F.col("count") > document_limit)
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("count") / document_limit).alias("__parts"))
-    )
-    found = large.count()
-    if found == 0:
+    large = large_keys(rows, keys, document_limit)
+    if large is None:
         split = rows.withColumn("part", F.lit(0).cast("long"))
     else:
-        same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        numbered = rows.withColumn("__row", F.monotonically_increasing_id())
-        side = F.broadcast(large) if found <= BROADCAST_KEYS else large
-        split = numbered.join(side, same_key, "left").withColumn("part", F.coalesce(F.pmod("__row", F.col("__parts")), F.lit(0)))
+        split = numbered_part(rows, keys, large, "part")
     return split.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(items)).alias(into))
 
 

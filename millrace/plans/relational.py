@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.numbers import exact_avg, exact_sum, net_price
 from millrace.functions.text import is_email
 from millrace.operators import cleaning
+from millrace.operators.hotkeys import join_hot_keys
 from millrace.operators.nesting import nest_rows, unnest
 from millrace.plans.registry import query
 from millrace.tables import table
@@ -203,10 +204,10 @@ def x_arith(spark, sf):
     select e.event_id, u.n from {NULLED} e join users u on e.user_id is not distinct from u.user_id""",
 )
 def j_null_safe(spark, sf):
-    """NULL keys meet; the right side has one row per key, so no key pairs up many times."""
-    events = nulled_events(spark, sf)
+    """NULL keys meet. The right side has one row per key; a hot key on the left, NULL included, is split."""
+    events = nulled_events(spark, sf).select("event_id", "user_id")
     users = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return events.alias("e").join(users.alias("u"), F.col("e.user_id").eqNullSafe(F.col("u.user_id"))).select("e.event_id", "u.n")
+    return join_hot_keys(events, users, ["user_id"], null_safe=True).select("event_id", "n")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.numbers import exact_avg, exact_sum, net_price
 from millrace.functions.text import email_domain
 from millrace.operators import cleaning
+from millrace.operators.hotkeys import join_hot_keys
 from millrace.operators.nesting import unnest
 from millrace.operators.pivot import pivot_listed
 from millrace.operators.quality import DROP, FAIL, Expectation
@@ -58,7 +59,7 @@ def c_abandoned(spark, sf):
     converted = orders.filter("o_totalprice > 400000").select("o_custkey").distinct().withColumn("converted", F.lit(True))
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
     undecided = customers.join(converted, "o_custkey", "left").na.fill(False).filter(~F.col("converted")).select("o_custkey")
-    placed = orders.select("o_orderkey", "o_custkey").join(undecided, "o_custkey")
+    placed = join_hot_keys(orders.select("o_orderkey", "o_custkey"), undecided, ["o_custkey"])
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"))
     carts = placed.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "item").distinct()
     return carts.groupBy("item").count().sort("item")
@@ -76,7 +77,7 @@ def c_clickpath(spark, sf):
     paths = pivot_listed(table(spark, sf, "events"), ["user_id"], "event_type", KINDS, F.count, F.lit(1))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     bought = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
-    return paths.join(orders, "user_id").join(bought, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
+    return join_hot_keys(orders, paths, ["user_id"]).join(bought, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
 
 
 @query(
@@ -208,8 +209,9 @@ def c_cdc_counts(spark, sf):
 def c_cdc(spark, sf):
     """Status changes of orders, with the current e-mail of customers who want to be told."""
     silver = customers_silver(spark, sf)
-    wanted = table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    emails = wanted.alias("a").join(silver.alias("b"), F.col("a.o_custkey") == F.col("b.customer_id")).select(F.col("a.o_orderkey").alias("order_id"), "b.email")
+    urgent = table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    wanted = urgent.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
+    emails = join_hot_keys(wanted, silver.select("customer_id", "email"), ["customer_id"]).select("order_id", "email")
     status = table(spark, sf, "lineitem").filter("l_shipdate > TIMESTAMP_NTZ '1996-01-01'").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linestatus").alias("status"), F.col("l_shipdate").alias("status_time")
     )

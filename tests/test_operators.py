@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import numbers, text, times
-from millrace.operators import cleaning, nesting, protect, quality
+from millrace.operators import cleaning, hotkeys, nesting, protect, quality
 from millrace.operators.pivot import pivot_listed
 from millrace.sources import jdbc, timefolders
 
@@ -31,6 +31,31 @@ def test_copies_of_one_row_are_split_too(spark):
     assert len(docs) == 100 and sum(len(d["items"]) for d in docs) == 1000
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_with_hot_keys(spark, how, null_safe):
+    key = F.when(F.col("id") < 900, 0).when(F.col("id") >= 1400, F.col("id") % 50).cast("long")  # 500 rows have none
+    rows = spark.range(2000).select(key.alias("k"), F.col("id").alias("v"))
+    other = spark.createDataFrame([(0, "a"), (0, "b"), (7, "c"), (None, "n"), (1000, "x")], "k long, w string")
+    names = {0: ["a", "b"], 7: ["c"]}
+    if null_safe:
+        names[None] = ["n"]
+    want = []
+    for i in range(2000):
+        k = 0 if i < 900 else i % 50 if i >= 1400 else None
+        want += [(k, i, w) for w in names.get(k, [None] if how == "left" else [])]
+    got = hotkeys.join_hot_keys(rows, other, ["k"], how, null_safe, limit=100)
+    assert got.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_hot_key_spreads_over_parts(spark):
+    rows = spark.range(1000).select(F.lit(1).alias("k"), F.lit("copy").alias("v"))
+    parts = hotkeys.numbered_part(rows, ["k"], hotkeys.large_keys(rows, ["k"], 100), "p").groupBy("p").count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) < 150
+    assert hotkeys.large_keys(rows, ["k"], 1000) is None
+
+
 def test_unnest_keeps_empty_only_on_request(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "k int, a array<int>")
     assert nesting.unnest(df, "a").count() == 2
