@@ -44,7 +44,9 @@ def keep_expected(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     for e in expectations:
         if e.on_violation == FAIL:
             broken = F.raise_error(F.lit(f"expectation {e.name} failed")).cast("boolean")
-            df = df.filter(F.when(e.holds(), F.lit(True)).otherwise(broken))
+            # The task number is never negative. It keeps the optimiser from moving the test below a join
+            # or another filter, where it would fail on rows that never get here.
+            df = df.filter(F.when(e.holds(), F.lit(True)).when(F.spark_partition_id() < 0, F.lit(True)).otherwise(broken))
     drops = [e for e in expectations if e.on_violation == DROP]
     return df.filter(_all_hold(drops)) if drops else df
 
@@ -59,24 +61,21 @@ def expectation_counts(df: DataFrame, expectations: list[Expectation], dataset:
     return totals.select(F.explode(report).alias("r")).select(F.lit(dataset).alias("dataset"), "r.name", "r.passed_records", "r.failed_records")
 
 
-def with_counts(df: DataFrame, expectations: list[Expectation]) -> tuple[DataFrame, Observation]:
-    """Rows that go on, and an observation of the violations filled by the same pass.
+def observed(df: DataFrame, expectations: list[Expectation], into: Observation | str) -> DataFrame:
+    """Count records and violations in whatever pass reads the frame, batch or stream.
 
     The counts are metrics: a stage that Spark has to run again may count a row twice.
     """
-    seen = Observation()
-    counted = df.observe(
-        seen, F.count(F.lit(1)).alias("records"), *[F.count_if(~e.holds()).alias(e.name) for e in expectations]
-    )
-    drops = [e for e in expectations if e.on_violation == DROP]
-    return (counted.filter(_all_hold(drops)) if drops else counted), seen
+    counts = [F.count_if(~e.holds()).alias(e.name) for e in expectations]
+    return df.observe(into, F.count(F.lit(1)).alias("records"), *counts)
 
 
 def write_expected(df: DataFrame, expectations: list[Expectation], path: str, dataset: str) -> DataFrame:
     """Write the rows that go on; return the counts. Nothing is left behind if a rule fails."""
     from millrace import storage
 
-    kept, seen = with_counts(df, expectations)
+    seen = Observation()
+    kept = keep_expected(observed(df, expectations, seen), [e for e in expectations if e.on_violation == DROP])
     kept.write.mode("errorifexists").parquet(path)
     found = seen.get
     failed = {e.name: found[e.name] for e in expectations if e.on_violation == FAIL and found[e.name]}

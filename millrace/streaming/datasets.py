@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.quality import Expectation, expectation_counts, keep_expected
+from millrace.operators.quality import Expectation, keep_expected, observed
 from millrace.operators.snapshots import SnapshotTable
 
 STREAM, TABLE, VIEW = "streaming table", "materialised table", "view"
@@ -109,6 +109,7 @@ class Datasets:
         self.declared: dict[str, Dataset] = {}
         self._fresh: dict[str, DataFrame] = {}
         self._running: list[str] = []
+        self._counts: list[tuple] = []
 
     def dataset(self, kind: str, name: str | None = None, expectations=(), comment: str | None = None, properties: dict[str, str] | None = None):
         if kind not in (STREAM, TABLE, VIEW):
@@ -147,15 +148,19 @@ class Datasets:
         self._running.append(name)
         try:
             d = self.declared[name]
-            df = keep_expected(d.build(self), d.expectations)
+            source = d.build(self)
             if d.kind == VIEW:
-                self._fresh[name] = df
+                self._fresh[name] = keep_expected(source, d.expectations)
             elif d.kind == STREAM:
-                append_stream(df, self.path(name), f"{self.root}/checkpoints/{name}")
+                df = keep_expected(observed(source, d.expectations, "expectations"), d.expectations)
+                query = append_stream(df, self.path(name), f"{self.root}/checkpoints/{name}")
+                for progress in query.recentProgress:
+                    self._note(d, progress.observedMetrics.get("expectations"))
                 self._fresh[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
             else:
-                table = SnapshotTable(self.spark, self.path(name))
-                table.create(df, comment=d.comment)
+                seen, table = Observation(), SnapshotTable(self.spark, self.path(name))
+                table.create(keep_expected(observed(source, d.expectations, seen), d.expectations), comment=d.comment)
+                self._note(d, seen.get)
                 self._fresh[name] = table.read()
         finally:
             self._running.pop()
@@ -166,10 +171,18 @@ class Datasets:
         for name in self.declared:
             self.read(name)
 
-    def metrics(self, name: str) -> DataFrame:
-        """Expectation counts over a batch dataset's candidate rows."""
-        d = self.declared[name]
-        return expectation_counts(d.build(self), d.expectations, name)
+    def _note(self, d: Dataset, counts) -> None:
+        if counts is not None:
+            counts = counts if isinstance(counts, dict) else counts.asDict()
+            self._counts += [(d.name, e.name, counts["records"] - counts[e.name], counts[e.name]) for e in d.expectations]
+
+    def metrics(self) -> DataFrame:
+        """Passed and failed records per dataset, rule and refresh or micro-batch, counted in the writing pass.
+
+        Of a refresh with very many micro-batches Spark keeps the newest only
+        (``spark.sql.streaming.numRecentProgressUpdates``). Views have none.
+        """
+        return self.spark.createDataFrame(self._counts, "dataset string, name string, passed_records long, failed_records long")
 
     def describe(self) -> DataFrame:
         rows = [(d.name, d.kind, d.comment, d.properties, [e.name for e in d.expectations]) for d in self.declared.values()]

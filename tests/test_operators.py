@@ -99,6 +99,13 @@ def test_expectations_treat_null_as_broken(spark):
         quality.Expectation("x", "true", "ignore")
 
 
+def test_fail_rule_sees_only_rows_that_reach_it(spark):
+    left = spark.createDataFrame([(1, -5), (2, 5)], "k int, v int")
+    joined = left.join(spark.createDataFrame([(2,)], "k int"), "k")
+    assert quality.keep_expected(joined, [quality.Expectation("positive", "v > 0", quality.FAIL)]).count() == 1
+    assert quality.keep_expected(left.filter("k > 1"), [quality.Expectation("positive", "v > 0", quality.FAIL)]).collect() == [(2, 5)]
+
+
 def test_fail_rule_leaves_no_files(spark, folder):
     from millrace import storage
 

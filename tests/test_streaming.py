@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.quality import DROP, FAIL, Expectation
+from millrace.operators.quality import DROP, FAIL, Expectation, metrics_report
 from millrace.session import scratch
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
@@ -133,7 +133,20 @@ def test_failing_rule_stops_the_run_and_a_mended_source_goes_on(spark, folder):
     sets.declared["t"].expectations[0] = Expectation("small", "id < 3", DROP)
     sets.run()
     assert sets.read("t").count() == 3
-    assert [tuple(r) for r in sets.metrics("t").collect()] == [("t", "small", 3, 2)]
+    assert [tuple(r) for r in sets.metrics().collect()] == [("t", "small", 3, 2)]
+
+
+def test_streams_count_violations_too(spark, folder):
+    spark.range(5).coalesce(1).write.parquet(f"{folder}/in")
+    sets = D.Datasets(spark, folder)
+    rules = [Expectation("small", "id < 3", DROP), Expectation("even", "id % 2 = 0")]
+    sets.dataset(D.STREAM, name="s", expectations=rules)(lambda s: spark.readStream.schema("id long").parquet(f"{folder}/in"))
+    sets.run()
+    spark.range(5, 7).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    sets.run()
+    assert sorted(r["id"] for r in sets.read("s").collect()) == [0, 1, 2]
+    totals = {(r["expectation"], r["passing_records"], r["failing_records"]) for r in metrics_report(sets.metrics()).collect()}
+    assert totals == {("small", 3, 4), ("even", 4, 3)}
 
 
 def test_stream_join_with_salt_and_watermark(spark, folder):
