@@ -17,8 +17,7 @@ def nest_rows(
     over as many documents as it needs, so no task ever gathers an unbounded group, and no
     row is lost; ``part`` numbers a key's documents.
 
-    Whether there are such keys is looked up first, by a partial aggregation over the keys
-    alone. Mostly there are none, and the rows are then shuffled once, without a join. ``rows``
+    Whether there are such keys is looked up first, in the key columns alone. Mostly there are none, and the rows are then shuffled once, without a join. ``rows``
     should be a scan: large keys are split by row number, which a task that is run again after
     a shuffle may give differently.
     """

@@ -53,7 +53,14 @@ def test_hot_key_spreads_over_parts(spark):
     rows = spark.range(1000).select(F.lit(1).alias("k"), F.lit("copy").alias("v"))
     parts = hotkeys.numbered_part(rows, ["k"], hotkeys.large_keys(rows, ["k"], 100), "p").groupBy("p").count().collect()
     assert len(parts) == 10 and max(r["count"] for r in parts) < 150
-    assert hotkeys.large_keys(rows, ["k"], 1000) is None
+    assert hotkeys.large_keys(rows, ["k"], 2001) is None
+
+
+def test_sampled_search_finds_exactly_the_large_keys(spark):
+    rows = spark.range(60000).select(F.when(F.col("id") < 20000, None).when(F.col("id") < 22000, 1).when(F.col("id") < 22900, 2).otherwise(F.col("id")).alias("k"))
+    found = hotkeys.large_keys(rows, ["k"], 1000)
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, 2), (None, 20)]
+    assert hotkeys.large_keys(rows.filter("k > 2"), ["k"], 1000) is None
 
 
 def test_unnest_keeps_empty_only_on_request(spark):
@@ -145,3 +152,24 @@ def test_jdbc_bounds_are_checked(spark):
     for bad in ((5, 5, 4), (0, 10, 0)):
         with pytest.raises(ValueError):
             jdbc.read_partitioned(spark, "jdbc:none:", "t", "id", *bad)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace.session import scratch
+
+    def fake(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch(fake("yarn", None), "x")
+    assert scratch(fake("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+
+
+def test_sql_function_describes_itself(spark):
+    from millrace.functions.udfs import define_sql_function
+
+    define_sql_function(spark, "twice_as_much", "x INT", "INT", "x * 2")
+    assert spark.sql("SELECT twice_as_much(4)").first()[0] == 8
+    assert "twice_as_much" in "\n".join(r[0] for r in spark.sql("DESCRIBE FUNCTION twice_as_much").collect())

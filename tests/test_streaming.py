@@ -158,3 +158,21 @@ def test_stream_join_with_salt_and_watermark(spark, folder):
     joined = D.enrich_stream(*streams, ["k"], salts=3, stream_watermark=("ts", "1 hour"), other_watermark=("ts2", "1 hour")).select("id", "name")
     D.append_stream(joined, f"{folder}/out", f"{folder}/cp")
     assert sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").collect()) == [(i, "odd" if i % 2 else "even") for i in range(50)]
+
+
+def test_continuous_run_can_be_stopped(spark, folder):
+    spark.range(4).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{folder}/in")
+    query = D.append_stream(stream, f"{folder}/out", f"{folder}/cp", continuous_every="1 second")
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
+def test_datasets_describe_themselves(spark, folder):
+    sets = D.Datasets(spark, folder)
+    sets.dataset(D.TABLE, name="t", comment="three rows", properties={"quality": "gold"}, expectations=[Expectation("e", "true")])(lambda s: spark.range(3))
+    assert sets.describe().collect() == [("t", D.TABLE, "three rows", {"quality": "gold"}, ["e"])]
