@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import scratch
+
 BROADCAST_KEYS = 100_000  # more large keys than this are joined by shuffle
 SAMPLED_ROWS = 200
 
@@ -35,13 +37,19 @@ def large_keys(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None
     n = candidates.count()
     if n == 0:
         return None
-    few = n <= BROADCAST_KEYS
-    candidates = F.broadcast(candidates) if few else candidates
+    candidates = F.broadcast(candidates) if n <= BROADCAST_KEYS else candidates
     found = (
         narrow.join(candidates, _same(keys), "left_semi").groupBy(*keys).count().filter(F.col("count") > limit)
         .select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("count") / limit).alias("__parts"))
     )
-    return F.broadcast(found) if few else found
+    # Written once: the caller joins it to both sides, and must see the same keys in each.
+    path = scratch(rows.sparkSession, "large-keys")
+    found.write.parquet(path)
+    found = rows.sparkSession.read.schema(found.schema).parquet(path)
+    n = found.count()
+    if n == 0:
+        return None
+    return F.broadcast(found) if n <= BROADCAST_KEYS else found
 
 
 def with_parts(df: DataFrame, keys: list[str], large: DataFrame) -> DataFrame:
