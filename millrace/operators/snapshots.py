@@ -148,19 +148,23 @@ class SnapshotTable:
     def _commit(
         self, operation: str, rows: DataFrame | None, keep: list, schema: T.StructType, *, previous=None,
         partition_by: list[str] | None = None, constraints=None, generated=None, comment=None, tag=None,
+        replace_partitions: bool = False,
     ) -> int:
         if VERSION_FOLDER in (n.lower() for n in schema.names):
             raise SchemaMismatch(f"a column may not be called {VERSION_FOLDER}")
         version = previous["version"] + 1 if previous else 0
         partition_by = list(partition_by or [])
         constraints, generated = dict(constraints or {}), dict(generated or {})
-        parts = list(keep)
+        new_parts = []
         if rows is not None:
             folder = f"{VERSION_FOLDER}={version}"
             target = f"{self.root}/data/{folder}"
             rows, seen = self._checked(rows.select(*[F.col(f"`{n}`") for n in schema.names]), constraints)
-            writer = rows.write.mode("overwrite")
-            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+            if partition_by:
+                # Gather each partition in few files; one too large for a task is split.
+                rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+            else:
+                rows.write.mode("overwrite").parquet(target)
             if seen is not None:
                 broken = {k: v for k, v in seen.get.items() if v}
                 if broken:
@@ -173,7 +177,11 @@ class SnapshotTable:
                 found = {r["__part"][len(self.root) + 1:]: r["count"] for r in counts}
             else:
                 found = {folder: self._read_parts(whole, schema).count()}
-            parts += [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in found.items() if n]
+            new_parts = [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in found.items() if n]
+        if replace_partitions:
+            written = {p["uri"].partition("/")[2] for p in new_parts}
+            keep = [p for p in keep if p["uri"].partition("/")[2] not in written]
+        parts = [*keep, *new_parts]
         before = sum(p["rows"] for p in previous["parts"]) if previous else 0
         kept = sum(p["rows"] for p in keep)
         after = sum(p["rows"] for p in parts)
@@ -186,12 +194,12 @@ class SnapshotTable:
         storage.create_text(self.spark, self._history_file(version), json.dumps(entry))
         return version
 
-    def _again(self, previous, operation: str, rows: DataFrame | None, keep: list, schema=None, tag=None) -> int:
+    def _again(self, previous, operation: str, rows: DataFrame | None, keep: list, schema=None, tag=None, **options) -> int:
         """Commit with the table's own layout and rules."""
         return self._commit(
             operation, rows, keep, schema or T.StructType.fromJson(json.loads(previous["schema"])), previous=previous,
             partition_by=previous["partition_by"], constraints=previous["constraints"],
-            generated=previous["generated"], comment=previous["comment"], tag=tag,
+            generated=previous["generated"], comment=previous["comment"], tag=tag, **options,
         )
 
     def _fit(self, df: DataFrame, entry, allow_missing: bool = False) -> DataFrame:
@@ -230,15 +238,7 @@ class SnapshotTable:
         entry = self._entry()
         if not entry["partition_by"]:
             raise ValueError(f"{self.root} is not partitioned")
-        names = entry["partition_by"]
-        rows = self._fit(df, entry)
-        incoming = rows.select(*names).distinct()
-        # Bounded by the number of partitions: one file-free look per part's partition values.
-        held = self._read_parts(entry["parts"], T.StructType.fromJson(json.loads(entry["schema"])), True).select(*names, "__part").distinct()
-        same = reduce(lambda a, b: a & b, [F.col(f"h.{n}").eqNullSafe(F.col(f"i.{n}")) for n in names])
-        hit = {r["__part"] for r in held.alias("h").join(incoming.alias("i"), same, "left_semi").select("__part").distinct().collect()}
-        keep = [p for p in entry["parts"] if self._part_label(p) not in hit]
-        return self._again(entry, "OVERWRITE PARTITIONS", rows, keep)
+        return self._again(entry, "OVERWRITE PARTITIONS", self._fit(df, entry), entry["parts"], replace_partitions=True)
 
     def append(self, df: DataFrame, allow_missing: bool = False, tag: str | None = None) -> int:
         """Add rows; none of the old files is read or moved. A tag is applied once only."""
