@@ -259,18 +259,23 @@ def meta_details(spark, sf):
     return catalog.file_details(table(spark, sf, "lineitem"))
 
 
-@query("meta_listing")
+@query("meta_listing", "select 'orders' as table_name, count(*) as n from orders union all select 'customer', count(*) from customer")
 def meta_listing(spark, sf):
+    """Tables of a schema, with their row counts."""
     schema = own_schema(spark)
-    table(spark, sf, "orders").write.saveAsTable(f"{schema}.orders")
-    return spark.sql(f"SHOW TABLES IN {schema}")
+    for name in ("orders", "customer"):
+        table(spark, sf, name).write.saveAsTable(f"{schema}.{name}")
+    listed = spark.sql(f"SHOW TABLES IN {schema}").filter("NOT isTemporary").select(F.col("tableName").alias("table_name"))
+    counts = [spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(n)) for n in ("orders", "customer")]
+    return listed.join(counts[0].unionByName(counts[1]), "table_name")
 
 
-@query("meta_describe")
+@query("meta_describe", "select column_name as col_name from (describe select * from orders)")
 def meta_describe(spark, sf):
     schema = own_schema(spark)
     table(spark, sf, "orders").write.saveAsTable(f"{schema}.orders")
-    return spark.sql(f"DESCRIBE EXTENDED {schema}.orders")
+    described = spark.sql(f"DESCRIBE {schema}.orders")
+    return described.select("col_name")
 
 
 def by_day_folders(spark, sf):

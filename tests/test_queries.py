@@ -23,7 +23,7 @@ def test_every_oracle_has_a_query():
 
 
 def test_only_file_facts_lack_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"meta_describe", "meta_details", "meta_listing", "src_binary_stats"}
+    assert set(QUERIES) - set(ORACLES) == {"meta_details", "src_binary_stats"}
 
 
 def test_entry(spark):
