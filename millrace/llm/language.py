@@ -194,11 +194,13 @@ def label(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     A null text or one without a letter gets ``und`` and 0, as does every text if no language was
     learned. Ties go to the first label in alphabetical order. Repeated rows are labelled one by one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.labels, [(x.byte, x.state) for x in model.layers], model.out, model.bias))
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, layers, *rest = shared.value
+        model = Model(labels, tuple(Layer(*x) for x in layers), *rest)
         for batch in stream:
-            model, n = shared.value, batch.num_columns
+            n = batch.num_columns
             known = np.array(batch.column(n - 2).to_pylist(), bool) & bool(model.labels)
             values = [b if ok else b"" for b, ok in zip(batch.column(n - 1).to_pylist(), known)]
             p = model.documents(values) if model.labels else np.zeros((len(values), 1))

@@ -144,11 +144,12 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     of any length are scored whole, a block at a time. Repeated rows are scored one by one.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.weight, model.bias))
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in stream:
-            s = shared.value.scores(batch.column(batch.num_columns - 1).to_pylist())
+            s = model.scores(batch.column(batch.num_columns - 1).to_pylist())
             yield table_of(batch, keep, score=pa.array(s), predicted=pa.array((s >= 0.5).astype(np.int32)))
 
     rows = docs.select(*keep, as_bytes(F.col("text")).alias("__bytes"))
