@@ -32,6 +32,7 @@ SYMBOLS = "#*$%&|<>"
 REACH = 2.0
 LEAST = {"chars_per_token": 0.2, "byte_share": 0.05, "entropy": 0.03}
 FEWEST = 30  # documents that a band is taken from; below, that of the whole language, then none
+BROADCAST_ROWS = 10_000
 #: First and last code point of the larger scripts.
 SCRIPTS = (
     ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("hebrew", 0x590, 0x5FF), ("arabic", 0x600, 0x6FF), ("indic", 0x900, 0xDFF),
@@ -155,8 +156,8 @@ def judge(measured: DataFrame, reach: float = REACH) -> DataFrame:
     band = sound.groupBy("__group", "__octave").agg(*quartiles, F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= FEWEST)
     wide = sound.groupBy("__group").agg(*quartiles, F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= FEWEST)
     narrow = [F.col(n).alias(f"__{n}") for n in LEAST]
-    joined = rows.join(band.select("__group", "__octave", *narrow), ["__group", "__octave"], "left")
-    joined = joined.join(wide.select("__group", *[F.col(n).alias(f"__all_{n}") for n in LEAST]), "__group", "left")
+    joined = rows.join(_small(band.select("__group", "__octave", *narrow)), ["__group", "__octave"], "left")
+    joined = joined.join(_small(wide.select("__group", *[F.col(n).alias(f"__all_{n}") for n in LEAST])), "__group", "left")
     inside = F.lit(True)
     for name, least in LEAST.items():
         q = F.coalesce(f"__{name}", f"__all_{name}")
@@ -168,6 +169,14 @@ def judge(measured: DataFrame, reach: float = REACH) -> DataFrame:
     return joined.select(*measured.columns, "base_failed", "kept")
 
 
+def _small(bands: DataFrame) -> DataFrame:
+    """Broadcast, if there are at most ``BROADCAST_ROWS`` bands."""
+    spark, path = bands.sparkSession, scratch(bands.sparkSession, "bands")
+    bands.write.parquet(path)
+    bands = spark.read.schema(bands.schema).parquet(path)
+    return F.broadcast(bands) if bands.count() <= BROADCAST_ROWS else bands
+
+
 def rate(docs: DataFrame, keep: list[str] = ["doc_id"], vocabulary: str = VOCABULARY) -> DataFrame:
     """Measure and judge documents that have columns ``text`` and ``lang``.
 

@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("toxicity", "language", "neighbours", "packing", "mixing", "fertility", "pages")
+MODULES = ("toxicity", "language", "neighbours", "packing", "mixing", "similar", "fertility", "pages")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:

@@ -23,19 +23,28 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def pieces(values: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
-    """(index of the text, bytes): texts over the limit are cut behind white space where there is any."""
+_WHITE = [bytes([c]) for c in b" \t\n\x0b\x0c\r"]
+
+
+def pieces(values: list[bytes], limit: int = BLOCK_BYTES, hard: bool = True) -> Iterator[tuple[int, bytes]]:
+    """(index of the text, bytes): texts over the limit are cut behind white space.
+
+    Where there is none, a text is cut at the limit if ``hard`` is set, else behind the next there is.
+    """
     for i, value in enumerate(values):
         start = 0
         while len(value) - start > limit:
-            cut = value.rfind(b" ", start, start + limit) + 1
-            cut = cut if cut > start else start + limit
+            cut = max(value.rfind(c, start, start + limit) for c in _WHITE) + 1
+            if cut <= start:
+                after = [k for c in _WHITE if (k := value.find(c, start + limit)) >= 0]
+                cut = start + limit if hard else min(after) + 1 if after else len(value)
             yield i, value[start:cut]
             start = cut
-        yield i, value[start:] if start else value
+        if start < len(value) or not start:
+            yield i, value[start:]
 
 
-def blocks(values: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def blocks(values: list[bytes], limit: int = BLOCK_BYTES, hard: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, start of each piece, its text's index): pieces joined by one space, also at both ends."""
     part: list[bytes] = []
     owner: list[int] = []
@@ -46,7 +55,7 @@ def blocks(values: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[np.n
         starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1])) + 1
         return np.frombuffer(b" " + b" ".join(part) + b" ", np.uint8), starts, np.array(owner)
 
-    for i, piece in pieces(values, limit):
+    for i, piece in pieces(values, limit, hard):
         if part and size + len(piece) > limit:
             yield joined()
             part, owner, size = [], [], 0
