@@ -4,9 +4,9 @@ A document's set are the hashes of its distinct shingles. Documents with equal s
 Tokens are put in one order, rarest first; two sets with Jaccard at least t share a token among the
 first n - ceil(t n) + 1 of either (the head of a set of n).
 
-1. Entries that share a head token with a smaller entry are checked against the one they share most
-   with. The links found join entries to groups of similar documents. Entries without a link are groups
-   of one.
+1. In a few rounds, each entry is checked against one entry of another group, of those that come first
+   at its head tokens the one it shares most with. The links found join entries to groups of similar
+   documents; an entry without a link is a group of one.
 2. The token-group matrix has a row for each head token and group that still meets another group there.
    A group's token union is kept as a bitmap of token buckets. The number of a query's buckets outside
    the union bounds its overlap with every member from above; only groups whose bound reaches the
@@ -35,9 +35,11 @@ from millrace.tables import table
 
 WORDS = 4
 PERCENT = 85
-COMMON = 200_000  # tokens that the order knows as frequent, at most; the order never changes the result
+COMMON = 1_000_000  # tokens that the order knows as frequent, at most; the order never changes the result
 OFTEN = 3  # documents of an Arrow batch that make a token worth counting
 BLOCK = 2048  # entries of a head token that meet in one block
+STARS = 3  # rounds of the first step, at most
+BROADCAST_IDS = 500_000  # ids sent to every task to pick their texts, at most; more are joined by shuffle
 RUN = 50_000  # rows of a frequent head token that are looked at together in the first step
 BATCH_BYTES = 1 << 20
 
@@ -230,29 +232,27 @@ def _sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> Data
 
 
 def _meetings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, entry, lead): rows of tokens that several entries share, with the smallest entry.
+    """(token, entry): rows of tokens that several entries share.
 
-    Rows come sorted by token, cell and entry; only the first row of the current token is held.
+    Rows come sorted by token, cell and entry; a token's first row is held until a second one comes.
     """
-    last, lead, waiting = None, None, False
+    last, lead = None, None
     for batch in stream:
         token, cell, entry = (batch.column(i).to_numpy() for i in range(3))
         if not len(token):
             continue
         starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1])) + 1))
         lengths = np.diff(np.concatenate((starts, [len(token)])))
-        first = entry[starts].copy()
         more = last == (token[0], cell[0])
-        if more:
-            first[0] = lead
         several = lengths > 1
         several[0] |= more
+        several |= cell[starts] >= 0  # of a token in several cells, every row counts
         keep = np.repeat(several, lengths)
-        t, e, f = token[keep], entry[keep], np.repeat(first, lengths)[keep]
-        if more and waiting:
-            t, e, f = np.concatenate((token[:1], t)), np.concatenate(([lead], e)), np.concatenate(([lead], f))
-        last, lead, waiting = (token[-1], cell[-1]), first[-1], not several[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(e), pa.array(f)], ["token", "entry", "lead"])
+        t, e = token[keep], entry[keep]
+        if more and lead is not None:
+            t, e = np.concatenate((token[:1], t)), np.concatenate(([lead], e))
+        last, lead = (token[-1], cell[-1]), None if several[-1] else entry[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(e)], ["token", "entry"])
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -280,13 +280,58 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_bytes", "b_bytes").mapInArrow(checked, "a long, b long")
 
 
-def _between_groups(meetings: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different groups that share a head token and pass the bounds."""
-    rows = meetings.select("token", "entry").join(groups.select(F.col("node").alias("entry"), "component"), "entry", "left")
-    rows = _written(rows.select("token", "entry", F.coalesce("component", "entry").alias("group")), "token-groups")
-    several = rows.groupBy("token").agg(F.min("group").alias("__a"), F.max("group").alias("__b"), F.count(F.lit(1)).alias("__n")).filter("__a < __b")
-    rows = rows.join(several.select("token", F.ceil(F.col("__n") / BLOCK).cast("int").alias("__blocks")), "token")
-    rows = rows.join(sets.select(F.col("doc_id").alias("entry"), "n", "bits"), "entry")
+def _sent(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is small."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _picked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the documents in some pair."""
+    ids = _written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "pair-ids")
+    ids = _sent(ids)
+    texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes"))
+    return _written(texts.join(ids, "doc_id", "left_semi"), "pair-texts")
+
+
+def _grouped(meetings: DataFrame, edges: DataFrame) -> DataFrame:
+    """(token, entry, group) of tokens where several groups meet."""
+    groups = components(edges).select(F.col("node").alias("entry"), "component")
+    rows = meetings.select("token", "entry").join(groups, "entry", "left").select("token", "entry", F.coalesce("component", "entry").alias("group"))
+    rows = _written(rows, "token-groups")
+    several = rows.groupBy("token").agg(F.min("group").alias("__a"), F.max("group").alias("__b")).filter("__a < __b").select("token")
+    return rows.join(several, "token", "left_semi")
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow the threshold."""
+
+    def passed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            n, m, x, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            keep = pa.array([may_link(*row, percent) for row in zip(n, m, x, y)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
+    joined = pairs.join(left, "a").filter("a_n > 0").join(right, "b").filter("b_n > 0")
+    return joined.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(passed, "a long, b long").distinct()
+
+
+def _stars(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each entry of (token, entry, group) with one entry of another group that it may link with."""
+    first = rows.groupBy("token").agg(F.min(F.struct("group", "entry")).alias("first"))
+    met = rows.join(first, "token").filter("group <> first.group")
+    counts = met.groupBy("entry", F.col("first.entry").alias("lead")).count()
+    heads = sets.select(F.col("doc_id").alias("entry"), F.size("head").alias("__head"))
+    counts = counts.join(heads, "entry").filter("4 * count >= __head")
+    best = counts.groupBy("entry").agg(F.max(F.struct("count", (-F.col("lead")).alias("down"))).alias("best"))
+    return _bounded(best.select(F.col("entry").alias("a"), (-F.col("best.down")).alias("b")), sets, percent)
+
+
+def _between(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different groups that share a token of (token, entry, group) and pass the bounds."""
+    blocks = rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
+    rows = rows.join(blocks, "token").join(sets.filter("n > 0").select(F.col("doc_id").alias("entry"), "n", "bits"), "entry")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("entry"), F.col("__blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     rows = rows.withColumn("__other", other).withColumns({"low": F.least("block", "__other"), "high": F.greatest("block", "__other")})
@@ -329,22 +374,23 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 
     # A token in more rows than RUN is looked at in several cells; one that is not in the list is rare.
     cells = common.filter(F.col("n") > RUN).select("token", F.ceil(F.col("n") / RUN).alias("__cells"))
-    heads = able.select("doc_id", "head").join(classes.select(F.col("entry").alias("doc_id")), "doc_id", "left_semi")
+    heads = able.select("doc_id", "head").join(_sent(classes.select(F.col("entry").alias("doc_id"))), "doc_id", "left_semi")
     heads = heads.select(F.explode("head").alias("token"), F.col("doc_id").alias("entry")).join(F.broadcast(cells), "token", "left")
-    heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(0)).cast("int").alias("cell"), "entry")
+    heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(-1)).cast("int").alias("cell"), "entry")
     heads = heads.repartition("token", "cell").sortWithinPartitions("token", "cell", "entry")
-    meetings = _written(heads.mapInArrow(_meetings, "token long, entry long, lead long"), "shared-tokens")
-
-    wanted = meetings.select(F.col("entry").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes")).join(wanted, "doc_id", "left_semi")
-    texts = _written(texts, "candidate-texts")
-
-    counts = meetings.filter("entry <> lead").groupBy("entry", "lead").count()
-    best = counts.groupBy("entry").agg(F.max(F.struct("count", (-F.col("lead")).alias("down"))).alias("best"))
-    star = best.select(F.col("entry").alias("a"), (-F.col("best.down")).alias("b"))
-    edges = _written(_exact(star, texts, words, percent), "links")
-    between = _between_groups(meetings, components(edges), sets, percent)
-    edges = edges.unionAll(_written(_exact(between, texts, words, percent), "links"))
+    meetings = _written(heads.mapInArrow(_meetings, "token long, entry long"), "shared-tokens")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = _written(pairs, "pairs")
+        return _written(_exact(pairs, _picked(docs, pairs), words, percent), "links")
+
+    edges = spark.createDataFrame([], "a long, b long")
+    for _ in range(STARS):
+        more = checked(_stars(_grouped(meetings, edges), sets, percent))
+        edges = edges.unionAll(more)
+        if more.limit(1).count() == 0:
+            break
+    edges = edges.unionAll(checked(_between(_grouped(meetings, edges), sets, percent)))
 
     known = components(edges)
     classes = classes.join(known.select(F.col("node").alias("entry"), "component"), "entry", "left")
