@@ -314,7 +314,7 @@ def _compared(stream: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Columns ``keep`` of every document with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes left.
+    """Columns ``keep`` of every document (doc_id, text) with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes left.
 
     A null or empty text, and one shorter than ``length`` bytes, loses nothing. A repeated row is a
     document of its own, so both lose all windows. Cuts follow bytes and may divide a character.
@@ -327,8 +327,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    rows = docs.select(*keep, as_bytes(F.col("text")).alias("__bytes"))
-    rows = rows.withColumn("__key", F.xxhash64(*[c for c in keep if c == "doc_id"], "__bytes"))
+    raw = as_bytes(F.col("text"))
+    rows = docs.select(*keep, raw.alias("__bytes"), F.xxhash64("doc_id", raw).alias("__key"))
     found = written(rows.select("__key", "__bytes").mapInArrow(lambda s: _stretches(s, length, gram), STRETCH), "stretches")
     dealt = found.filter("copies > 0").repartition("anchor").sortWithinPartitions("anchor", "content", "key", "first")
     verdicts = written(dealt.mapInArrow(_verdicts, VERDICT), "stretch-verdicts")

@@ -280,7 +280,7 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "a_bytes", "b_bytes").mapInArrow(checked, "a long, b long")
 
 
-def _sent(ids: DataFrame) -> DataFrame:
+def sent(ids: DataFrame) -> DataFrame:
     """A written table of ids, to be broadcast if it is small."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
@@ -288,7 +288,7 @@ def _sent(ids: DataFrame) -> DataFrame:
 def _picked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The texts of the documents in some pair."""
     ids = _written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "pair-ids")
-    ids = _sent(ids)
+    ids = sent(ids)
     texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes"))
     return _written(texts.join(ids, "doc_id", "left_semi"), "pair-texts")
 
@@ -374,7 +374,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 
     # A token in more rows than RUN is looked at in several cells; one that is not in the list is rare.
     cells = common.filter(F.col("n") > RUN).select("token", F.ceil(F.col("n") / RUN).alias("__cells"))
-    heads = able.select("doc_id", "head").join(_sent(classes.select(F.col("entry").alias("doc_id"))), "doc_id", "left_semi")
+    heads = able.select("doc_id", "head").join(sent(classes.select(F.col("entry").alias("doc_id"))), "doc_id", "left_semi")
     heads = heads.select(F.explode("head").alias("token"), F.col("doc_id").alias("entry")).join(F.broadcast(cells), "token", "left")
     heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(-1)).cast("int").alias("cell"), "entry")
     heads = heads.repartition("token", "cell").sortWithinPartitions("token", "cell", "entry")
