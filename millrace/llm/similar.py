@@ -1,20 +1,22 @@
 """Near-duplicate documents: all links of a Jaccard join on word shingles, by a token-group matrix.
 
 A document's set are the hashes of its distinct shingles. Documents with equal sets are one entry.
-Tokens are put in one order, rarest first; two sets with Jaccard at least t share a token among the
-first n - ceil(t n) + 1 of either (the head of a set of n).
+Tokens are put in one order, rarest first; two sets with Jaccard at least t share ``SHARED`` tokens among
+the first n - ceil(t n) + SHARED of either (the head of a set of n). Different sets with a link have at
+least six tokens at t = 0.85, so there are that many.
 
 1. In a few rounds, each entry is checked against one entry of another group, of those that come first
    at its head tokens the one it shares most with. The links found join entries to groups of similar
    documents; an entry without a link is a group of one.
-2. The token-group matrix has a row for each head token and group that still meets another group there.
-   A group's token union is kept as a bitmap of token buckets. The number of a query's buckets outside
+2. The token-group matrix has a row for each head token and entry where several groups still meet.
+   At a token of few entries, pairs of fitting size are counted; those that meet ``SHARED`` times stay.
+   At a token of many, groups are bounded first: a group's token union is kept as a bitmap of token buckets. The number of a query's buckets outside
    the union bounds its overlap with every member from above; only groups whose bound reaches the
    threshold are opened, and their members go through the same test one by one.
 3. The pairs left are checked exactly, on the sets themselves.
 
 Links within a group need no search, as its members are connected already; no link between groups is
-lost, as every pair with a common head token is considered. Components are the result.
+lost: a pair shares a token of many entries, or ``SHARED`` tokens of few. Components are the result.
 """
 
 from __future__ import annotations
@@ -38,7 +40,9 @@ PERCENT = 85
 COMMON = 1_000_000  # tokens that the order knows as frequent, at most; the order never changes the result
 OFTEN = 3  # documents of an Arrow batch that make a token worth counting
 BLOCK = 2048  # entries of a head token that meet in one block
-STARS = 3  # rounds of the first step, at most
+SHARED = 3
+FEW = 32  # entries of a token whose pairs are counted rather than bounded
+STARS = 6  # rounds of the first step, at most
 BROADCAST_IDS = 500_000  # ids sent to every task to pick their texts, at most; more are joined by shuffle
 RUN = 50_000  # rows of a frequent head token that are looked at together in the first step
 BATCH_BYTES = 1 << 20
@@ -116,7 +120,7 @@ class Shingles:
 
 
 def head_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return min(n, n - (percent * n + 99) // 100 + SHARED)
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
@@ -232,13 +236,13 @@ def _sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> Data
 
 
 def _meetings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, entry): rows of tokens that several entries share.
+    """(token, entry, n): rows of tokens that several entries share.
 
     Rows come sorted by token, cell and entry; a token's first row is held until a second one comes.
     """
     last, lead = None, None
     for batch in stream:
-        token, cell, entry = (batch.column(i).to_numpy() for i in range(3))
+        token, cell, entry, n = (batch.column(i).to_numpy() for i in range(4))
         if not len(token):
             continue
         starts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1])) + 1))
@@ -248,11 +252,11 @@ def _meetings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several[0] |= more
         several |= cell[starts] >= 0  # of a token in several cells, every row counts
         keep = np.repeat(several, lengths)
-        t, e = token[keep], entry[keep]
+        rows = [x[keep] for x in (token, entry, n)]
         if more and lead is not None:
-            t, e = np.concatenate((token[:1], t)), np.concatenate(([lead], e))
-        last, lead = (token[-1], cell[-1]), None if several[-1] else entry[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(e)], ["token", "entry"])
+            rows = [np.concatenate(([x], y)) for x, y in zip((token[0], *lead), rows)]
+        last, lead = (token[-1], cell[-1]), None if several[-1] else (entry[-1], n[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["token", "entry", "n"])
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -285,21 +289,19 @@ def sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _picked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in some pair."""
-    ids = _written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "pair-ids")
-    ids = sent(ids)
-    texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes"))
-    return _written(texts.join(ids, "doc_id", "left_semi"), "pair-texts")
+def _ids(pairs: DataFrame) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return sent(_written(ids, "pair-ids"))
 
 
 def _grouped(meetings: DataFrame, edges: DataFrame) -> DataFrame:
-    """(token, entry, group) of tokens where several groups meet."""
+    """(token, entry, n, group, __count) of tokens where several groups meet."""
     groups = components(edges).select(F.col("node").alias("entry"), "component")
-    rows = meetings.select("token", "entry").join(groups, "entry", "left").select("token", "entry", F.coalesce("component", "entry").alias("group"))
+    rows = meetings.join(groups, "entry", "left").select("token", "entry", "n", F.coalesce("component", "entry").alias("group"))
     rows = _written(rows, "token-groups")
-    several = rows.groupBy("token").agg(F.min("group").alias("__a"), F.max("group").alias("__b")).filter("__a < __b").select("token")
-    return rows.join(several, "token", "left_semi")
+    several = rows.groupBy("token").agg(F.min("group").alias("__a"), F.max("group").alias("__b"), F.count(F.lit(1)).alias("__count"))
+    several = several.filter("__a < __b").select("token", "__count")
+    return _written(rows.join(several, "token"), "token-groups")
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -311,27 +313,68 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array([may_link(*row, percent) for row in zip(n, m, x, y)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
-    joined = pairs.join(left, "a").filter("a_n > 0").join(right, "b").filter("b_n > 0")
+    pairs = _written(pairs, "pairs")
+    maps = _written(sets.filter("n > 0").select("doc_id", "n", "bits").join(_ids(pairs), "doc_id", "left_semi"), "pair-maps")
+    left = maps.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
+    right = maps.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
+    joined = pairs.join(left, "a").join(right, "b")
     return joined.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(passed, "a long, b long").distinct()
 
 
-def _stars(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each entry of (token, entry, group) with one entry of another group that it may link with."""
-    first = rows.groupBy("token").agg(F.min(F.struct("group", "entry")).alias("first"))
-    met = rows.join(first, "token").filter("group <> first.group")
-    counts = met.groupBy("entry", F.col("first.entry").alias("lead")).count()
-    heads = sets.select(F.col("doc_id").alias("entry"), F.size("head").alias("__head"))
-    counts = counts.join(heads, "entry").filter("4 * count >= __head")
+def _fit(n, m, percent: int):
+    return percent * F.greatest(n, m) <= 100 * F.least(n, m)
+
+
+def _stars(rows: DataFrame, sets: DataFrame, percent: int, number: int) -> DataFrame:
+    """Each entry of ``_grouped`` rows with one entry of another group that it may link with.
+
+    Of the first group at a token, another entry leads in every round.
+    """
+    first = rows.groupBy("token").agg(F.min(F.struct("group", F.xxhash64("entry", F.lit(number)).alias("order"), "entry", "n")).alias("first"))
+    met = rows.join(first, "token").filter((F.col("group") != F.col("first.group")) & _fit(F.col("n"), F.col("first.n"), percent))
+    counts = met.groupBy("entry", F.col("first.entry").alias("lead")).count().filter(F.col("count") >= SHARED)
     best = counts.groupBy("entry").agg(F.max(F.struct("count", (-F.col("lead")).alias("down"))).alias("best"))
     return _bounded(best.select(F.col("entry").alias("a"), (-F.col("best.down")).alias("b")), sets, percent)
 
 
-def _between(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different groups that share a token of (token, entry, group) and pass the bounds."""
-    blocks = rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
-    rows = rows.join(blocks, "token").join(sets.filter("n > 0").select(F.col("doc_id").alias("entry"), "n", "bits"), "entry")
+def _counted(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that meet at ``SHARED`` tokens of few entries."""
+
+    def pairs(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def met(columns: list[np.ndarray]) -> pa.RecordBatch:
+            token, entry, n, group = columns
+            found = []
+            for k in range(1, FEW):  # each row with the k-th behind it
+                if k >= len(token):
+                    break
+                ok = (token[k:] == token[:-k]) & (group[k:] != group[:-k]) & (entry[k:] != entry[:-k])
+                ok &= percent * np.maximum(n[k:], n[:-k]) <= 100 * np.minimum(n[k:], n[:-k])
+                found.append((entry[:-k][ok], entry[k:][ok]))
+            a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in stream:
+            now = [batch.column(i).to_numpy() for i in range(4)]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            if not len(now[0]):
+                continue
+            last = int(np.searchsorted(now[0], now[0][-1]))
+            yield met([x[:last] for x in now])
+            held = [x[last:] for x in now]
+        if held is not None and len(held[0]):
+            yield met(held)
+
+    few = rows.filter(F.col("__count") <= FEW).select("token", "entry", "n", "group").repartition("token").sortWithinPartitions("token", "entry")
+    return few.mapInArrow(pairs, "a long, b long").groupBy("a", "b").count().filter(F.col("count") >= SHARED).select("a", "b")
+
+
+def _opened(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that share a token of many entries and pass the bounds."""
+    rows = _written(rows.filter(F.col("__count") > FEW), "token-group-matrix")
+    maps = sets.filter("n > 0").select("doc_id", "bits").join(sent(_written(rows.select(F.col("entry").alias("doc_id")).distinct(), "matrix-ids")), "doc_id", "left_semi")
+    rows = rows.join(maps.withColumnRenamed("doc_id", "entry"), "entry").withColumn("__blocks", F.ceil(F.col("__count") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("entry"), F.col("__blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     rows = rows.withColumn("__other", other).withColumns({"low": F.least("block", "__other"), "high": F.greatest("block", "__other")})
@@ -374,23 +417,27 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 
     # A token in more rows than RUN is looked at in several cells; one that is not in the list is rare.
     cells = common.filter(F.col("n") > RUN).select("token", F.ceil(F.col("n") / RUN).alias("__cells"))
-    heads = able.select("doc_id", "head").join(sent(classes.select(F.col("entry").alias("doc_id"))), "doc_id", "left_semi")
-    heads = heads.select(F.explode("head").alias("token"), F.col("doc_id").alias("entry")).join(F.broadcast(cells), "token", "left")
-    heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(-1)).cast("int").alias("cell"), "entry")
+    heads = able.select("doc_id", "n", "head").join(sent(classes.select(F.col("entry").alias("doc_id"))), "doc_id", "left_semi")
+    heads = heads.select(F.explode("head").alias("token"), F.col("doc_id").alias("entry"), "n").join(F.broadcast(cells), "token", "left")
+    heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(-1)).cast("int").alias("cell"), "entry", "n")
     heads = heads.repartition("token", "cell").sortWithinPartitions("token", "cell", "entry")
-    meetings = _written(heads.mapInArrow(_meetings, "token long, entry long"), "shared-tokens")
+    meetings = _written(heads.mapInArrow(_meetings, "token long, entry long, n long"), "shared-tokens")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = _written(pairs, "pairs")
-        return _written(_exact(pairs, _picked(docs, pairs), words, percent), "links")
+        texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes"))
+        texts = _written(texts.join(_ids(pairs), "doc_id", "left_semi"), "pair-texts")
+        return _written(_exact(pairs, texts, words, percent), "links")
 
     edges = spark.createDataFrame([], "a long, b long")
-    for _ in range(STARS):
-        more = checked(_stars(_grouped(meetings, edges), sets, percent))
+    for number in range(STARS):
+        more = checked(_stars(_grouped(meetings, edges), sets, percent, number))
         edges = edges.unionAll(more)
         if more.limit(1).count() == 0:
             break
-    edges = edges.unionAll(checked(_between(_grouped(meetings, edges), sets, percent)))
+    rows = _grouped(meetings, edges)
+    between = _bounded(_counted(rows, percent), sets, percent).unionAll(_opened(rows, sets, percent)).distinct()
+    edges = edges.unionAll(checked(between))
 
     known = components(edges)
     classes = classes.join(known.select(F.col("node").alias("entry"), "component"), "entry", "left")

@@ -92,9 +92,9 @@ def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10
     out = rng.normal(0, 0.3, (dim, 2)).astype(np.float32)
     bias = np.log(np.maximum(np.bincount(y, minlength=2), 1) / len(y)).astype(np.float32)
     emb_sq, out_sq, bias_sq = np.full((BUCKETS, dim), 1e-7, np.float32), np.full(out.shape, 1e-8), np.full(2, 1e-8)
-    rows = np.array([i for i in range(len(y)) if len(ids[i])])
+    rows = np.array([i for i in range(len(y)) if len(ids[i])], np.int64)
     batches = -(-len(rows) // min(128, max(8, len(rows) // 32)))
-    epochs = max(epochs, -(-STEPS // batches))
+    epochs = max(epochs, -(-STEPS // batches)) if batches else 0
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for batch in np.array_split(rng.permutation(rows), batches):
