@@ -6,20 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column | str, scale: int = 4) -> Column:
-    """Sum of doubles, each rounded to ``scale`` places, that does not depend on their order.
+def rounded_sum(value: Column | str, places: int = 2) -> Column:
+    """Sum of doubles, the result rounded: its last digits depend on the order in which tasks add.
 
-    The values are added as whole numbers, so a retried or re-split task cannot change the last
-    digits. The running sum is a 28-digit decimal and does not overflow.
+    Values of any size and NaN keep their meaning.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    whole = F.rint(value * 10**scale).cast("long").cast("decimal(18,0)")
-    return F.sum(whole).cast("double") / 10**scale
+    return _rounded(F.sum(value), places)
 
 
-def exact_avg(value: Column | str, scale: int = 4) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.try_divide(exact_sum(value, scale), F.count(value))
+def rounded_avg(value: Column | str, places: int = 4) -> Column:
+    return _rounded(F.avg(value), places)
+
+
+def _rounded(total: Column, places: int) -> Column:
+    finite = F.abs(total) < float("inf")
+    return F.when(finite, F.round(total, places)).otherwise(total)
 
 
 def cut_decimals(value: Column | str, places: int = 2) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from millrace.operators import merge as M
 from millrace.operators.cleaning import latest_per_key
 from millrace.operators.snapshots import SnapshotTable
 
+# The columns of the audit log.
 AUDIT_SCHEMA = (
     "table_name string, path string, load_date timestamp, write_mode string, load_type string, "
     "schema_version string, user string, latest_version long, base_version long"
@@ -49,6 +50,11 @@ def next_schema_version(version: str) -> str:
     return f"v_{int(version.split('_')[-1]) + 1:03d}"
 
 
+def schema_number() -> Column:
+    """Schema versions by number: v_1000 comes after v_999."""
+    return F.regexp_extract("schema_version", r"(\d+)$", 1).cast("long")
+
+
 class LoadArea:
     """A folder of loaded tables with one audit log."""
 
@@ -87,7 +93,8 @@ class LoadArea:
         rows = self.audit_rows()
         if names is not None:
             rows = rows.filter(F.col("table_name").isin(names))
-        return latest_per_key(rows, ["table_name"], ["load_date", "schema_version", "latest_version"])
+        rows = rows.withColumn("__number", schema_number())
+        return latest_per_key(rows, ["table_name"], ["load_date", "__number", "latest_version"]).drop("__number")
 
     def _latest(self, name: str) -> Row | None:
         rows = self.latest_loads([name]).collect()
@@ -98,7 +105,8 @@ class LoadArea:
         return row["load_date"] if row else None
 
     def last_schema_version(self, name: str) -> str:
-        row = self.audit_rows().filter(F.col("table_name") == name).agg(F.max("schema_version").alias("v")).collect()[0]
+        newest = F.max_by("schema_version", schema_number())
+        row = self.audit_rows().filter(F.col("table_name") == name).agg(newest.alias("v")).collect()[0]
         return row["v"] or FIRST_SCHEMA_VERSION
 
     def delete_audit_rows(self, path: str, load_date: datetime) -> int:

@@ -1,33 +1,10 @@
-"""Detail rows to one document per key, with an array of structs, and back."""
+"""Arrays of structs to one row per element."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.hotkeys import large_keys, numbered_part
-
-
-def nest_rows(
-    rows: DataFrame, keys: list[str], items: Column, into: str = "items", document_limit: int = 10_000
-) -> DataFrame:
-    """Gather ``items`` of the rows of each key into a sorted array.
-
-    Keys with at most ``document_limit`` rows give one document. A larger key is split evenly
-    over as many documents as it needs, so no task ever gathers an unbounded group, and no
-    row is lost; ``part`` numbers a key's documents.
-
-    Whether there are such keys is looked up first, in the key columns alone. Mostly there are none, and the rows are then shuffled once, without a join. ``rows``
-    should be a scan: large keys are split by row number, which a task that is run again after
-    a shuffle may give differently.
-    """
-    large = large_keys(rows, keys, document_limit)
-    if large is None:
-        split = rows.withColumn("part", F.lit(0).cast("long"))
-    else:
-        split = numbered_part(rows, keys, large, "part")
-    return split.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(items)).alias(into))
-
 
 def unnest(documents: DataFrame, array: str, into: str = "item", keep_empty: bool = False) -> DataFrame:
     """One row per array element. Rows with no element vanish unless ``keep_empty``."""

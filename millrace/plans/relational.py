@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_avg, exact_sum, net_price
+from millrace.functions.numbers import rounded_avg, rounded_sum, net_price
 from millrace.functions.text import is_email
 from millrace.operators import cleaning
 from millrace.operators.hotkeys import join_hot_keys
-from millrace.operators.nesting import nest_rows, unnest
+from millrace.operators.nesting import unnest
 from millrace.plans.registry import query
 from millrace.tables import table
 
@@ -28,11 +28,16 @@ def customer_places(spark, sf):
 PLACES = """customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
 
 
-def sales(spark, sf):
-    """Orders as documents: one row per order (or part of a very large one) with its lines nested."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    item = F.struct("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    return nest_rows(lines, ["l_orderkey"], item)
+def measured_lines(spark, sf):
+    """Order lines as documents, each with an array of its own measures."""
+    measure = lambda kind, amount: F.struct(F.lit(kind).alias("kind"), amount.cast("double").alias("amount"))
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", F.array(measure("pieces", F.col("l_quantity")), measure("place", F.col("l_linenumber"))).alias("measures")
+    )
+
+
+MEASURED = """(select l_orderkey, l_partkey, 'pieces' as kind, l_quantity as amount from lineitem
+    union all select l_orderkey, l_partkey, 'place', l_linenumber::double from lineitem)"""
 
 
 def nulled_events(spark, sf):
@@ -232,15 +237,15 @@ def j_inner_expr(spark, sf):
 
 @query(
     "j_explode_lookup",
-    """select l_orderkey, l_linenumber, l_quantity, p_name, p_type from lineitem join part on l_partkey = p_partkey""",
+    f"""select l_orderkey, kind, amount, p_name, p_type from {MEASURED} join part on l_partkey = p_partkey""",
 )
 def j_explode_lookup(spark, sf):
-    """Unnest the lines of each sale, then look up the part."""
+    """Unnest the measures of each line, and look up its part."""
     return spark.sql(
-        """SELECT l_orderkey, item.l_linenumber, item.l_quantity, p_name, p_type
-           FROM (SELECT l_orderkey, explode(items) AS item FROM {sales}) a
-           INNER JOIN {part} b ON a.item.l_partkey = b.p_partkey""",
-        sales=sales(spark, sf), part=table(spark, sf, "part"),
+        """SELECT l_orderkey, m.kind, m.amount, p_name, p_type
+           FROM (SELECT l_orderkey, l_partkey, explode(measures) AS m FROM {lines}) a
+           INNER JOIN {part} b ON a.l_partkey = b.p_partkey""",
+        lines=measured_lines(spark, sf), part=table(spark, sf, "part"),
     )
 
 
@@ -341,14 +346,14 @@ def a_avg(spark, sf):
 @query(
     "a_agg_alias",
     """select l_returnflag, l_linestatus, count(*) as n, sum(l_quantity) as sum_qty,
-    cast(sum(cast(l_extendedprice * (1 - l_discount) as decimal(18,4))) as double) as revenue,
-    cast(sum(cast(l_extendedprice as decimal(18,4))) as double) / count(*) as avg_price
+    round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue,
+    round(avg(l_extendedprice), 4) as avg_price
     from lineitem group by 1, 2""",
 )
 def a_agg_alias(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"), exact_sum(net_price()).alias("revenue"),
-        exact_avg("l_extendedprice").alias("avg_price"),
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"), rounded_sum(net_price()).alias("revenue"),
+        rounded_avg("l_extendedprice").alias("avg_price"),
     )
 
 
@@ -538,10 +543,10 @@ def o_limit(spark, sf):
 
 @query(
     "o_topk",
-    """select l_suppkey, cast(sum(cast(l_extendedprice as decimal(18,4))) as double) as total_rev from lineitem group by 1 order by 2 desc, 1 limit 3""",
+    """select l_suppkey, round(sum(l_extendedprice), 2) as total_rev from lineitem group by 1 order by 2 desc, 1 limit 3""",
 )
 def o_topk(spark, sf):
-    totals = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(exact_sum("l_extendedprice").alias("total_rev"))
+    totals = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(rounded_sum("l_extendedprice").alias("total_rev"))
     return totals.sort(F.col("total_rev").desc(), "l_suppkey").limit(3)
 
 
@@ -576,8 +581,8 @@ def x_union_by_name(spark, sf):
 
 @query(
     "arr_explode",
-    """select l_orderkey, count(*) as n, sum(l_quantity) as qty from lineitem group by 1""",
+    f"""select l_orderkey, kind, count(*) as n, sum(amount) as total from {MEASURED} group by 1, 2""",
 )
 def arr_explode(spark, sf):
-    items = unnest(sales(spark, sf), "items")
-    return items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("item.l_quantity").alias("qty"))
+    each = unnest(measured_lines(spark, sf), "measures").select("l_orderkey", "item.kind", "item.amount")
+    return each.groupBy("l_orderkey", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_avg, exact_sum, net_price
-from millrace.functions.text import email_domain
+from millrace.functions.numbers import rounded_avg, rounded_sum, net_price
+from millrace.functions.text import EMAIL_PATTERN, email_domain
 from millrace.operators import cleaning
 from millrace.operators.hotkeys import join_hot_keys
-from millrace.operators.nesting import unnest
 from millrace.operators.pivot import pivot_listed
 from millrace.operators.quality import DROP, FAIL, Expectation
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
-from millrace.plans.relational import sales
 from millrace.plans.streams import incoming, stream_of
 from millrace.session import scratch
 from millrace.streaming import datasets as D
@@ -28,7 +26,7 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 @query(
     "c_top_revenue",
     """select o_orderpriority, round(total, 2) as total_rev, round(total / n, 2) as avg_rev from (
-        select o_orderpriority, cast(sum(cast(l_extendedprice * (1 - l_discount) as decimal(18,4))) as double) as total, count(*) as n
+        select o_orderpriority, round(sum(l_extendedprice * (1 - l_discount)), 2) as total, count(*) as n
         from orders join lineitem on o_orderkey = l_orderkey group by 1) order by total desc limit 3""",
 )
 def c_top_revenue(spark, sf):
@@ -36,7 +34,7 @@ def c_top_revenue(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", net_price().alias("rev")).filter(F.col("rev").isNotNull())
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     totals = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(
-        exact_sum("rev").alias("total"), exact_avg("rev").alias("mean")
+        rounded_sum("rev").alias("total"), rounded_avg("rev").alias("mean")
     )
     top = totals.sort(F.col("total").desc()).limit(3)
     return top.select("o_orderpriority", F.round("total", 2).alias("total_rev"), F.round("mean", 2).alias("avg_rev"))
@@ -76,7 +74,7 @@ def c_clickpath(spark, sf):
     """Counts of each kind of event per user, next to each item the user bought."""
     paths = pivot_listed(table(spark, sf, "events"), ["user_id"], "event_type", KINDS, F.count, F.lit(1))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
-    bought = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
+    bought = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return join_hot_keys(orders, paths, ["user_id"]).join(bought, F.col("o_orderkey") == F.col("l_orderkey")).drop("o_orderkey")
 
 
@@ -88,9 +86,9 @@ def c_clickpath(spark, sf):
     from lineitem join part on l_partkey = p_partkey group by 1""",
 )
 def c_item_pivot(spark, sf):
-    """Quantity per order and kind of part, from nested sales."""
-    items = unnest(sales(spark, sf), "items").select("l_orderkey", "item.l_partkey", "item.l_quantity")
-    typed = items.join(table(spark, sf, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    """Quantity per order and kind of part."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    typed = lines.join(table(spark, sf, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     return pivot_listed(typed, ["l_orderkey"], "p_type", TYPES, F.sum, "l_quantity")
 
 
@@ -99,142 +97,140 @@ def c_item_pivot(spark, sf):
     """with dirty as (select case when event_type <> 'error' then user_id end as user_id, date_trunc('hour', ts) as first_touch,
         case when value > 10 then 'u' || user_id || '@' || event_type || '.example.com' end as email from events),
     clean as (select user_id, first_touch, max(email) as email from dirty where user_id is not null group by 1, 2)
-    select user_id, first_touch, email, strftime(first_touch, '%b %-d, %Y') as first_touch_date, strftime(first_touch, '%H:%M:%S') as first_touch_time,
-    split_part(email, '@', 2) as email_domain, (select count(*) from dirty where user_id is null) as user_id_nulls,
-    (select count(*) from dirty where email is null) as email_nulls, true as no_duplicates from clean""",
+    select user_id, first_touch, email, dayname(first_touch)[:3] as weekday, hour(first_touch)::integer as hour,
+    split_part(email, '@', 2) as mail_host, (select count(*) from dirty where user_id is null) as without_user,
+    (select count(*) from dirty where email is null) as without_mail, true as unique_rows from clean""",
 )
 def c_clean_users(spark, sf):
-    """Count gaps, drop and collapse, check uniqueness, derive date, time and domain."""
+    """Count gaps, drop and collapse, check uniqueness, derive weekday, hour and mail host."""
     dirty = table(spark, sf, "events").select(
         F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("first_touch"),
         F.when(F.col("value") > 10, F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@"), "event_type", F.lit(".example.com"))).alias("email"),
     )
     clean = cleaning.collapse(dirty, ["user_id", "first_touch"], ["email"])
     derived = clean.withColumns({
-        "first_touch_date": F.date_format("first_touch", "MMM d, yyyy"), "first_touch_time": F.date_format("first_touch", "HH:mm:ss"), "email_domain": email_domain("email"),
+        "weekday": F.date_format("first_touch", "EEE"), "hour": F.hour("first_touch"), "mail_host": email_domain("email"),
     })
     # Each check is one value.
     nulls = cleaning.null_counts(dirty, ["user_id", "email"])
     unique = cleaning.is_unique(clean, ["user_id", "first_touch"])
     return derived.select(
-        "*", nulls.select("user_id_nulls").scalar().alias("user_id_nulls"), nulls.select("email_nulls").scalar().alias("email_nulls"),
-        unique.scalar().alias("no_duplicates"),
+        "*", nulls.select("user_id_nulls").scalar().alias("without_user"), nulls.select("email_nulls").scalar().alias("without_mail"),
+        unique.scalar().alias("unique_rows"),
     )
 
 
 @query(
     "c_user_summary",
-    """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as total_records, cast(sum(cast(value as decimal(18,4))) as double) / count(value) as mean_value
+    """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as total_records, round(avg(value), 4) as mean_value
     from events group by 1""",
 )
 def c_user_summary(spark, sf):
     return table(spark, sf, "events").groupBy("user_id").agg(
-        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("total_records"), exact_avg("value").alias("mean_value")
+        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("total_records"), rounded_avg("value").alias("mean_value")
     ).orderBy("user_id")
 
 
-@query("c_medallion_orders", "select cast(cast(o_orderdate as date) as varchar) as order_date, count(*) as total_daily_orders from orders group by 1")
+@query("c_medallion_orders", "select cast(date_trunc('month', o_orderdate) as date)::varchar as month, count(*) as placed, count(distinct o_custkey) as buyers from orders group by 1")
 def c_medallion_orders(spark, sf):
-    """Raw files to typed stream, to checked stream, to daily counts."""
-    source = incoming(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("order_timestamp")))
-    schema = infer_schema(spark, source, infer_types=True, hints={"order_timestamp": "timestamp_ntz"})
+    """Raw files to typed stream, to checked stream, to counts by month."""
+    source = incoming(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    schema = infer_schema(spark, source, infer_types=True, hints={"o_orderdate": "timestamp_ntz"})
     sets = D.Datasets(spark, scratch(spark, "sets"), {"source": source})
 
-    @sets.dataset(D.STREAM, properties={"quality": "bronze"})
-    def orders_bronze(s):
+    @sets.dataset(D.STREAM, properties={"kept_for": "30 days"})
+    def landed(s):
         return ingest(spark, s.parameters["source"], schema)
 
-    @sets.dataset(D.STREAM, expectations=[Expectation("valid_date", "order_timestamp > '1990-01-01'", FAIL)], comment="orders with a valid time")
-    def orders_silver(s):
-        return s.read_stream("orders_bronze").drop("source_file", "_rescued_data")
+    @sets.dataset(D.STREAM, expectations=[Expectation("keyed", "o_orderkey >= 0 AND o_custkey >= 0", FAIL)], comment="orders with their keys")
+    def typed(s):
+        return s.read_stream("landed").select("o_orderkey", "o_custkey", "o_orderdate")
 
     @sets.dataset(D.TABLE)
-    def orders_by_date(s):
-        return s.read("orders_silver").groupBy(F.to_date("order_timestamp").cast("string").alias("order_date")).agg(F.count(F.lit(1)).alias("total_daily_orders"))
+    def by_month(s):
+        month = F.trunc("o_orderdate", "MM").cast("string").alias("month")
+        return s.read("typed").groupBy(month).agg(F.count(F.lit(1)).alias("placed"), F.count_distinct("o_custkey").alias("buyers"))
 
     sets.run()
-    return sets.read("orders_by_date")
+    return sets.read("by_month")
 
 
-def customers_silver(spark, sf):
-    """Latest state of each user from a feed of changes, after five rules."""
+def users_now(spark, sf):
+    """Latest state of each user from a feed of changes: removed by an error, and unreachable rows left out."""
     changes = table(spark, sf, "events").select(
-        F.col("user_id").alias("customer_id"), "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("changed_at"), F.col("event_type").alias("state"),
-        F.when(F.col("value") > 5, F.concat(F.lit("user "), F.col("user_id").cast("string"))).alias("name"),
-        F.when(F.col("value") > 3, F.concat(F.lit("u"), F.col("event_id").cast("string"), F.lit("@example.com"))).otherwise(F.lit("none")).alias("email"),
-        F.when(F.col("event_type") == "error", "DELETE").when(F.col("event_type") != "signup", "UPDATE").alias("operation"),
+        "user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.col("event_type").alias("last_action"),
+        F.when(F.col("value") > 3, F.concat(F.lit("u"), F.col("event_id").cast("string"), F.lit("@example.com"))).otherwise(F.lit("none")).alias("mail"),
+        (F.col("event_type") == "error").alias("removal"),
     )
     source = incoming(spark, changes)
     rules = [
-        Expectation("valid_id", "customer_id IS NOT NULL", FAIL), Expectation("valid_operation", "operation IS NOT NULL", DROP),
-        Expectation("valid_name", "name IS NOT NULL OR operation = 'DELETE'"), Expectation("valid_state", "state IS NOT NULL OR operation = 'DELETE'"),
-        Expectation("valid_email", r"email RLIKE r'^([a-zA-Z0-9_\-\.]+)@([a-zA-Z0-9_\-\.]+)\.([a-zA-Z]{2,5})$' OR operation = 'DELETE'", DROP),
+        Expectation("ordered", "at > 0 AND event_id >= 0", FAIL),
+        Expectation("not_a_signup", "last_action <> 'signup'", DROP),
+        Expectation("reachable", F.col("removal") | F.col("mail").rlike(EMAIL_PATTERN), DROP),
     ]
     schema = changes.schema
     sets = D.Datasets(spark, scratch(spark, "sets"), {"source": source})
 
     @sets.dataset(D.STREAM)
-    def customers_bronze(s):
+    def feed(s):
         return ingest(spark, s.parameters["source"], schema)
 
     @sets.dataset(D.STREAM, expectations=rules)
-    def customers_bronze_clean(s):
-        return s.read_stream("customers_bronze")
+    def usable(s):
+        return s.read_stream("feed")
 
     sets.run()
-    silver = ChangeTable(
-        spark, scratch(spark, "changes"), ["customer_id"], F.struct("changed_at", "event_id"), delete_when="operation = 'DELETE'",
-        except_columns=["operation", "source_file", "processing_time", "_rescued_data"],
+    users = ChangeTable(
+        spark, scratch(spark, "changes"), ["user_id"], F.struct("at", "event_id"), delete_when="removal",
+        except_columns=["removal", "source_file", "processing_time", "_rescued_data"],
     )
-    silver.apply_stream(sets.read_stream("customers_bronze_clean"), scratch(spark, "checkpoint"))
-    return silver.current()
+    users.apply_stream(sets.read_stream("usable"), scratch(spark, "checkpoint"))
+    return users.current()
 
 
-SILVER = """silver as (select user_id as customer_id, state, email from (
-    select user_id, event_type as state, 'u' || event_id || '@example.com' as email, event_type = 'error' as gone,
+USERS = """users as (select user_id, last_action, mail from (
+    select user_id, event_type as last_action, 'u' || event_id || '@example.com' as mail, event_type = 'error' as gone,
         row_number() over (partition by user_id order by ts desc, event_id desc) as rn
     from events where event_type <> 'signup' and (value > 3 or event_type = 'error')) where rn = 1 and not gone)"""
 
 
-@query("c_cdc_counts", f"with {SILVER} select state, count(*) as customer_count from silver group by 1")
+@query("c_cdc_counts", f"with {USERS} select last_action, count(*) as n_users from users group by 1")
 def c_cdc_counts(spark, sf):
-    return customers_silver(spark, sf).groupBy("state").agg(F.count(F.lit(1)).alias("customer_count"))
+    return users_now(spark, sf).groupBy("last_action").agg(F.count(F.lit(1)).alias("n_users"))
 
 
 @query(
     "c_cdc",
-    f"""with {SILVER} select l_orderkey as order_id, l_linestatus as status, l_shipdate as status_time, email from lineitem
-    join orders on o_orderkey = l_orderkey join silver on o_custkey = customer_id where o_orderpriority in ('1-URGENT', '2-HIGH') and l_shipdate > timestamp '1996-01-01'""",
+    f"""with {USERS} select l_orderkey, l_linestatus, l_shipdate, mail from lineitem
+    join orders on o_orderkey = l_orderkey join users on o_custkey = user_id where o_orderpriority in ('1-URGENT', '2-HIGH') and l_shipdate > timestamp '1996-01-01'""",
 )
 def c_cdc(spark, sf):
-    """Status changes of orders, with the current e-mail of customers who want to be told."""
-    silver = customers_silver(spark, sf)
+    """Shipments of urgent orders, with the current mail address of the user to tell."""
+    users = users_now(spark, sf)
     urgent = table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    wanted = urgent.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
-    emails = join_hot_keys(wanted, silver.select("customer_id", "email"), ["customer_id"]).select("order_id", "email")
-    status = table(spark, sf, "lineitem").filter("l_shipdate > TIMESTAMP_NTZ '1996-01-01'").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_linestatus").alias("status"), F.col("l_shipdate").alias("status_time")
-    )
-    return status.alias("a").join(emails.alias("b"), "order_id").select("a.*", "b.email")
+    wanted = urgent.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
+    mails = join_hot_keys(wanted, users.select("user_id", "mail"), ["user_id"]).select("l_orderkey", "mail")
+    shipped = table(spark, sf, "lineitem").filter("l_shipdate > TIMESTAMP_NTZ '1996-01-01'").select("l_orderkey", "l_linestatus", "l_shipdate")
+    return shipped.join(mails, "l_orderkey")
 
 
 @query(
     "c_daily_mean",
-    """select user_id as mrn, c_name as name, cast(cast(ts as date) as varchar) as day, cast(sum(cast(value as decimal(18,4))) as double) / count(*) as avg_rate
+    """select user_id as patient, c_name as name, cast(cast(ts as date) as varchar) as day, round(avg(value), 4) as avg_rate
     from events join customer on user_id = c_custkey where value > 5 group by 1, 2, 3""",
 )
 def c_daily_mean(spark, sf):
-    """Recordings joined to patients as streams, bad values dropped, then the mean per patient and day."""
-    recordings = stream_of(spark, table(spark, sf, "events").select(F.col("user_id").alias("mrn"), "event_id", "ts", "value"))
-    patients = stream_of(spark, table(spark, sf, "customer").select(F.col("c_custkey").alias("mrn"), F.col("c_name").alias("name")))
+    """A stream of recordings joined to the table of patients, bad values dropped, then the mean per patient and day."""
+    recordings = stream_of(spark, table(spark, sf, "events").select(F.col("user_id").alias("patient"), "event_id", "ts", "value"))
+    patients = table(spark, sf, "customer").select(F.col("c_custkey").alias("patient"), F.col("c_name").alias("name"))
     sets = D.Datasets(spark, scratch(spark, "sets"))
 
     @sets.dataset(D.STREAM, expectations=[Expectation("positive", "value > 5", DROP)])
     def recordings_enriched(s):
-        return D.enrich_stream(recordings, patients, ["mrn"], salts=4)
+        return recordings.join(patients, "patient")  # a static side keeps no state
 
     sets.run()
-    daily = sets.read_stream("recordings_enriched").groupBy("mrn", "name", F.to_date("ts").cast("string").alias("day")).agg(exact_avg("value").alias("avg_rate"))
+    daily = sets.read_stream("recordings_enriched").groupBy("patient", "name", F.to_date("ts").cast("string").alias("day")).agg(rounded_avg("value").alias("avg_rate"))
     target = SnapshotTable(spark, scratch(spark, "snapshot"))
     D.running_aggregate(daily, target, scratch(spark, "checkpoint"))
     return target.read()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import numbers, text, times, udfs
 from millrace.plans.registry import query
-from millrace.plans.relational import NULLED, nulled_events, sales
+from millrace.plans.relational import NULLED, measured_lines, nulled_events
 from millrace.sources.loader import infer_json_schema
 from millrace.tables import table
 
@@ -50,11 +50,11 @@ def s_clean(spark, sf):
 
 @query(
     "s_concat",
-    "select p_partkey, 'The ' || p_name || ' is on sale for $' || cast(cast(round(p_retailprice * 0.8, 0) as bigint) as varchar) as message from part",
+    "select p_partkey, p_brand || ' / ' || p_type || ': about ' || cast(cast(round(p_retailprice, 0) as bigint) as varchar) as label from part",
 )
 def s_concat(spark, sf):
-    price = F.round(F.col("p_retailprice") * 0.8, 0).cast("long")
-    return table(spark, sf, "part").select("p_partkey", F.concat(F.lit("The "), "p_name", F.lit(" is on sale for $"), price).alias("message"))
+    price = F.round("p_retailprice", 0).cast("long")
+    return table(spark, sf, "part").select("p_partkey", F.concat("p_brand", F.lit(" / "), "p_type", F.lit(": about "), price).alias("label"))
 
 
 @query("s_mask_tail", "select c_custkey, repeat('*', (length(c_name) - 2)::integer) || right(c_name, 2) as masked from customer")
@@ -200,11 +200,11 @@ def n_replace(spark, sf):
 
 @query(
     "arr_field",
-    """select l_orderkey, array_to_string(list_sort(list(l_partkey)), ',') as parts from lineitem group by 1""",
+    """select l_orderkey, l_partkey, l_quantity::bigint || '/' || l_linenumber as amounts from lineitem""",
 )
 def arr_field(spark, sf):
-    parts = F.array_join(F.array_sort("items.l_partkey").cast("array<string>"), ",")
-    return sales(spark, sf).select("l_orderkey", parts.alias("parts"))
+    amounts = F.array_join(F.col("measures.amount").cast("array<bigint>").cast("array<string>"), "/")
+    return measured_lines(spark, sf).select("l_orderkey", "l_partkey", amounts.alias("amounts"))
 
 
 @query(
@@ -289,23 +289,19 @@ def js_binary_text(spark, sf):
 
 @query(
     "udf_sql",
-    """select p_partkey, 'The ' || p_name || ' is on sale for $' || cast(round(p_size * 0.8) as bigint)::varchar as message,
-    case when p_name = 'red widget' then 'This is my favorite' when p_size > 25 then 'I''d wait until the ' || p_name || ' is on sale'
-    else 'I don''t need a ' || p_name end as preference from part""",
+    """select o_orderkey, year(o_orderdate) || '-' || lpad(o_custkey::varchar, 9, '0') as archive_box,
+    (case o_orderstatus when 'F' then 0 else 10 end + case when left(o_orderpriority, 1) in ('1', '2') then 5 else 1 end)::integer as effort from orders""",
 )
 def udf_sql(spark, sf):
     udfs.define_sql_function(
-        spark, "sale_announcement", "item STRING, price INT", "STRING", "concat('The ', item, ' is on sale for $', cast(round(price * 0.8, 0) AS BIGINT))"
+        spark, "archive_box", "placed TIMESTAMP_NTZ, customer BIGINT", "STRING", "concat(year(placed), '-', lpad(cast(customer AS STRING), 9, '0'))"
     )
     udfs.define_sql_function(
-        spark, "item_preference", "item STRING, price INT", "STRING",
-        """CASE WHEN item = 'red widget' THEN 'This is my favorite'
-                WHEN price > 25 THEN concat("I'd wait until the ", item, ' is on sale')
-                ELSE concat("I don't need a ", item) END""",
+        spark, "order_effort", "status STRING, priority STRING", "INT", "if(status = 'F', 0, 10) + if(left(priority, 1) IN ('1', '2'), 5, 1)"
     )
     return spark.sql(
-        "SELECT p_partkey, sale_announcement(p_name, p_size) AS message, item_preference(p_name, p_size) AS preference FROM {part}",
-        part=table(spark, sf, "part"),
+        "SELECT o_orderkey, archive_box(o_orderdate, o_custkey) AS archive_box, order_effort(o_orderstatus, o_orderpriority) AS effort FROM {orders}",
+        orders=table(spark, sf, "orders"),
     )
 
 

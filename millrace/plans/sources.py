@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
-from millrace.plans.relational import sales
+from millrace.plans.relational import MEASURED, measured_lines
 from millrace.session import scratch
 from millrace.sources import catalog, timefolders
 from millrace.sources.loader import load, parse_envelope, read_schema, retype
@@ -39,13 +39,17 @@ def src_text_lines(spark, sf):
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("value").contains('"o_orderstatus":"F"')).alias("finished"))
 
 
-@query("src_binary_stats")
+@query("src_binary_stats", "select c_mktsegment as segment, 1::bigint as files, sum(length(c_name) + 1)::bigint as bytes, true as dated from customer group by 1")
 def src_binary_stats(spark, sf):
-    """Names and sizes of files; the content column is not read."""
+    """Numbers and sizes of files, one per market segment; the content column is not read."""
     path = scratch(spark, "binary")
-    table(spark, sf, "orders").write.parquet(path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest"))
+    names = table(spark, sf, "customer").select("c_name", "c_mktsegment").repartition("c_mktsegment").sortWithinPartitions("c_mktsegment")
+    names.write.partitionBy("c_mktsegment").text(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    segment = F.regexp_extract("path", "/c_mktsegment=([^/]+)/", 1)
+    return files.groupBy(segment.alias("segment")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.bool_and(F.col("modificationTime").isNotNull()).alias("dated")
+    )
 
 
 @query("src_csv_roundtrip", "select * from customer")
@@ -74,20 +78,20 @@ def src_csv_ddl(spark, sf):
     return spark.read.schema(df.schema.toDDL()).csv(path, header=True)
 
 
-@query("src_json_nested", "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from lineitem")
+@query("src_json_nested", f"select * from {MEASURED}")
 def src_json_nested(spark, sf):
     path = scratch(spark, "json")
-    documents = sales(spark, sf)
+    documents = measured_lines(spark, sf)
     documents.write.json(path)
-    return spark.read.schema(documents.schema).json(path).select("l_orderkey", F.inline("items"))
+    return spark.read.schema(documents.schema).json(path).select("l_orderkey", "l_partkey", F.inline("measures"))
 
 
-@query("src_json_inferred", "select l_orderkey, count(*) as n, sum(l_quantity) as qty from lineitem group by 1")
+@query("src_json_inferred", f"select l_orderkey, count(*) as n, sum(amount) as total from {MEASURED} group by 1")
 def src_json_inferred(spark, sf):
     path = scratch(spark, "json")
-    sales(spark, sf).write.json(path)
-    items = spark.read.json(path).select("l_orderkey", F.explode("items").alias("item"))
-    return items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("item.l_quantity").alias("qty"))
+    measured_lines(spark, sf).write.json(path)
+    each = spark.read.json(path).select("l_orderkey", F.explode("measures").alias("m"))
+    return each.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("m.amount").alias("total"))
 
 
 @query("snk_parquet_roundtrip", "select * from orders")
@@ -131,16 +135,20 @@ def src_ext_json_table(spark, sf):
     return spark.table(name).withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
 
 
-@query("src_refresh_count", "select (select count(*) from supplier) + (select count(*) from customer) as n")
+@query("src_refresh_count", "select (select count(*) from supplier) as n_before, (select count(*) from supplier) + (select count(*) from customer) as n")
 def src_refresh_count(spark, sf):
     """Files added behind a cached table show up after a refresh."""
     path, name = scratch(spark, "csv"), f"{own_schema(spark)}.accounts"
     table(spark, sf, "supplier").select("s_name", "s_acctbal").write.csv(path)
     catalog.external_table(spark, name, "name STRING, balance DOUBLE", "csv", path)
-    spark.sql(f"SELECT count(*) FROM {name}")
+    held = spark.table(name)
+    n_before = held.count()  # lists the files
     table(spark, sf, "customer").select("c_name", "c_acctbal").write.mode("append").csv(path)
+    stale = held.count()  # still those files
+    if stale != n_before:
+        raise ValueError("the table was listed again before the refresh")
     spark.catalog.refreshTable(name)
-    return spark.table(name).agg(F.count(F.lit(1)).alias("n"))
+    return spark.table(name).agg(F.lit(stale).cast("long").alias("n_before"), F.count(F.lit(1)).alias("n"))
 
 
 @query("view_cte", "select n_name, count(*) as customers from customer join nation on c_nationkey = n_nationkey group by 1 having count(*) > 0")
@@ -173,13 +181,18 @@ def src_provenance(spark, sf):
     )
 
 
-@query("gen_range", "select c_custkey as id, count(o_orderkey) as orders from customer left join orders on o_custkey = c_custkey group by 1")
+@query(
+    "gen_range",
+    """with d as (select cast(o_orderdate as date) as day from orders)
+    select day, count(d.day) as orders from (select cast(unnest(generate_series(min(day), max(day), interval 1 day)) as date) as day from d) left join d using (day) group by 1""",
+)
 def gen_range(spark, sf):
-    """A generated range as the spine of a count that also shows keys without rows."""
-    top = table(spark, sf, "customer").agg(F.max("c_custkey")).first()[0]
-    spine = spark.range(0, top + 1)
-    counts = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
-    return spine.join(counts, "id", "left").na.fill(0, ["orders"])
+    """A generated range of days as the spine of a count that also shows days without rows."""
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"))
+    first, last = days.agg(F.min(F.unix_date("day")), F.max(F.unix_date("day"))).first()
+    spine = spark.range(first or 0, (last if last is not None else -1) + 1).select(F.date_from_unix_date(F.col("id").cast("int")).alias("day"))
+    counts = days.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
+    return spine.join(counts, "day", "left").na.fill(0, ["orders"])
 
 
 @query("gen_values", "select o_orderkey, case o_orderstatus when 'O' then 'open' when 'F' then 'finished' else 'pending' end as label from orders")
@@ -228,18 +241,16 @@ def ld_envelope_json(spark, sf):
 
 @query(
     "copy_retype",
-    """select p_partkey as idx, p_name as title, p_size as year, case when p_retailprice < 1000 then 0 else cast(p_retailprice as integer) end as budget,
-    cast(null as double) as rating from part""",
+    """select s_suppkey, s_name, case when s_acctbal < 0 then -1 else s_nationkey end as s_nationkey, s_acctbal from supplier""",
 )
 def copy_retype(spark, sf):
-    """Legacy text columns retyped on the way into a new table; the marker NA becomes 0."""
-    legacy = table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("idx"), F.col("p_name").alias("title"), F.col("p_size").cast("string").alias("year"),
-        F.when(F.col("p_retailprice") < 1000, "NA").otherwise(F.rint("p_retailprice").cast("int").cast("string")).alias("budget"),
-        F.lit("unrated").alias("rating"),
+    """A supplier list kept as text, retyped on the way into a new table; a dash stands for an unknown nation."""
+    listed = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string"), "s_name", F.when(F.col("s_acctbal") < 0, "-").otherwise(F.col("s_nationkey").cast("string")).alias("s_nationkey"),
+        F.col("s_acctbal").cast("string"),
     )
-    name = f"{own_schema(spark)}.movies"
-    retype(legacy, {"idx": "bigint", "year": "int", "budget": "int", "rating": "double"}, {"budget": ("NA", 0)}).write.saveAsTable(name)
+    name = f"{own_schema(spark)}.suppliers"
+    retype(listed, {"s_suppkey": "bigint", "s_nationkey": "int", "s_acctbal": "double"}, {"s_nationkey": ("-", -1)}).write.saveAsTable(name)
     return spark.table(name)
 
 

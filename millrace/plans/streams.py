@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.numbers import exact_sum
+from millrace.functions.numbers import rounded_sum
 from millrace.operators.quality import DROP, Expectation
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
-from millrace.plans.relational import sales
 from millrace.session import scratch
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
@@ -232,8 +231,8 @@ def st_stream_join(spark, sf):
 
 @query(
     "st_gold_city",
-    """select n_name as city, cast(cast(o_orderdate as date) as varchar) as order_date, cast(sum(cast(l_extendedprice as decimal(18,4))) as double) as sales,
-    sum(l_quantity) as quantity, count(l_partkey) as product_count
+    """select n_name as city, cast(cast(o_orderdate as date) as varchar) as day, round(sum(l_extendedprice), 2) as worth,
+    sum(l_quantity) as pieces, count(l_partkey) as n_lines
     from orders join lineitem on o_orderkey = l_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
     where n_name in ('NATION_3', 'NATION_7') group by 1, 2""",
 )
@@ -246,17 +245,15 @@ def placed_sales(spark, sf):
     nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     customer = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "city")
     orders = table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.join(sales(spark, sf), F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "city", F.to_date("o_orderdate").cast("string").alias("order_date"), F.col("items").alias("ordered_products")
+    line = F.struct("l_partkey", "l_quantity", "l_extendedprice")
+    return orders.join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "city", F.to_date("o_orderdate").cast("string").alias("day"), F.array(line).alias("bought")
     )
 
 
 def gold_by_city(orders, cities):
-    each = orders.filter(F.col("city").isin(cities)).select("city", "order_date", F.explode("ordered_products").alias("p"))
-    return each.groupBy("city", "order_date").agg(
-        exact_sum("p.l_extendedprice").alias("sales"), F.sum("p.l_quantity").alias("quantity"),
-        F.count("p.l_partkey").alias("product_count"),
-    )
+    each = orders.filter(F.col("city").isin(cities)).select("city", "day", F.inline("bought"))
+    return each.groupBy("city", "day").agg(rounded_sum("l_extendedprice").alias("worth"), F.sum("l_quantity").alias("pieces"), F.count("l_partkey").alias("n_lines"))
 
 
 # ---- change feeds -------------------------------------------------------------------------------

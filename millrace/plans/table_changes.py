@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_sum
+from millrace.functions.numbers import rounded_sum
 from millrace.operators.merge import when_matched_delete, when_matched_update, when_not_matched_insert
 from millrace.operators.snapshots import ConstraintViolated, SchemaMismatch, SnapshotTable
 from millrace.plans.registry import query
@@ -29,14 +29,14 @@ def open_orders(spark, sf):
 def order_changes(spark, sf):
     """One change per order: its new status and price, and what to do with it."""
     return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.max("l_linestatus").alias("o_orderstatus"), exact_sum("l_extendedprice").alias("o_totalprice"),
+        F.max("l_linestatus").alias("o_orderstatus"), rounded_sum("l_extendedprice").alias("o_totalprice"),
         F.when(F.max("l_returnflag") == "A", "delete").when(F.min("l_returnflag") == "N", "insert").otherwise("update").alias("kind"),
     )
 
 
 OPEN = "target as (select o_orderkey, o_orderstatus, o_totalprice from orders where o_totalprice < 250000)"
 CHANGES = """source as (select l_orderkey as o_orderkey, max(l_linestatus) as o_orderstatus,
-    cast(sum(cast(l_extendedprice as decimal(18,4))) as double) as o_totalprice,
+    round(sum(l_extendedprice), 2) as o_totalprice,
     case when max(l_returnflag) = 'A' then 'delete' when min(l_returnflag) = 'N' then 'insert' else 'update' end as kind from lineitem group by 1)"""
 
 

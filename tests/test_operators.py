@@ -1,4 +1,3 @@
-from collections import defaultdict
 from datetime import datetime
 
 import pytest
@@ -10,27 +9,6 @@ from millrace.operators.pivot import pivot_listed
 from millrace.sources import jdbc, timefolders
 
 
-def test_a_large_key_is_split_and_loses_nothing(spark):
-    rows = spark.range(5000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 700 + 1).alias("k"), F.col("id").alias("v"))
-    docs = nesting.nest_rows(rows, ["k"], F.struct("v"), document_limit=100)
-    got, parts = defaultdict(list), defaultdict(int)
-    for r in docs.collect():
-        assert len(r["items"]) <= 101
-        got[r["k"]] += [i["v"] for i in r["items"]]
-        parts[r["k"]] += 1
-    want = defaultdict(list)
-    for i in range(5000):
-        want[0 if i < 2000 else i % 700 + 1].append(i)
-    assert {k: sorted(v) for k, v in got.items()} == dict(want)
-    assert parts[0] == 20 and all(n == 1 for k, n in parts.items() if k != 0)
-
-
-def test_copies_of_one_row_are_split_too(spark):
-    copies = spark.range(1000).select(F.lit(None).cast("int").alias("k"), F.lit(1).alias("v"))
-    docs = nesting.nest_rows(copies, ["k"], F.struct("v"), document_limit=10).collect()
-    assert len(docs) == 100 and sum(len(d["items"]) for d in docs) == 1000
-
-
 @pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_join_with_hot_keys(spark, how, null_safe):
@@ -86,7 +64,14 @@ def test_text_and_numbers(spark):
     df = spark.createDataFrame([("ab.c@x-y.com", 1.239), ("a@b", -1.239), (None, None)], "s string, v double")
     got = df.select(text.is_email("s"), text.email_domain("s"), text.mask_tail("s"), numbers.cut_decimals("v")).collect()
     assert [tuple(r) for r in got] == [(True, "x-y.com", "**********om", 1.23), (False, "b", "*@b", -1.23), (None, None, None, None)]
-    assert spark.range(1000).agg(numbers.exact_sum(F.lit(0.1))).first()[0] == 100.0
+
+
+def test_rounded_sums_keep_small_large_and_nan(spark):
+    total = lambda value, **kw: spark.range(1000).agg(numbers.rounded_sum(value, **kw)).first()[0]
+    assert total(F.lit(0.1)) == 100.0 and total(F.lit(1e-5)) == 0.01 and total(F.lit(2e15)) == 2e18
+    assert total(F.when(F.col("id") == 3, float("nan")).otherwise(1.0)) != total(F.lit(1.0))
+    assert str(total(F.lit(float("nan")))) == "nan" and total(F.lit(float("inf"))) == float("inf")
+    assert spark.range(0).agg(numbers.rounded_sum("id"), numbers.rounded_avg("id")).first() == (None, None)
 
 
 def test_micros_are_exact(spark):
