@@ -13,7 +13,8 @@ least six tokens at t = 0.85, so there are that many.
    At a token of many, groups are bounded first: a group's token union is kept as a bitmap of token buckets. The number of a query's buckets outside
    the union bounds its overlap with every member from above; only groups whose bound reaches the
    threshold are opened, and their members go through the same test one by one.
-3. The pairs left are checked exactly, on the sets themselves.
+3. The pairs left are checked exactly, on the sets themselves. At a token of many entries that happens at
+   once, and groups with a link are one from then on.
 
 Links within a group need no search, as its members are connected already; no link between groups is
 lost: a pair shares a token of many entries, or ``SHARED`` tokens of few. Components are the result.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ OFTEN = 3  # documents of an Arrow batch that make a token worth counting
 BLOCK = 2048  # entries of a head token that meet in one block
 SHARED = 3
 FEW = 32  # entries of a token whose pairs are counted rather than bounded
-STARS = 6  # rounds of the first step, at most
+STARS = 2  # rounds of the first step, at most
 BROADCAST_IDS = 500_000  # ids sent to every task to pick their texts, at most; more are joined by shuffle
 RUN = 50_000  # rows of a frequent head token that are looked at together in the first step
 BATCH_BYTES = 1 << 20
@@ -138,19 +140,23 @@ def folded(bits: bytes, width: int) -> np.ndarray:
 
 
 def opened(
-    ids: np.ndarray, groups: np.ndarray, blocks: np.ndarray, sizes: np.ndarray, maps: list[bytes], percent: int
+    ids: np.ndarray, groups: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], maps: list[bytes], percent: int
 ) -> Iterator[tuple[int, int]]:
-    """Pairs (smaller id, larger id) of different groups that pass the bounds on groups and members.
+    """Links (smaller id, larger id) that connect all groups that any link connects.
 
-    Where the entries come from two blocks, only pairs between the blocks are wanted.
+    Bounds on groups and members decide which sets are compared. Two groups with a link are one from
+    then on, so their other members need no comparing. Where the entries come from two blocks, only
+    pairs between the blocks are wanted.
     """
     _, at = np.unique(groups, return_inverse=True)
     members = np.split(np.argsort(at, kind="stable"), np.cumsum(np.bincount(at))[:-1])
+    sizes = np.array([len(x) for x in sets])
     least, most = np.array([sizes[m].min() for m in members]), np.array([sizes[m].max() for m in members])
     widths = np.array([len(x) * 8 for x in maps])
     narrow = np.array([widths[m].min() for m in members])
     two = len(np.unique(blocks)) > 1
     unions: dict[int, np.ndarray] = {}
+    joined = np.arange(len(members))  # the same number for groups that are one by now
 
     def union(width: int) -> np.ndarray:
         if width not in unions:
@@ -160,19 +166,25 @@ def opened(
             ])
         return unions[width]
 
+    def link(i: int, group: int) -> int | None:
+        for k in members[group]:
+            if ids[k] > ids[i] and not (two and blocks[k] == blocks[i]):
+                if may_link(len(sets[i]), len(sets[k]), maps[i], maps[k], percent) and linked(sets[i], sets[k], percent):
+                    return k
+        return None
+
     for i in range(len(ids)):
-        n = int(sizes[i])
-        near = np.flatnonzero((percent * least <= 100 * n) & (100 * most >= percent * n))
-        near = near[near != at[i]]
+        n = len(sets[i])
+        near = np.flatnonzero((percent * least <= 100 * n) & (100 * most >= percent * n) & (joined != joined[at[i]]))
         spare = n - (percent * n + 99) // 100  # tokens of the query that a partner may lack
         shared = np.minimum(narrow[near], widths[i])
         for width in np.unique(shared):
             here = near[shared == width]
             outside = np.bitwise_count(folded(maps[i], int(width)) & ~union(int(width))[here]).sum(1)
             for g in here[outside <= spare]:
-                for k in members[g]:
-                    if ids[k] > ids[i] and not (two and blocks[k] == blocks[i]) and may_link(n, int(sizes[k]), maps[i], maps[k], percent):
-                        yield int(ids[i]), int(ids[k])
+                if joined[g] != joined[at[i]] and (k := link(i, g)) is not None:
+                    joined[joined == joined[g]] = joined[at[i]]
+                    yield int(ids[i]), int(ids[k])
 
 
 def may_link(n: int, m: int, a: bytes, b: bytes, percent: int) -> bool:
@@ -193,14 +205,20 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _common(docs: DataFrame, words: int) -> DataFrame:
     def counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
         for batch in stream:
-            sets = list(shingles.sets(batch.column(0).to_pylist()))
-            token, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= OFTEN
-            yield pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
+            for part in slices(batch, 5000):
+                token, n = np.unique(np.concatenate(list(shingles.sets(part.column(0).to_pylist()))), return_counts=True)
+                often = n >= OFTEN
+                yield pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
     found = docs.select(as_bytes(F.col("text"))).mapInArrow(counted, "token long, n long")
     return found.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON)
@@ -213,7 +231,7 @@ def _sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> Data
 
     def described(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (frequent, place) = Shingles(words), shared.value
-        for batch in stream:
+        for batch in chain.from_iterable(map(slices, stream)):
             n, digest, bits, head = [], [], [], []
             for tokens in shingles.sets(batch.column(1).to_pylist()):
                 n.append(len(tokens))
@@ -294,8 +312,10 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return sent(_written(ids, "pair-ids"))
 
 
-def _grouped(meetings: DataFrame, edges: DataFrame) -> DataFrame:
-    """(token, entry, n, group, __count) of tokens where several groups meet."""
+def _grouped(meetings: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """(token, entry, n, group, __count) of tokens where several groups meet. Without edges each entry is a group."""
+    if edges is None:
+        return meetings.withColumns({"group": F.col("entry"), "__count": F.lit(0)})
     groups = components(edges).select(F.col("node").alias("entry"), "component")
     rows = meetings.join(groups, "entry", "left").select("token", "entry", "n", F.coalesce("component", "entry").alias("group"))
     rows = _written(rows, "token-groups")
@@ -370,35 +390,46 @@ def _counted(rows: DataFrame, percent: int) -> DataFrame:
     return few.mapInArrow(pairs, "a long, b long").groupBy("a", "b").count().filter(F.col("count") >= SHARED).select("a", "b")
 
 
-def _opened(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that share a token of many entries and pass the bounds."""
-    rows = _written(rows.filter(F.col("__count") > FEW), "token-group-matrix")
-    maps = sets.filter("n > 0").select("doc_id", "bits").join(sent(_written(rows.select(F.col("entry").alias("doc_id")).distinct(), "matrix-ids")), "doc_id", "left_semi")
-    rows = rows.join(maps.withColumnRenamed("doc_id", "entry"), "entry").withColumn("__blocks", F.ceil(F.col("__count") / BLOCK).cast("int"))
+def _opened(rows: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect the groups that meet at a token of many entries, by bounds and exact sets."""
+    rows = _written(rows.filter(F.col("__count") > FEW).select("token", "entry", "group", "__count"), "token-group-matrix")
+    wanted = sent(_written(rows.select(F.col("entry").alias("doc_id")).distinct(), "matrix-ids"))
+
+    def hashed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for batch in stream:
+            for part in slices(batch):
+                tokens = pa.array([x.tobytes() for x in shingles.sets(part.column(1).to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), tokens], ["entry", "tokens"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes")).join(wanted, "doc_id", "left_semi")
+    tokens = _written(texts.mapInArrow(hashed, "entry long, tokens binary"), "matrix-sets")
+    rows = rows.join(tokens, "entry").withColumn("__blocks", F.ceil(F.col("__count") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("entry"), F.col("__blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     rows = rows.withColumn("__other", other).withColumns({"low": F.least("block", "__other"), "high": F.greatest("block", "__other")})
 
-    def pairs(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
         def found() -> pa.RecordBatch:
-            entry, group, block, n, bits = zip(*held)
-            got = list(opened(np.array(entry), np.array(group), np.array(block), np.array(n), list(bits), percent))
+            entry, group, block, raw = zip(*held)
+            own = [np.frombuffer(x, np.uint64) for x in raw]
+            got = list(opened(np.array(entry), np.array(group), np.array(block), own, [bitmap(x) for x in own], percent))
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in stream:
-            for *key, entry, group, block, n, bits in zip(*(batch.column(i).to_pylist() for i in range(8))):
+            for *key, entry, group, block, raw in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 if key != now:
                     if len(held) > 1:
                         yield found()
                     now, held = key, []
-                held.append((entry, group, block, n, bits))
+                held.append((entry, group, block, raw))
         if len(held) > 1:
             yield found()
 
-    dealt = rows.select("token", "low", "high", "entry", "group", "block", "n", "bits").repartition("token", "low", "high")
-    return dealt.sortWithinPartitions("token", "low", "high", "entry").mapInArrow(pairs, "a long, b long").distinct()
+    dealt = rows.select("token", "low", "high", "entry", "group", "block", "tokens").repartition("token", "low", "high")
+    return dealt.sortWithinPartitions("token", "low", "high", "entry").mapInArrow(links, "a long, b long").distinct()
 
 
 def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -429,15 +460,16 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
         texts = _written(texts.join(_ids(pairs), "doc_id", "left_semi"), "pair-texts")
         return _written(_exact(pairs, texts, words, percent), "links")
 
-    edges = spark.createDataFrame([], "a long, b long")
+    edges = None
     for number in range(STARS):
         more = checked(_stars(_grouped(meetings, edges), sets, percent, number))
-        edges = edges.unionAll(more)
-        if more.limit(1).count() == 0:
+        edges = more if edges is None else edges.unionAll(more)
+        if more.isEmpty():
             break
+    edges = spark.createDataFrame([], "a long, b long") if edges is None else edges
     rows = _grouped(meetings, edges)
-    between = _bounded(_counted(rows, percent), sets, percent).unionAll(_opened(rows, sets, percent)).distinct()
-    edges = edges.unionAll(checked(between))
+    edges = edges.unionAll(_written(_opened(rows, sets, docs, words, percent), "links"))
+    edges = edges.unionAll(checked(_bounded(_counted(rows, percent), sets, percent)))
 
     known = components(edges)
     classes = classes.join(known.select(F.col("node").alias("entry"), "component"), "entry", "left")
