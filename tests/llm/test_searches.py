@@ -139,7 +139,7 @@ def test_bounds_never_lose_a_link():
         if similar.linked(a, b, 85):
             maps = [similar.bitmap(a), similar.bitmap(b)]
             assert similar.may_link(len(a), len(b), *maps, 85)
-            two = (np.array([1, 2]), np.array([1, 2]), np.array([0, 0]), np.array([len(a), len(b)]))
+            two = (np.array([1, 2]), np.array([1, 2]), np.array([0, 0]), [a, b])
             assert list(similar.opened(*two, maps, 85)) == [(1, 2)]
 
 
