@@ -102,6 +102,7 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
     )
 
 
+# The paths and fields of the log's JSON.
 EXPECTATIONS_SCHEMA = "array<struct<name: string, dataset: string, passed_records: bigint, failed_records: bigint>>"
 
 
@@ -113,6 +114,12 @@ def latest_update(events: DataFrame, id_column: str = "origin.update_id") -> Dat
     )
 
 
+def of_latest_update(events: DataFrame) -> DataFrame:
+    """The events of the newest update."""
+    newest = latest_update(events)  # one row
+    return events.join(F.broadcast(newest), F.col("origin.update_id") == F.col("update_id"), "left_semi")
+
+
 def user_actions(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_type") == "user_action").select(
         "timestamp",

@@ -7,14 +7,15 @@ appending and restoring move no old data, and update, delete and merge rewrite o
 parts that hold a row they touch. The history has one small JSON file per version; the newest
 one is the only thing the driver reads.
 
-One writer at a time: a second one that commits the same version is refused, but its files may
-already have replaced the first one's uncommitted ones. A write that fails before its history
-row leaves files that no version names; the next write to that version number replaces them.
+Every attempt writes into folders of its own. Of two writers of one version the store lets one
+create the history row; the other is refused and removes its own folder. A writer that dies
+before its history row leaves a folder that no version names.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from urllib.parse import unquote
@@ -157,14 +158,15 @@ class SnapshotTable:
         constraints, generated = dict(constraints or {}), dict(generated or {})
         new_parts = []
         if rows is not None:
-            folder = f"{VERSION_FOLDER}={version}"
+            # A folder of this attempt's own: a writer that loses the race touches no committed file.
+            folder = f"{VERSION_FOLDER}={version}-{uuid.uuid4().hex[:12]}"
             target = f"{self.root}/data/{folder}"
             rows, seen = self._checked(rows.select(*[F.col(f"`{n}`") for n in schema.names]), constraints)
             if partition_by:
                 # Gather each partition in few files; one too large for a task is split.
-                rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+                rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
             else:
-                rows.write.mode("overwrite").parquet(target)
+                rows.write.parquet(target)
             if seen is not None:
                 broken = {k: v for k, v in seen.get.items() if v}
                 if broken:
@@ -191,7 +193,12 @@ class SnapshotTable:
             "partition_by": partition_by, "schema": schema.json(), "constraints": constraints, "generated": generated,
             "comment": comment, "tag": tag,
         }
-        storage.create_text(self.spark, self._history_file(version), json.dumps(entry))
+        try:
+            storage.create_text(self.spark, self._history_file(version), json.dumps(entry))
+        except FileExistsError:
+            if rows is not None:
+                storage.delete(self.spark, target)
+            raise
         return version
 
     def _again(self, previous, operation: str, rows: DataFrame | None, keep: list, schema=None, tag=None, **options) -> int:
@@ -296,7 +303,7 @@ class SnapshotTable:
         if evolve:
             new = [f for f in source.schema.fields if f.name not in schema.names]
             schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True) for f in new])
-        staging = f"{self.root}/staging/{entry['version'] + 1}"
+        staging = f"{self.root}/staging/{entry['version'] + 1}-{uuid.uuid4().hex[:12]}"
         staged = self._staged(source, f"{staging}/source")
         everything = self._read_parts(entry["parts"], schema, True)
         known = self._staged(M.known_keys(everything, staged, keys, null_safe, also=["__part"]), f"{staging}/known")
@@ -309,20 +316,24 @@ class SnapshotTable:
         added = M.inserted_rows(known, staged, keys, clauses, schema, null_safe)
         frames = [f for f in (survivors, added) if f is not None]
         rows = reduce(DataFrame.unionByName, frames) if frames else None
-        version = self._again(entry, "MERGE", rows, keep, schema, tag=tag)
-        storage.delete(self.spark, staging)
-        return version
+        try:
+            return self._again(entry, "MERGE", rows, keep, schema, tag=tag)
+        finally:
+            storage.delete(self.spark, staging)
 
     def _staged(self, df: DataFrame, path: str) -> DataFrame:
         """The frame's rows, written once next to the table so that every pass sees the same."""
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- upkeep --------------------------------------------------------------------------
 
     def restore(self, version: int) -> int:
-        """Make an old version the newest one. No data is copied."""
+        """Make an old version the newest one. No data is copied; an expired version is refused."""
         old, entry = self._entry(version), self._entry()
+        folders = {f"{p['root']}/data/{p['path']}" for p in old["parts"]} - {f"{p['root']}/data/{p['path']}" for p in entry["parts"]}
+        if not all(storage.exists(self.spark, f) for f in folders):
+            raise ValueError(f"version {version} of {self.root} has expired")
         return self._commit(
             f"RESTORE {version}", None, old["parts"], T.StructType.fromJson(json.loads(old["schema"])), previous=entry,
             partition_by=old["partition_by"], constraints=old["constraints"], generated=old["generated"], comment=old["comment"],

@@ -12,6 +12,7 @@ from millrace.plans.registry import query
 from millrace.plans.relational import NULLED, nulled_events
 from millrace.plans.scalars import EMAIL
 from millrace.session import scratch
+from millrace.streaming import datasets as D
 from millrace.tables import table
 
 # ---- expectations -------------------------------------------------------------------------------
@@ -129,9 +130,7 @@ def event_log(spark, sf):
 )
 def q_event_log(spark, sf):
     """Lineage in the newest update."""
-    log = event_log(spark, sf)
-    newest = quality.latest_update(log)  # one row
-    return quality.lineage(log.join(F.broadcast(newest), F.col("origin.update_id") == F.col("update_id"), "left_semi"))
+    return quality.lineage(quality.of_latest_update(event_log(spark, sf)))
 
 
 @query("q_user_actions", "select ts as timestamp, props->>'$.k' as action, 'user' || user_id as user_name from events where event_type = 'click'")
@@ -141,11 +140,26 @@ def q_user_actions(spark, sf):
 
 @query(
     "q_event_metrics",
-    """select props->>'$.k' as dataset, 'rule' as expectation, sum(user_id)::bigint as passing_records, count(*) as failing_records from events where event_type = 'purchase' group by 1""",
+    """with e as (select event_type, value, user_id from events), c as (select * from e where value > 20)
+    select 'kept' as dataset, 'large' as expectation, count(*) filter (value > 20) as passing_records, count(*) filter (not value > 20) as failing_records from e
+    union all select 'kept', 'no_error', count(*) filter (event_type <> 'error'), count(*) filter (event_type = 'error') from e
+    union all select 'by_user', 'seen_twice', count(*) filter (n > 1), count(*) filter (n <= 1) from (select user_id, count(*) as n from c group by 1)""",
 )
 def q_event_metrics(spark, sf):
-    """Expectation counts kept as JSON inside the log, summed per dataset."""
-    return quality.metrics_report(quality.expectation_events(event_log(spark, sf)))
+    """Expectation counts in the log that two runs of a dataset graph have left, of the newest run."""
+    sets = D.Datasets(spark, scratch(spark, "sets"))
+
+    @sets.dataset(D.TABLE, expectations=[Expectation("large", "value > 20", DROP), Expectation("no_error", "event_type <> 'error'")])
+    def kept(s):
+        return table(spark, sf, "events").select("event_type", "value", "user_id")
+
+    @sets.dataset(D.TABLE, expectations=[Expectation("seen_twice", "n > 1")])
+    def by_user(s):
+        return s.read("kept").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+    sets.run()
+    sets.run()
+    return quality.metrics_report(quality.expectation_events(quality.of_latest_update(sets.events())))
 
 
 @query("q_threshold", "select user_id, count(*) as total_records from events group by 1 having count(*) > 70")

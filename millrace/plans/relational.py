@@ -152,7 +152,9 @@ def f_like(spark, sf):
 )
 def f_rlike(spark, sf):
     """Words of all texts that are e-mail addresses."""
-    words = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"""[\s,;:<>()"']+""")).alias("word"))
+    texts = table(spark, sf, "documents").filter(F.contains("text", F.lit("@")))
+    likely = F.filter(F.split("text", r"""[\s,;:<>()"']+"""), lambda w: w.contains("@"))
+    words = texts.select("doc_id", F.explode(likely).alias("word"))
     return words.filter(is_email("word"))
 
 

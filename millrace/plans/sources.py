@@ -265,9 +265,12 @@ def meta_columns(spark, sf):
     return catalog.column_profile(events).select("column_name", "values")
 
 
-@query("meta_details")
+@query("meta_details", "select 3::bigint as num_files, sum(length(c_name) + 1)::bigint as size_in_bytes from customer")
 def meta_details(spark, sf):
-    return catalog.file_details(table(spark, sf, "lineitem"))
+    """Files and bytes of a table of text lines, of which both are known."""
+    path = scratch(spark, "lines")
+    table(spark, sf, "customer").select("c_name").repartition(3).write.text(path)
+    return catalog.file_details(spark.read.text(path))
 
 
 @query("meta_listing", "select 'orders' as table_name, count(*) as n from orders union all select 'customer', count(*) from customer")

@@ -299,7 +299,7 @@ def tb_expire_dry_run(spark, sf):
     target.delete("o_orderstatus = 'F'")
     target.delete("o_totalprice >= 100000")
     listed = target.expire(keep_versions=1, retain=timedelta(0), force=True)
-    summary = listed.agg(F.min("part"), F.count(F.lit(1)).cast("int")).first()
+    summary = listed.agg(F.min(F.substring_index("part", "-", 1)), F.count(F.lit(1)).cast("int")).first()
     target.expire(keep_versions=1, retain=timedelta(0), dry_run=False, force=True)
     return target.read().withColumns({"first_dead": F.lit(summary[0]), "dead_parts": F.lit(summary[1])})
 

@@ -36,9 +36,9 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def file_details(df: DataFrame) -> DataFrame:
-    """Number of files and of bytes a file-based frame reads, from the file metadata."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.count(F.lit(1)).alias("num_files"), F.sum("file_size").alias("size_in_bytes"))
+    """Number of files and of bytes a file-based frame reads; the files are listed, not read."""
+    sizes = df.sparkSession.read.format("binaryFile").load(df.inputFiles())
+    return sizes.agg(F.count(F.lit(1)).alias("num_files"), F.sum("length").alias("size_in_bytes"))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

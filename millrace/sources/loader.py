@@ -70,7 +70,8 @@ def infer_json_schema(df: DataFrame, column: str) -> str:
         raise ValueError(f"column {column} does not hold JSON objects but {found}")
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
     ddl = re.sub(r"(?<=: )(VOID|VARIANT)\b|(?<=ARRAY<)(VOID|VARIANT)\b", "STRING", ddl)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+    # Whole numbers beyond a long keep their digits; fractions are doubles.
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*(?!0\))\d+\)", "DOUBLE", ddl)
     return ddl
 
 

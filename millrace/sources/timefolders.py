@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import storage
 from millrace.functions.times import folder_time
 
 
@@ -50,14 +52,31 @@ def read_time_range(
         raise
     when = folder_time("_metadata.file_path")
     df = df.filter((when >= F.lit(start).cast("timestamp_ntz")) & (when < F.lit(end).cast("timestamp_ntz")))
-    return df.drop(*[n for n in names if n in df.columns])
+    # Columns that folders named name=value add; a data column of such a name stays where folders are bare numbers.
+    in_path = [n for n in names if n in df.columns and _named(spark, root, names, n)]
+    return df.drop(*in_path)
+
+
+def _named(spark: SparkSession, root: str, names: tuple[str, ...], name: str) -> bool:
+    """Whether the folders of this level are called name=value."""
+    pattern = "/".join([root.rstrip("/"), *["*"] * names.index(name), f"{name}=*"])
+    return storage.any_match(spark, pattern)
 
 
 def latest_folder_time(spark: SparkSession, root: str) -> DataFrame:
     """One row: the newest folder time below a root.
 
-    Only file names are listed, no file is opened. Times are compared as times, not as names,
-    so folder 10 comes after folder 9.
+    Five listings, one a level: the folder with the largest number leads on. Folder 10 comes after
+    folder 9. A folder without a complete path of folders and a file in it does not count.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(folder_time("path").alias("t")).agg(F.max("t").alias("latest"))
+    return spark.range(1).select(folder_time(F.lit(_latest(spark, root.rstrip("/"), 5) or "")).alias("latest"))
+
+
+def _latest(spark: SparkSession, path: str, levels: int) -> str | None:
+    names = storage.file_names(spark, path)
+    if not levels:
+        files = [n for n in names if not n.startswith(("_", "."))]
+        return f"{path}/{files[0]}" if files else None
+    numbers = {n: int(m[1]) for n in names if (m := re.fullmatch(r"(?:\w+=)?(\d+)", n))}
+    found = (_latest(spark, f"{path}/{n}", levels - 1) for n in sorted(numbers, key=numbers.get, reverse=True))
+    return next((f for f in found if f), None)

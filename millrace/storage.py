@@ -6,8 +6,7 @@ write to.
 
 from __future__ import annotations
 
-import uuid
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,20 +36,18 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that must not exist yet. It appears under its name only when complete."""
+    """Write a small file that must not exist yet: the store lets one writer create it, and refuses others."""
     fs, hadoop_path = _open(spark, path)
-    if fs.exists(hadoop_path):
-        raise FileExistsError(path)
-    folder, name = path.rsplit("/", 1)
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
-    stream = fs.create(part, True)
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            raise FileExistsError(path) from error
+        raise
     try:
         stream.write(text.encode())
     finally:
         stream.close()
-    if not fs.rename(part, hadoop_path):
-        fs.delete(part, False)
-        raise FileExistsError(path)
 
 
 def delete(spark: SparkSession, path: str) -> bool:
@@ -69,3 +66,9 @@ def usage(spark: SparkSession, path: str) -> tuple[int, int]:
     fs, hadoop_path = _open(spark, path)
     summary = fs.getContentSummary(hadoop_path)
     return summary.getFileCount(), summary.getLength()
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob matches something."""
+    fs, hadoop_path = _open(spark, pattern)
+    return len(fs.globStatus(hadoop_path) or []) > 0

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import storage
 from millrace.operators.quality import Expectation, keep_expected, observed
 from millrace.operators.snapshots import SnapshotTable
 
+EVENT_SCHEMA = "event_type string, timestamp timestamp, origin struct<update_id: string>, details string"
+METRIC_SCHEMA = "dataset string, name string, passed_records long, failed_records long"
 STREAM, TABLE, VIEW = "streaming table", "materialised table", "view"
 
 
@@ -102,6 +108,10 @@ class Datasets:
     Each function takes this object and calls :meth:`read` or :meth:`read_stream`; whatever it
     reads is refreshed first, so declaration order and module do not matter. ``parameters``
     hold what differs between runs, such as source paths.
+
+    A streaming table is a folder per micro-batch, and so are its metrics; a batch that runs again
+    writes the same folders. Each run adds its events to a log: its id, what each dataset reads,
+    and what its rules have counted.
     """
 
     def __init__(self, spark: SparkSession, root: str, parameters: dict[str, str] | None = None):
@@ -109,7 +119,9 @@ class Datasets:
         self.declared: dict[str, Dataset] = {}
         self._fresh: dict[str, DataFrame] = {}
         self._running: list[str] = []
-        self._counts: list[tuple] = []
+        self._inputs: dict[str, list[str]] = {}
+        self._events: list[tuple] = []
+        self.update_id: str | None = None
 
     def dataset(self, kind: str, name: str | None = None, expectations=(), comment: str | None = None, properties: dict[str, str] | None = None):
         if kind not in (STREAM, TABLE, VIEW):
@@ -129,6 +141,8 @@ class Datasets:
 
     def read(self, name: str) -> DataFrame:
         """A declared dataset's rows, refreshed once per run."""
+        if self._running and name not in self._inputs[self._running[-1]]:
+            self._inputs[self._running[-1]].append(name)
         if name not in self._fresh:
             self._refresh(name)
         return self._fresh[name]
@@ -138,7 +152,7 @@ class Datasets:
         if self.declared[name].kind != STREAM:
             raise ValueError(f"{name} is rewritten on refresh and cannot be read as a stream")
         schema = self.read(name).schema
-        return self.spark.readStream.schema(schema).parquet(self.path(name))
+        return self.spark.readStream.schema(schema).parquet(f"{self.path(name)}/batch-*")
 
     def _refresh(self, name: str) -> None:
         if name not in self.declared:
@@ -146,43 +160,81 @@ class Datasets:
         if name in self._running:
             raise ValueError("datasets read each other in a circle: " + " > ".join([*self._running, name]))
         self._running.append(name)
+        self._inputs[name] = []
         try:
             d = self.declared[name]
             source = d.build(self)
             if d.kind == VIEW:
                 self._fresh[name] = keep_expected(source, d.expectations)
             elif d.kind == STREAM:
-                df = keep_expected(observed(source, d.expectations, "expectations"), d.expectations)
-                query = append_stream(df, self.path(name), f"{self.root}/checkpoints/{name}")
-                for progress in query.recentProgress:
-                    self._note(d, progress.observedMetrics.get("expectations"))
-                self._fresh[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
+                self._fresh[name] = self._append(d, source)
             else:
                 seen, table = Observation(), SnapshotTable(self.spark, self.path(name))
-                table.create(keep_expected(observed(source, d.expectations, seen), d.expectations), comment=d.comment)
-                self._note(d, seen.get)
+                version = table.create(keep_expected(observed(source, d.expectations, seen), d.expectations), comment=d.comment)
+                self._note(d, [self._counted(d, seen.get, f"version-{version}")])
                 self._fresh[name] = table.read()
+            self._event("flow_definition", {"output_dataset": name, "input_datasets": self._inputs[name]})
         finally:
             self._running.pop()
 
-    def run(self) -> None:
-        """Refresh everything once."""
+    def _append(self, d: Dataset, source: DataFrame) -> DataFrame:
+        """Write what the stream has new, one folder per micro-batch, and count in the writing pass."""
+        path, counts = self.path(d.name), []
+        schema = source.schema
+        if not storage.exists(self.spark, f"{path}/batch-none"):
+            self.spark.createDataFrame([], schema).write.parquet(f"{path}/batch-none")
+
+        def add(batch: DataFrame, number: int) -> None:
+            seen = Observation()
+            kept = keep_expected(observed(batch, d.expectations, seen), d.expectations)
+            kept.write.mode("overwrite").parquet(f"{path}/batch-{number:012d}")
+            counts.append(self._counted(d, seen.get, f"batch-{number:012d}"))
+
+        writer = source.writeStream.option("checkpointLocation", f"{self.root}/checkpoints/{d.name}")
+        writer.trigger(availableNow=True).foreachBatch(add).start().awaitTermination()
+        self._note(d, counts)
+        return self.spark.read.schema(schema).parquet(f"{path}/batch-*")
+
+    def run(self) -> str:
+        """Refresh everything once; returns the id that the run's events carry."""
         self._fresh.clear()
-        for name in self.declared:
-            self.read(name)
-
-    def _note(self, d: Dataset, counts) -> None:
-        if counts is not None:
-            counts = counts if isinstance(counts, dict) else counts.asDict()
-            self._counts += [(d.name, e.name, counts["records"] - counts[e.name], counts[e.name]) for e in d.expectations]
+        self.update_id, self._events = uuid.uuid4().hex, []
+        self._event("create_update", {"datasets": list(self.declared)})
+        try:
+            for name in self.declared:
+                self.read(name)
+        finally:
+            self.spark.createDataFrame(self._events, EVENT_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/events")
+        return self.update_id
+
+    def _event(self, kind: str, details: dict) -> None:
+        self._events.append((kind, datetime.now(timezone.utc), (self.update_id,), json.dumps({kind: details})))
+
+    def _counted(self, d: Dataset, counts: dict, key: str) -> list[tuple]:
+        """Write the rules' counts of one pass under its own key; returns them."""
+        rows = [(d.name, e.name, counts["records"] - counts[e.name], counts[e.name]) for e in d.expectations]
+        if rows:
+            self.spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/{d.name}/{key}")
+        return rows
+
+    def _note(self, d: Dataset, passes: list[list[tuple]]) -> None:
+        rows = [r for rows in passes for r in rows]
+        each = [
+            {"name": e.name, "dataset": d.name, "passed_records": sum(r[2] for r in rows if r[1] == e.name), "failed_records": sum(r[3] for r in rows if r[1] == e.name)}
+            for e in d.expectations
+        ]
+        if each:
+            self._event("flow_progress", {"data_quality": {"expectations": each}})
 
     def metrics(self) -> DataFrame:
-        """Passed and failed records per dataset, rule and refresh or micro-batch, counted in the writing pass.
-
-        Of a refresh with very many micro-batches Spark keeps the newest only
-        (``spark.sql.streaming.numRecentProgressUpdates``). Views have none.
-        """
-        return self.spark.createDataFrame(self._counts, "dataset string, name string, passed_records long, failed_records long")
+        """Passed and failed records per dataset, rule and refresh or micro-batch, of all runs. Views have none."""
+        if not storage.exists(self.spark, f"{self.root}/metrics"):
+            return self.spark.createDataFrame([], METRIC_SCHEMA)
+        return self.spark.read.schema(METRIC_SCHEMA).parquet(f"{self.root}/metrics/*/*")
+
+    def events(self) -> DataFrame:
+        """The log of all runs: type, time, update id and details as JSON."""
+        return self.spark.read.schema(EVENT_SCHEMA).json(f"{self.root}/events")
 
     def describe(self) -> DataFrame:
         rows = [(d.name, d.kind, d.comment, d.properties, [e.name for e in d.expectations]) for d in self.declared.values()]

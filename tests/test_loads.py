@@ -78,3 +78,11 @@ def test_envelope_types_come_from_all_rows(spark):
     types = dict(df.dtypes)
     assert types == {"a": "bigint", "b": "struct<c:string,f:boolean>", "d": "array<double>", "e": "string", "mixed": "string"}
     assert sorted(r["a"] for r in df.collect() if r["a"]) == [1, 2, 3]
+
+
+def test_schema_versions_are_compared_by_number(spark, folder):
+    area = LoadArea(spark, folder)
+    for n, version in enumerate(("v_999", "v_1000", "v_998")):
+        area.table("t", version).create(spark.range(1).toDF("id"))
+        area.log("t", "overwrite", "full", datetime(2024, 1, 1 + n, tzinfo=timezone.utc), version)
+    assert area.last_schema_version("t") == "v_1000" and next_schema_version("v_999") == "v_1000"

@@ -158,3 +158,12 @@ def test_sql_function_describes_itself(spark):
     define_sql_function(spark, "twice_as_much", "x INT", "INT", "x * 2")
     assert spark.sql("SELECT twice_as_much(4)").first()[0] == 8
     assert "twice_as_much" in "\n".join(r[0] for r in spark.sql("DESCRIBE FUNCTION twice_as_much").collect())
+
+
+def test_time_folders_keep_data_columns(spark, folder):
+    df = spark.createDataFrame([(1, "kept"), (2, "too")], "id int, d string")
+    df.write.parquet(f"{folder}/2024/2/10/0/0")
+    df.write.parquet(f"{folder}/2024/10/9/0/0")
+    got = timefolders.read_time_range(spark, folder, datetime(2024, 1, 1), datetime(2025, 1, 1))
+    assert got.columns == ["id", "d"] and got.count() == 4
+    assert timefolders.latest_folder_time(spark, folder).first()[0] == datetime(2024, 10, 9)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import DuplicateSourceRows, when_matched_delete, when_matched_update, when_not_matched_insert
+from millrace import storage
 from millrace.operators.snapshots import ConstraintViolated, SchemaMismatch, SnapshotTable, with_generated
 
 STUDENT = "id int, name string, value double"
@@ -185,7 +186,7 @@ def test_travel_restore_clone_expire(spark, students, folder):
     with pytest.raises(ValueError, match="7 days"):
         students.expire(retain=timedelta(hours=0))
     listed = students.expire(retain=timedelta(0), force=True)
-    assert {r["part"] for r in listed.collect()} == {"millrace_version=4", "millrace_version=5"}
+    assert {r["part"].split("-")[0] for r in listed.collect()} == {"millrace_version=4", "millrace_version=5"}
     students.expire(retain=timedelta(0), force=True, dry_run=False)
     assert students.read().count() == 6
 
@@ -201,8 +202,23 @@ def test_compaction_spreads_a_hot_key(spark, folder):
 def test_second_writer_of_a_version_is_refused(spark, students):
     entry = students._entry()
     students.append(spark.createDataFrame([(77, "Z", 1.0)], STUDENT))
+    rows = sorted(students.read().collect())
     with pytest.raises(FileExistsError):
         students._again(entry, "APPEND", None, entry["parts"])
+    with pytest.raises(FileExistsError):
+        students._again(entry, "APPEND", spark.createDataFrame([(78, "Y", 2.0)], STUDENT), entry["parts"])
+    assert sorted(students.read().collect()) == rows
+    assert len([n for n in storage.file_names(spark, f"{students.root}/data") if "-" in n]) == len({p["path"].split("/")[0] for e in range(students.version() + 1) for p in students._entry(e)["parts"]})
+
+
+def test_an_expired_version_is_not_restored(spark, folder):
+    t = SnapshotTable(spark, folder)
+    t.create(spark.range(5).toDF("id"))
+    t.overwrite(spark.range(9).toDF("id"))
+    t.expire(retain=timedelta(0), dry_run=False, force=True)
+    with pytest.raises(ValueError, match="expired"):
+        t.restore(0)
+    assert t.read().count() == 9
 
 
 def test_missing_version(spark, students):

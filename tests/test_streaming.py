@@ -176,3 +176,22 @@ def test_datasets_describe_themselves(spark, folder):
     sets = D.Datasets(spark, folder)
     sets.dataset(D.TABLE, name="t", comment="three rows", properties={"quality": "gold"}, expectations=[Expectation("e", "true")])(lambda s: spark.range(3))
     assert sets.describe().collect() == [("t", D.TABLE, "three rows", {"quality": "gold"}, ["e"])]
+
+
+def test_counts_of_every_micro_batch_stay(spark, folder):
+    spark.range(60).repartition(6).write.json(f"{folder}/in")
+    sets = D.Datasets(spark, f"{folder}/sets")
+
+    @sets.dataset(D.STREAM, expectations=[Expectation("small", "id < 50", DROP)])
+    def t(s):
+        return spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        first = sets.run()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sets.metrics().count() == 6 and [tuple(r) for r in metrics_report(sets.metrics()).collect()] == [("t", "small", 50, 10)]
+    assert sets.run() != first and sets.read("t").count() == 50
+    kinds = {(r["event_type"], r["origin"]["update_id"] == first) for r in sets.events().collect()}
+    assert kinds == {("create_update", True), ("create_update", False), ("flow_definition", True), ("flow_definition", False), ("flow_progress", True), ("flow_progress", False)}
