@@ -31,6 +31,7 @@ SAMPLE_ROWS = {0: 6000, 1: 3000}  # of each label, at most
 SAMPLE_CHARS = 20_000  # longer documents are scored, but not learned from
 NEUTRAL = 80  # pieces without meaning added to every bag, so that a few pieces alone prove little
 STEPS = 700  # training steps at least
+TOXIC_SHARE = 0.25  # weight of the toxic texts among all, at least
 SEEN = 4  # pieces in fewer training texts have no meaning
 
 
@@ -70,7 +71,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total / (count + NEUTRAL) + self.bias, -500, 500)))
 
 
-def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10, rate: float = 0.5, seed: int = 5) -> Model:
+def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10, rate: float = 8.0, seed: int = 5) -> Model:
     """Train embeddings and output weights together, by minibatches with Adagrad steps.
 
     With one label only, or without rows, the model answers with the share of toxic rows.
@@ -93,6 +94,7 @@ def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10
     bias = np.log(np.maximum(np.bincount(y, minlength=2), 1) / len(y)).astype(np.float32)
     emb_sq, out_sq, bias_sq = np.full((BUCKETS, dim), 1e-7, np.float32), np.full(out.shape, 1e-8), np.full(2, 1e-8)
     rows = np.array([i for i in range(len(y)) if len(ids[i])], np.int64)
+    heavier = max(1.0, TOXIC_SHARE / (1 - TOXIC_SHARE) * (1 - y.mean()) / y.mean())
     batches = -(-len(rows) // min(128, max(8, len(rows) // 32)))
     epochs = max(epochs, -(-STEPS // batches)) if batches else 0
     for epoch in range(epochs):
@@ -106,7 +108,7 @@ def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(batch)), y[batch]] -= 1
-            p /= len(batch)
+            p *= np.where(y[batch] == 1, heavier, 1)[:, None] / len(batch)
             g_out, g_bias, g_mean = mean.T @ p, p.sum(0), p @ out.T
             touched, where = np.unique(index, return_inverse=True)
             spread = np.repeat(g_mean, lengths, axis=0) * weight[:, None]
@@ -114,9 +116,9 @@ def train(values: list[bytes], labels: list[int], dim: int = 8, epochs: int = 10
             emb_sq[touched] += g_emb**2
             emb[touched] -= step * g_emb / np.sqrt(emb_sq[touched])
             out_sq += g_out**2
-            out -= (0.1 * step * g_out / np.sqrt(out_sq)).astype(np.float32)
+            out -= (0.05 * step * g_out / np.sqrt(out_sq)).astype(np.float32)
             bias_sq += g_bias**2
-            bias -= (0.1 * step * g_bias / np.sqrt(bias_sq)).astype(np.float32)
+            bias -= (0.05 * step * g_bias / np.sqrt(bias_sq)).astype(np.float32)
     return Model(np.where(known, emb @ (out[:, 1] - out[:, 0]), 0).astype(np.float32), float(bias[1] - bias[0]))
 
 
