@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.packing import chunks
 from millrace.llm.registry import query
-from millrace.llm.texts import as_bytes, table_of
+from millrace.llm.texts import as_bytes, table_of, tidy
 from millrace.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -186,7 +186,7 @@ def with_trees(docs: DataFrame, keep: list[str], ranks: str = RANKS) -> DataFram
 
     rows = docs.select(*keep, as_bytes(F.col("text")).alias("__bytes"))
     schema = docs.select(*keep).schema.add("text", "string").add("leaf_chars", LEAVES).add("leaf_tokens", LEAVES).add("n_tokens", "long")
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(tidy(batches), schema)
 
 
 def edited(docs: DataFrame, keep: list[str], edits: str | Callable[[str], Edits], ranks: str = RANKS) -> DataFrame:
@@ -223,7 +223,7 @@ def edited(docs: DataFrame, keep: list[str], edits: str | Callable[[str], Edits]
     schema = docs.select(*keep).schema.add("text", "string").add("leaf_chars", LEAVES).add("leaf_tokens", LEAVES)
     for name in ("n_tokens", "n_edits", "n_encoded"):
         schema = schema.add(name, "long")
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(tidy(batches), schema)
 
 
 PRIVATE = re.compile(r"(?P<mail>[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+)|(?P<number>\+?\d[\d ()./-]{6,}\d)")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.registry import query
-from millrace.llm.texts import as_bytes, pieces, table_of
+from millrace.llm.texts import as_bytes, pieces, table_of, tidy
 from millrace.session import scratch
 from millrace.tables import table
 
@@ -138,7 +138,7 @@ def measure(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY) -> D
     schema = schema.add("script", "string").add("n_tokens", "long")
     for name in LEAST:
         schema = schema.add(name, "double")
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(tidy(batches), schema)
 
 
 def judge(measured: DataFrame, reach: float = REACH) -> DataFrame:

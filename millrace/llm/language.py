@@ -12,6 +12,7 @@ sample of labelled documents. It has a few thousand weights, so it is broadcast
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,14 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.registry import query
-from millrace.llm.texts import SPACE, as_bytes, held_out, letters, pieces, table_of
+from millrace.llm.texts import SPACE, as_bytes, held_out, letters, pieces, slices, table_of, tidy
 from millrace.tables import table
 
 STEPS = 64  # bytes of a window
 HIDDEN = 16
 SAMPLE_ROWS = 1500  # labelled documents of each language learned from, about
 SAMPLE_CHARS = 20_000  # longer ones are labelled, but not learned from
-GROUP_BYTES = 1 << 18  # bytes that go through the network together
+GROUP_BYTES = 1 << 17  # bytes that go through the network together
 UNDETERMINED = "und"
 
 
@@ -199,7 +200,7 @@ def label(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, layers, *rest = shared.value
         model = Model(labels, tuple(Layer(*x) for x in layers), *rest)
-        for batch in stream:
+        for batch in chain.from_iterable(map(slices, stream)):
             n = batch.num_columns
             known = np.array(batch.column(n - 2).to_pylist(), bool) & bool(model.labels)
             values = [b if ok else b"" for b, ok in zip(batch.column(n - 1).to_pylist(), known)]
@@ -211,7 +212,7 @@ def label(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     rows = docs.select(*keep, has_letter(F.col("text")).alias("__letter"), as_bytes(F.col("text")).alias("__bytes"))
     schema = rows.drop("__bytes", "__letter").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(tidy(batches), schema)
 
 
 @query("op2_language")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.registry import query
+from millrace.llm.texts import tidy
 from millrace.session import scratch
 from millrace.tables import table
 
@@ -234,7 +235,7 @@ def nearest(
                 yield pa.RecordBatch.from_arrays([pa.array([t]), *arrays], ["tree", "normals", "offsets", "children"])
 
     # The forest's size depends on the sample and the number of trees, not on the table.
-    forest = spark.range(trees, numPartitions=trees).mapInArrow(grown, "tree long, normals binary, offsets binary, children binary").collect()
+    forest = spark.range(trees, numPartitions=trees).mapInArrow(tidy(grown), "tree long, normals binary, offsets binary, children binary").collect()
     shared = spark.sparkContext.broadcast([(bytes(r.normals), bytes(r.offsets), bytes(r.children)) for r in sorted(forest)])
 
     def planted() -> list[Tree]:
@@ -265,13 +266,13 @@ def nearest(
     kind = known.schema["vector"].dataType.simpleString()
     schema = f"leaf long, id long, vector {kind}"
     blocks = max(1, -(-count // max(1, (min(count, sample) // LEAF) * BLOCK // 2)))  # leaves hold equal shares of the entries
-    index = known.select("entry", "vector").mapInArrow(placed, schema)
+    index = known.select("entry", "vector").mapInArrow(tidy(placed), schema)
     index = index.select("leaf", F.pmod("id", F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "vector")
-    queries = known.join(asking.select("entry").distinct(), "entry", "left_semi").select("entry", "vector").mapInArrow(asked, schema)
+    queries = known.join(asking.select("entry").distinct(), "entry", "left_semi").select("entry", "vector").mapInArrow(tidy(asked), schema)
     queries = queries.select("leaf", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "vector")
     met = index.unionAll(queries).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "kind", "id")
     most = top + SPARE
-    pairs = met.mapInArrow(lambda stream: meet(stream, width, most), "query long, entry long, score double")
+    pairs = met.mapInArrow(tidy(lambda stream: meet(stream, width, most)), "query long, entry long, score double")
     pairs = pairs.unionByName(asking.select(F.col("entry").alias("query"), "entry", F.lit(float("inf")).alias("score")))
     pairs = pairs.groupBy("query", "entry").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.registry import query
-from millrace.llm.texts import as_bytes
+from millrace.llm.texts import as_bytes, tidy
 from millrace.session import scratch
 from millrace.tables import table
 
@@ -243,12 +243,12 @@ def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, with_ids: b
         yield from finish()
 
     path = scratch(spark, "packed")
-    rows.mapInArrow(batches, schema).write.parquet(path)
+    rows.mapInArrow(tidy(batches), schema).write.parquet(path)
     packed = spark.read.schema(schema).parquet(path)
     last = packed.filter("sequence_id < 0")
     group = F.floor((-1 - F.col("sequence_id")) / GROUP)
     last = last.repartition(group).sortWithinPartitions(F.desc("sequence_id"), "offset")
-    return packed.filter("sequence_id >= 0").unionByName(last.mapInArrow(merged, schema))
+    return packed.filter("sequence_id >= 0").unionByName(last.mapInArrow(tidy(merged), schema))
 
 
 @query("op5_packing")

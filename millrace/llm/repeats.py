@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.registry import query
 from millrace.llm.similar import BASE, BASE_INVERSE, BYTE_CODE, mixed
-from millrace.llm.texts import as_bytes, table_of
+from millrace.llm.texts import as_bytes, table_of, tidy
 from millrace.session import scratch
 from millrace.tables import table
 
@@ -329,9 +329,9 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
 
     raw = as_bytes(F.col("text"))
     rows = docs.select(*keep, raw.alias("__bytes"), F.xxhash64("doc_id", raw).alias("__key"))
-    found = written(rows.select("__key", "__bytes").mapInArrow(lambda s: _stretches(s, length, gram), STRETCH), "stretches")
+    found = written(rows.select("__key", "__bytes").mapInArrow(tidy(lambda s: _stretches(s, length, gram)), STRETCH), "stretches")
     dealt = found.filter("copies > 0").repartition("anchor").sortWithinPartitions("anchor", "content", "key", "first")
-    verdicts = written(dealt.mapInArrow(_verdicts, VERDICT), "stretch-verdicts")
+    verdicts = written(dealt.mapInArrow(tidy(_verdicts), VERDICT), "stretch-verdicts")
 
     last = (F.col("first") + F.col("windows") + (length - 1)).alias("b")
     whole = found.filter("copies = 0").select("key", F.col("first").alias("a"), last)
@@ -339,9 +339,9 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
 
     # One plan reads the texts twice by key: Spark shuffles them once and reuses the exchange.
     asked = verdicts.filter(f"verdict <> {WHOLE}").groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "windows", "shift", "verdict")).alias("wanted"))
-    segments = rows.join(asked, rows["__key"] == asked["key"]).drop("key").mapInArrow(lambda s: _segments(s, length), SEGMENT)
+    segments = rows.join(asked, rows["__key"] == asked["key"]).drop("key").mapInArrow(tidy(lambda s: _segments(s, length)), SEGMENT)
     segments = segments.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "key", "first")
-    parts = segments.mapInArrow(lambda s: _compared(s, length), "key long, a long, b long")
+    parts = segments.mapInArrow(tidy(lambda s: _compared(s, length)), "key long, a long, b long")
     spans = whole.unionAll(parts).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +363,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
     schema = docs.select(*keep).schema
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
-    return rows.join(spans, rows["__key"] == spans["key"], "left").drop("key").mapInArrow(cut, schema.add("kept", "binary"))
+    return rows.join(spans, rows["__key"] == spans["key"], "left").drop("key").mapInArrow(tidy(cut), schema.add("kept", "binary"))
 
 
 @query("op8_repeats")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.graphs import components
 from millrace.llm.registry import query
-from millrace.llm.texts import as_bytes, pieces
+from millrace.llm.texts import as_bytes, pieces, slices, tidy
 from millrace.session import scratch
 from millrace.tables import table
 
@@ -205,12 +205,6 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """A batch in parts, so that few texts are Python objects at a time."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def _common(docs: DataFrame, words: int) -> DataFrame:
     def counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
@@ -220,7 +214,7 @@ def _common(docs: DataFrame, words: int) -> DataFrame:
                 often = n >= OFTEN
                 yield pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
-    found = docs.select(as_bytes(F.col("text"))).mapInArrow(counted, "token long, n long")
+    found = docs.select(as_bytes(F.col("text"))).mapInArrow(tidy(counted), "token long, n long")
     return found.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON)
 
 
@@ -250,7 +244,7 @@ def _sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> Data
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes"))
-    return rows.mapInArrow(described, "doc_id long, n long, digest binary, bits binary, head array<long>")
+    return rows.mapInArrow(tidy(described), "doc_id long, n long, digest binary, bits binary, head array<long>")
 
 
 def _meetings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +293,7 @@ def _exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("bytes").alias("a_bytes"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("bytes").alias("b_bytes"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_bytes", "b_bytes").mapInArrow(checked, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_bytes", "b_bytes").mapInArrow(tidy(checked), "a long, b long")
 
 
 def sent(ids: DataFrame) -> DataFrame:
@@ -338,7 +332,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = maps.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"))
     right = maps.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(passed, "a long, b long").distinct()
+    return joined.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(tidy(passed), "a long, b long").distinct()
 
 
 def _fit(n, m, percent: int):
@@ -387,7 +381,7 @@ def _counted(rows: DataFrame, percent: int) -> DataFrame:
             yield met(held)
 
     few = rows.filter(F.col("__count") <= FEW).select("token", "entry", "n", "group").repartition("token").sortWithinPartitions("token", "entry")
-    return few.mapInArrow(pairs, "a long, b long").groupBy("a", "b").count().filter(F.col("count") >= SHARED).select("a", "b")
+    return few.mapInArrow(tidy(pairs), "a long, b long").groupBy("a", "b").count().filter(F.col("count") >= SHARED).select("a", "b")
 
 
 def _opened(rows: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -403,7 +397,7 @@ def _opened(rows: DataFrame, sets: DataFrame, docs: DataFrame, words: int, perce
                 yield pa.RecordBatch.from_arrays([part.column(0), tokens], ["entry", "tokens"])
 
     texts = docs.select(F.col("doc_id").cast("long"), as_bytes(F.col("text")).alias("bytes")).join(wanted, "doc_id", "left_semi")
-    tokens = _written(texts.mapInArrow(hashed, "entry long, tokens binary"), "matrix-sets")
+    tokens = _written(texts.mapInArrow(tidy(hashed), "entry long, tokens binary"), "matrix-sets")
     rows = rows.join(tokens, "entry").withColumn("__blocks", F.ceil(F.col("__count") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("entry"), F.col("__blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
@@ -429,7 +423,7 @@ def _opened(rows: DataFrame, sets: DataFrame, docs: DataFrame, words: int, perce
             yield found()
 
     dealt = rows.select("token", "low", "high", "entry", "group", "block", "tokens").repartition("token", "low", "high")
-    return dealt.sortWithinPartitions("token", "low", "high", "entry").mapInArrow(links, "a long, b long").distinct()
+    return dealt.sortWithinPartitions("token", "low", "high", "entry").mapInArrow(tidy(links), "a long, b long").distinct()
 
 
 def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -452,7 +446,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     heads = heads.select(F.explode("head").alias("token"), F.col("doc_id").alias("entry"), "n").join(F.broadcast(cells), "token", "left")
     heads = heads.select("token", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("__cells")), F.lit(-1)).cast("int").alias("cell"), "entry", "n")
     heads = heads.repartition("token", "cell").sortWithinPartitions("token", "cell", "entry")
-    meetings = _written(heads.mapInArrow(_meetings, "token long, entry long, n long"), "shared-tokens")
+    meetings = _written(heads.mapInArrow(tidy(_meetings), "token long, entry long, n long"), "shared-tokens")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = _written(pairs, "pairs")

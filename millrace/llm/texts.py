@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,30 @@ def by_text(totals: np.ndarray, starts: np.ndarray, owner: np.ndarray, values: n
     np.add.at(totals, owner, np.add.reduceat(values, starts))
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def table_of(batch: pa.RecordBatch, keep: list[str], **columns: pa.Array) -> pa.RecordBatch:
     """The named columns of a batch and new ones behind them."""
     arrays = [batch.column(batch.schema.get_field_index(n)) for n in keep]
     return pa.RecordBatch.from_arrays([*arrays, *columns.values()], [*keep, *columns])
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(task: Task) -> Task:
+    """A task that gives the memory it has freed back to the system: its worker stays, idle, beside later stages."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(stream)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not this C library
+            pass
+
+    return run

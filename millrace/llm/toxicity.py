@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.registry import query
-from millrace.llm.texts import SPACE, as_bytes, blocks, by_text, held_out, letters, table_of
+from millrace.llm.texts import SPACE, as_bytes, blocks, by_text, held_out, letters, table_of, tidy
 from millrace.tables import table
 
 LENGTHS = (3, 4, 5)
@@ -156,7 +156,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     rows = docs.select(*keep, as_bytes(F.col("text")).alias("__bytes"))
     schema = rows.drop("__bytes").schema.add("score", "double").add("predicted", "integer")
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(tidy(batches), schema)
 
 
 @query("op1_toxicity")
