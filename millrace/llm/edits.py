@@ -37,6 +37,19 @@ REMEMBERED = 200_000  # counts of pre-tokens that a worker remembers
 Edits = list[tuple[int, int, str]]
 
 
+class Known(dict):
+    """Token counts by pre-token, encoded when first asked for."""
+
+    def __init__(self, encode: Callable[[str], list[int]]) -> None:
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        n = self[piece] = len(self.encode(piece))
+        return n
+
+
 class Counter:
     """Pre-tokens and their token counts."""
 
@@ -46,24 +59,18 @@ class Counter:
         with open(ranks, "rb") as file:
             found = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={})
-        self.pattern, self.known = regex.compile(public_tokenizers.PATTERN), {}
-
-    def tokens(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            n = self.known[piece] = len(self.encoding.encode_ordinary(piece))
-        return n
+        self.pattern, self.known = regex.compile(public_tokenizers.PATTERN), Known(self.encoding.encode_ordinary)
 
     def leaves(self, text: str) -> list[tuple[int, int]]:
         """(characters, tokens) of each leaf of a text; the pattern covers every character."""
         out = []
         for part in chunks(text):
-            pieces = self.pattern.findall(part)
-            counts = list(map(self.tokens, pieces))
-            sizes = list(map(len, pieces))
-            out += [(sum(sizes[i : i + FAN]), sum(counts[i : i + FAN])) for i in range(0, len(pieces), FAN)]
+            sizes, at = list(map(len, self.pattern.findall(part))), 0
+            for i in range(0, len(sizes), FAN):
+                end = at + sum(sizes[i : i + FAN])
+                # A leaf ends where a pre-token does, so its text alone is cut into the same pre-tokens.
+                out.append((end - at, len(self.encoding.encode_ordinary(part[at:end]))))
+                at = end
         return out
 
 
@@ -147,7 +154,7 @@ class Document:
         new, chars, tokens, pieces, begin = [], 0, 0, 0, at
         for found in self.counter.pattern.finditer(self.text, at):
             piece = found.group()
-            at, chars, tokens, pieces = at + len(piece), chars + len(piece), tokens + self.counter.tokens(piece), pieces + 1
+            at, chars, tokens, pieces = at + len(piece), chars + len(piece), tokens + self.counter.known[piece], pieces + 1
             while end + shift < at and high + 1 < tree.used:
                 high += 1
                 end += tree.chars[tree.size + high]
