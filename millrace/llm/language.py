@@ -25,7 +25,7 @@ from millrace.llm.texts import SPACE, as_bytes, held_out, letters, pieces, slice
 from millrace.tables import table
 
 STEPS = 64  # bytes of a window
-HIDDEN = 16
+HIDDEN = 12
 SAMPLE_ROWS = 1500  # labelled documents of each language learned from, about
 SAMPLE_CHARS = 20_000  # longer ones are labelled, but not learned from
 GROUP_BYTES = 1 << 17  # bytes that go through the network together
