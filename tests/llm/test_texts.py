@@ -202,3 +202,28 @@ def test_pages_of_a_table(spark, small):
     for r in pages.extract(spark.read.parquet(f"{small}/pages.parquet"), ["page_id", "html"]).collect():
         article = re.search(r"<article>(.*)</article>", r.html, re.S).group(1)
         assert r.text == " ".join(html.unescape(re.sub(r"<[^>]+>", " ", article)).split()) and r.n_chars == len(r.text)
+
+
+LONG = "Plain sentences of a page that fill one block after the other, as in a report of some length. " * 4
+DENSE = f"<div>{LONG}</div><div>{LONG}</div><div>{LONG}</div>"
+CARD = "<article><h3><a href=z>Another story</a></h3><p>A teaser that says in some ninety characters what the other story is about, and more.</p></article>"
+
+
+@pytest.mark.parametrize("body, text", [
+    (DENSE + CARD, LONG * 3),  # the text is in plain blocks, a teaser is marked as an article
+    (CARD + DENSE, LONG * 3),
+    (f"<div>{LONG}</div><div>{LONG}</div>{CARD}<div>{LONG}</div><div>The end.</div>", LONG * 3 + "The end."),
+    (f"<main><p>Skip.</p></main>{DENSE}", LONG * 3),
+    (DENSE.replace("div", "p"), LONG * 3),  # no article at all
+    (f"<div>{LONG}</div><article>{DENSE[: len(DENSE) // 3 * 2]}</article>", LONG * 3),  # as dense outside as in the article
+    (f"<div>Filed under news</div><article>{DENSE}</article><div>Top of page</div>", LONG * 3),
+    (f"<article><h1><a href=z>Head</a></h1>{DENSE}<div class=ad>x</div><div class=ad>x</div><div class=ad>x</div><p>And then it was over.</p><p><a href=q>Source</a></p></article>", "Head " + LONG * 3 + "And then it was over. Source"),
+    ("<article><p><a href=z>Only a link</a></p></article>", "Only a link"),
+])
+def test_windows_choose_the_text(body, text):
+    assert pages.main_text(PAGE % body).split() == text.split()
+
+
+def test_pages_of_a_table_without_article_tags(spark, small):
+    for r in spark.read.parquet(f"{small}/pages.parquet").collect():
+        assert pages.main_text(r.html.replace("article>", "div>")) == pages.main_text(r.html)
