@@ -5,7 +5,8 @@ byte tokens, and the entropy of its tokens. Text that the vocabulary does not fi
 shouting, encoded data), or that repeats itself, leaves the band that texts of its language and
 length keep to. Bands are quartiles over all documents of a language (of a script, where no
 language is given) and octave of token count, widened by ``REACH`` times the distance of the
-quartiles, and never narrower than ``LEAST``.
+quartiles, and never narrower than ``LEAST``. Where these are few, the band is that of the language,
+then of the text's script, then of all documents, so that every document has one.
 
 A text is measured whole, a bounded piece at a time.
 """
@@ -31,7 +32,7 @@ WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 REACH = 2.0
 LEAST = {"chars_per_token": 0.2, "byte_share": 0.05, "entropy": 0.03}
-FEWEST = 30  # documents that a band is taken from; below, that of the whole language, then none
+FEWEST = 30  # documents that a band is taken from; below, that of the language, the script, then all documents
 BROADCAST_ROWS = 10_000
 #: First and last code point of the larger scripts.
 SCRIPTS = (
@@ -146,25 +147,28 @@ def judge(measured: DataFrame, reach: float = REACH) -> DataFrame:
 
     ``measured`` should be a written table: it is read for the bands and for the verdicts. A
     language with under ``FEWEST`` documents of a length takes its band from all its lengths, one
-    with fewer documents than that has no band, and its documents are judged by the base rules only.
+    with fewer documents than that from all documents in the text's script, and a script with fewer
+    than that from all documents, however few. Documents that fail the base rules make no band.
     """
     group = F.coalesce(F.col("lang"), F.concat(F.lit("script:"), "script"))
     rows = measured.withColumns({"__group": group, "__octave": F.length(F.bin("n_tokens"))})
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(n) for n in LEAST]
     sound = rows.filter(~F.col("base_failed"))
-    band = sound.groupBy("__group", "__octave").agg(*quartiles, F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= FEWEST)
-    wide = sound.groupBy("__group").agg(*quartiles, F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= FEWEST)
-    narrow = [F.col(n).alias(f"__{n}") for n in LEAST]
-    joined = rows.join(_small(band.select("__group", "__octave", *narrow)), ["__group", "__octave"], "left")
-    joined = joined.join(_small(wide.select("__group", *[F.col(n).alias(f"__all_{n}") for n in LEAST])), "__group", "left")
+    levels = {"__narrow": ["__group", "__octave"], "__wide": ["__group"], "__script": ["script"]}
+    joined, bands = rows, []
+    for level, keys in levels.items():
+        band = sound.groupBy(*keys).agg(*quartiles, F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= FEWEST)
+        joined = joined.join(_small(band.select(*keys, F.struct(*LEAST).alias(level))), keys, "left")
+        bands.append(level)
+    joined = joined.crossJoin(F.broadcast(sound.agg(*quartiles).select(F.struct(*LEAST).alias("__any"))))
+    joined = joined.withColumn("__band", F.coalesce(*bands, "__any"))
     inside = F.lit(True)
     for name, least in LEAST.items():
-        q = F.coalesce(f"__{name}", f"__all_{name}")
+        q = F.col("__band")[name]
         room = F.greatest(reach * (q[2] - q[0]), F.lit(least))
         low, high = F.col(name) >= q[0] - room, F.col(name) <= q[2] + room
-        fits = {"byte_share": high, "entropy": low}.get(name, low & high)
-        inside = inside & F.coalesce(fits, F.lit(True))
+        inside = inside & {"byte_share": high, "entropy": low}.get(name, low & high)
     joined = joined.withColumn("kept", ~F.col("base_failed") & inside)
     return joined.select(*measured.columns, "base_failed", "kept")
 

@@ -158,6 +158,29 @@ def test_fertility_bands(spark):
     assert sum(not got[i].kept for i in range(200)) == 0 and not got[1000].kept and not got[1001].kept and got[1001].base_failed
 
 
+def prose_and_soup(seed):
+    rng = np.random.default_rng(seed)
+    words = "the quick brown fox jumps over a lazy dog while many people watch from the old stone bridge near town".split()
+    return lambda: " ".join(rng.choice(words, 80)), lambda: " ".join(f"%&#{x}" for x in rng.integers(0, 10**9, 80))
+
+
+@pytest.mark.parametrize("lang", ["xx", None, "en"])
+@pytest.mark.parametrize("many", [200, 12])
+def test_rare_languages_and_small_tables_get_a_verdict(spark, lang, many):
+    prose, soup = prose_and_soup(7)
+    rows = [(i, prose(), "en") for i in range(many)] + [(1000, soup(), lang), (1001, soup(), lang), (1002, prose(), lang)]
+    rows += [(1003, " ".join("Ж%dщ☃☂" % i for i in range(40)), lang)]  # a script of one document
+    got = {r.doc_id: r for r in fertility.rate(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sorted(got) == [*range(many), 1000, 1001, 1002, 1003]
+    assert {k for k, r in got.items() if not r.kept} == {1000, 1001, 1003} and not any(r.base_failed for r in got.values())
+
+
+def test_fertility_without_sound_documents(spark):
+    rows = [(1, "few words", "en"), (2, None, None)]
+    got = fertility.rate(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == 2 and all(r.base_failed and r.kept is False for r in got)
+
+
 def test_fertility_edge_rows(spark, docs, no_docs):
     got = fertility.rate(docs.withColumn("kept", F.lit("clash"))).collect()
     assert len(got) == docs.count()
