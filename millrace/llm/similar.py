@@ -2,8 +2,8 @@
 
 A document's set are the hashes of its distinct shingles. Documents with equal sets are one entry.
 Tokens are put in one order, rarest first; two sets with Jaccard at least t share ``SHARED`` tokens among
-the first n - ceil(t n) + SHARED of either (the head of a set of n). Different sets with a link have at
-least six tokens at t = 0.85, so there are that many.
+the first n - ceil(t n) + SHARED of either (the head of a set of n). Different sets with a link share at
+least six tokens at t = 0.85 and four at t = 0.8, so there are that many.
 
 1. In a few rounds, each entry is checked against one entry of another group, of those that come first
    at its head tokens the one it shares most with. The links found join entries to groups of similar

@@ -73,3 +73,36 @@ def test_one_of_repeated_rows_stays(spark):
     rows = [(5, "w1 w2 w3 w4 w5 w6", "en", "a", 1)] * 3 + [(4, None, "en", "a", 1)] * 2 + [(6, "other words stand in this one here", "en", "a", 1)]
     got = step(spark, "similar", spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     assert sorted(r.doc_id for r in got.collect()) == [4, 4, 5, 6]
+
+
+def near_groups(rows, words=5, percent=80):
+    """Smallest id of each row's group, by comparing all pairs."""
+    sets = {}
+    for key, text in rows:
+        w = text.lower().split()
+        sets[key] = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+    group = {k: k for k in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and group[a] != group[b] and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    return group
+
+
+def test_similar_stage_takes_five_words_and_eight_tenths(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(int(rng.integers(5, 140)))]
+        rows.append(base)
+        rows += [base + [f"g{g}more{n}x{i}" for i in range(int(len(base) * share))] for n, share in enumerate((0.1, 0.19, 0.22, 0.25, 0.3))]
+        for n, share in enumerate((0.05, 0.08, 0.1, 0.13)):
+            size = max(1, int(len(base) * share))
+            at = int(rng.integers(0, len(base) - size + 1))
+            rows.append([*base[:at], *(f"g{g}new{n}x{i}" for i in range(size)), *base[at + size :]])
+    texts = [(int(i), " ".join(w), "en", "a", 1) for i, w in zip(rng.permutation(len(rows)), rows)]
+    got = step(spark, "similar", spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").repartition(4))
+    near, tight = near_groups([t[:2] for t in texts]), near_groups([t[:2] for t in texts], 4, 85)
+    kept = sorted(r.doc_id for r in got.collect())
+    assert kept == sorted(k for k, g in near.items() if k == g) and len(kept) < sum(k == g for k, g in tight.items())
