@@ -83,8 +83,8 @@ def letters(raw: np.ndarray) -> np.ndarray:
 
 
 def by_text(totals: np.ndarray, starts: np.ndarray, owner: np.ndarray, values: np.ndarray) -> None:
-    """Add the sum of ``values`` over each piece to its text's total."""
-    np.add.at(totals, owner, np.add.reduceat(values, starts))
+    """Add the sum of ``values`` over each piece, from the space before it on, to its text's total."""
+    np.add.at(totals, owner, np.add.reduceat(values, starts - 1))
 
 
 def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:

@@ -96,3 +96,14 @@ def test_language_edge_rows(spark, docs, no_docs):
     nothing = language.fit(no_docs)
     assert {r.lang_pred for r in language.label(docs, nothing, ["doc_id"]).collect()} == {"und"}
     assert language.label(no_docs, model, ["doc_id"]).count() == 0
+
+
+def test_a_score_does_not_depend_on_the_texts_around():
+    from millrace.llm import toxicity
+
+    weight = np.random.default_rng(3).normal(size=1 << toxicity.BITS).astype(np.float32)
+    model = toxicity.Model(weight, 0.25)
+    values = [b"", b"toxic words here", b"one", b"", b"a calm sentence", b"toxic", b"12"]
+    alone = [model.scores([v])[0] for v in values]
+    assert np.allclose(model.scores(values), alone, atol=1e-9) and np.allclose(model.scores(values[::-1]), alone[::-1], atol=1e-9)
+    assert alone[0] == alone[6] == 1 / (1 + np.exp(-0.25))
