@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("toxicity", "language", "neighbours", "edits", "packing", "mixing", "similar", "repeats", "fertility", "pages")
+MODULES = ("toxicity", "language", "neighbours", "edits", "packing", "mixing", "similar", "repeats", "fertility", "pages", "sketches", "turns", "periods")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
