@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace import storage
 
 WARN, DROP, FAIL = "warn", "drop", "fail"
 
@@ -70,10 +73,60 @@ def observed(df: DataFrame, expectations: list[Expectation], into: Observation |
     return df.observe(into, F.count(F.lit(1)).alias("records"), *counts)
 
 
+VERDICT, BROKEN = "__verdict", "__broken"
+KEPT, REJECTED, NONE = "kept", "rejected", "-"
+
+
+def judged(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """Rows with their verdict (kept or rejected) and the names of the rules they break, joined by commas.
+
+    A broken ``fail`` rule stops the job. Rule names may not hold a comma.
+    """
+    if any("," in e.name for e in expectations):
+        raise ValueError("the name of a rule may not hold a comma")
+    df = keep_expected(df, [e for e in expectations if e.on_violation == FAIL])
+    drops = [e for e in expectations if e.on_violation == DROP]
+    broken = F.concat_ws(",", *[F.when(~e.holds(), F.lit(e.name)) for e in expectations if e.on_violation != FAIL])
+    verdict = F.when(_all_hold(drops), F.lit(KEPT)).otherwise(F.lit(REJECTED))
+    return df.withColumns({VERDICT: verdict, BROKEN: F.when(F.length(broken) > 0, broken).otherwise(F.lit(NONE))})
+
+
+def rule_counts(found: dict[str, int], expectations: list[Expectation], dataset: str) -> list[tuple[str, str, int, int]]:
+    """(dataset, rule, passed, failed) from the rows of each value of the broken rules."""
+    total = sum(found.values())
+    failed = {e.name: sum(n for names, n in found.items() if e.name in names.split(",")) for e in expectations}
+    return [(dataset, e.name, total - failed[e.name], failed[e.name]) for e in expectations]
+
+
+def write_judged(df: DataFrame, expectations: list[Expectation], path: str) -> dict[str, int]:
+    """Write kept and rejected rows in one pass, a folder for each verdict; returns rows by their broken rules.
+
+    The rows are counted by the footers of the files that were committed, so a task that ran twice counts once.
+    """
+    spark = df.sparkSession
+    judged(df, expectations).write.mode("overwrite").partitionBy(VERDICT, BROKEN).parquet(path)
+    schema = df.schema.add(VERDICT, "string").add(BROKEN, "string")
+    counts = spark.read.schema(schema).parquet(path).groupBy(BROKEN).count().collect()  # combinations that occur
+    return {r[BROKEN]: r["count"] for r in counts}
+
+
+def _by_verdict(reader, path: str, schema: T.StructType, verdict: str) -> DataFrame:
+    marks = [T.StructField(VERDICT, T.StringType()), T.StructField(BROKEN, T.StringType())]
+    return reader.schema(T.StructType([*schema.fields, *marks])).parquet(path).filter(F.col(VERDICT) == verdict)
+
+
+def read_kept(reader, path: str, schema: T.StructType) -> DataFrame:
+    """The kept rows of :func:`write_judged`, with ``spark.read`` or ``spark.readStream``. Folders above the verdict do not matter."""
+    return _by_verdict(reader, path, schema, KEPT).select(*[F.col(f"`{n}`") for n in schema.names])
+
+
+def read_rejected(reader, path: str, schema: T.StructType) -> DataFrame:
+    """The rejected rows, with ``broken``, the names of the rules they break."""
+    return _by_verdict(reader, path, schema, REJECTED).select(*[F.col(f"`{n}`") for n in schema.names], F.split(BROKEN, ",").alias("broken"))
+
+
 def write_expected(df: DataFrame, expectations: list[Expectation], path: str, dataset: str) -> DataFrame:
     """Write the rows that go on; return the counts. Nothing is left behind if a rule fails."""
-    from millrace import storage
-
     seen = Observation()
     kept = keep_expected(observed(df, expectations, seen), [e for e in expectations if e.on_violation == DROP])
     kept.write.mode("errorifexists").parquet(path)

@@ -1,11 +1,11 @@
 """Versioned tables: Parquet parts plus one history row per version.
 
-A part is a folder of Parquet files (one per partition value for partitioned tables) that is
-written once and never changed. A version is a list of parts. A change writes the rows it
-makes, then adds a history row naming the parts that are still valid and the new ones. So
-appending and restoring move no old data, and update, delete and merge rewrite only those
-parts that hold a row they touch. The history has one small JSON file per version; the newest
-one is the only thing the driver reads.
+A part is a Parquet file that is written once and never changed. A version is a list of parts.
+A change writes the rows it makes, then adds a history row naming the parts that are still
+valid and the new ones. So appending and restoring move no old data, and update, delete and
+merge rewrite only those files that hold a row they touch. A table with an index over its
+merge key (:mod:`millrace.operators.keyindex`) does not read the other files at all. The history
+has one JSON file per version; the newest one is the only thing the driver reads.
 
 Every attempt writes into folders of its own. Of two writers of one version the store lets one
 create the history row; the other is refused and removes its own folder. A writer that dies
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from urllib.parse import unquote
@@ -25,18 +26,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import storage
+from millrace.operators import curve, keyindex
 from millrace.operators import merge as M
 
 HISTORY_SCHEMA = (
     "version long, committed_at timestamp, operation string, rows_added long, rows_removed long, row_count long, "
-    "parts array<struct<root: string, path: string, uri: string, rows: long>>, partition_by array<string>, schema string, "
-    "constraints map<string,string>, generated map<string,string>, comment string, tag string"
+    "parts array<struct<root: string, path: string, uri: string, rows: long, files: long>>, partition_by array<string>, schema string, "
+    "constraints map<string,string>, generated map<string,string>, comment string, tag string, tags map<string,long>, index_by array<string>"
 )
 
 # Spark reads this folder level as a column, so no table may have a column of this name.
 VERSION_FOLDER = "millrace_version"
 
 
+def folder_of(part) -> str:
+    """The folder that holds a part's file, below the table's data."""
+    return part["path"].rpartition("/")[0]
+
+
+def partition_of(part) -> str:
+    """The partition values of a part, as they stand in its path."""
+    return folder_of(part).partition("/")[2]
+
+
+def widened(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The old type with the fields that only the new one has, at any depth; other differences stay as they are."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        fresh = {f.name: f.dataType for f in new.fields}
+        fields = [T.StructField(f.name, widened(f.dataType, fresh[f.name]) if f.name in fresh else f.dataType, f.nullable) for f in old.fields]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in old.names])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(widened(old.elementType, new.elementType), True)
+    return old
+
+
+def _writer(tag: str) -> tuple[str, int]:
+    """'name:7' to its writer and number; another tag is a writer of its own."""
+    name, _, number = tag.rpartition(":")
+    return (name, int(number)) if name and number.isdigit() else (tag, 0)
+
+
 class SchemaMismatch(ValueError):
     pass
 
@@ -98,7 +127,11 @@ class SnapshotTable:
         return versions[-2] if len(versions) > 1 else None
 
     def has_tag(self, tag: str) -> bool:
-        return self.exists() and not self._log().filter(F.col("tag") == tag).isEmpty()
+        """Whether this tag, or a later number of its writer, is committed. The newest entry holds each writer's last."""
+        if not self.exists():
+            return False
+        writer, number = _writer(tag)
+        return (self._entry().get("tags") or {}).get(writer, -1) >= number
 
     # ---- reading -------------------------------------------------------------------------
 
@@ -106,25 +139,31 @@ class SnapshotTable:
         extra = [F.lit(None).cast("string").alias("__part")] if with_part else []
         if not parts:
             return self.spark.createDataFrame([], schema).select("*", *extra)
-        by_root: dict[str, list] = {}
-        for part in parts:
-            by_root.setdefault(part["root"], []).append(part)
         frames = []
-        for root, members in by_root.items():
-            df = (
-                self.spark.read.schema(schema).option("basePath", f"{root}/data")
-                .parquet(*[f"{root}/data/{p['path']}" for p in members])
-            )
+        for root, paths in self._paths(parts).items():
+            df = self.spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*[f"{root}/data/{p}" for p in paths])
             if with_part:
                 extra = [self._part_of_file(root).alias("__part")]
             frames.append(df.select(*[F.col(f"`{n}`") for n in schema.names], *extra))
         return reduce(DataFrame.unionByName, frames)
 
+    @staticmethod
+    def _paths(parts) -> dict[str, list[str]]:
+        """Paths to read by root: a folder of which all files are wanted is one path."""
+        folders: dict[tuple[str, str], list] = {}
+        for part in parts:
+            folders.setdefault((part["root"], folder_of(part)), []).append(part)
+        out: dict[str, list[str]] = {}
+        for (root, folder), members in folders.items():
+            whole = len(members) == members[0]["files"]
+            out.setdefault(root, []).extend([folder] if whole else [p["path"] for p in members])
+        return out
+
     def _part_of_file(self, root: str) -> Column:
         """Label of the part a row was read from; equals :meth:`_part_label` of that part."""
         path = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "")
         inside = F.substring(path, len(storage.raw_path(self.spark, f"{root}/data")) + 2, 1_000_000)
-        return F.concat(F.lit(f"{root}|"), F.regexp_replace(inside, "/[^/]*$", ""))
+        return F.concat(F.lit(f"{root}|"), inside)
 
     @staticmethod
     def _part_label(part) -> str:
@@ -149,7 +188,7 @@ class SnapshotTable:
     def _commit(
         self, operation: str, rows: DataFrame | None, keep: list, schema: T.StructType, *, previous=None,
         partition_by: list[str] | None = None, constraints=None, generated=None, comment=None, tag=None,
-        replace_partitions: bool = False,
+        replace_partitions: bool = False, index_by: list[str] | None = None,
     ) -> int:
         if VERSION_FOLDER in (n.lower() for n in schema.names):
             raise SchemaMismatch(f"a column may not be called {VERSION_FOLDER}")
@@ -172,26 +211,28 @@ class SnapshotTable:
                 if broken:
                     storage.delete(self.spark, target)
                     raise ConstraintViolated(f"{operation} on {self.root} violates {broken}")
-            # Row counts come from the written files' footers: exact even if tasks were retried.
-            whole = [{"root": self.root, "path": folder, "uri": folder}]
-            if partition_by:
-                counts = self._read_parts(whole, schema, True).groupBy("__part").count().collect()
-                found = {r["__part"][len(self.root) + 1:]: r["count"] for r in counts}
-            else:
-                found = {folder: self._read_parts(whole, schema).count()}
-            new_parts = [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in found.items() if n]
+            new_parts = self._written_parts(folder, schema)
+            if not new_parts:
+                storage.delete(self.spark, target)
+            if index_by and new_parts:
+                written = self._read_parts(new_parts, schema, True).select(*index_by, "__part")
+                keyindex.write(written, index_by, {self._part_label(p): p["rows"] for p in new_parts}, f"{self.root}/index/{folder}")
         if replace_partitions:
-            written = {p["uri"].partition("/")[2] for p in new_parts}
-            keep = [p for p in keep if p["uri"].partition("/")[2] not in written]
+            written = {partition_of(p) for p in new_parts}
+            keep = [p for p in keep if partition_of(p) not in written]
         parts = [*keep, *new_parts]
         before = sum(p["rows"] for p in previous["parts"]) if previous else 0
         kept = sum(p["rows"] for p in keep)
         after = sum(p["rows"] for p in parts)
+        tags = dict((previous or {}).get("tags") or {})
+        if tag is not None:
+            writer, number = _writer(tag)
+            tags[writer] = max(number, tags.get(writer, -1))
         entry = {
             "version": version, "committed_at": datetime.now(timezone.utc).isoformat(), "operation": operation,
             "rows_added": after - kept, "rows_removed": max(before - kept, 0), "row_count": after, "parts": parts,
             "partition_by": partition_by, "schema": schema.json(), "constraints": constraints, "generated": generated,
-            "comment": comment, "tag": tag,
+            "comment": comment, "tag": tag, "tags": tags, "index_by": list(index_by or []),
         }
         try:
             storage.create_text(self.spark, self._history_file(version), json.dumps(entry))
@@ -201,12 +242,21 @@ class SnapshotTable:
             raise
         return version
 
+    def _written_parts(self, folder: str, schema: T.StructType) -> list[dict]:
+        """One part for each file that was written, with rows. Counts come from footers: exact even if tasks were retried."""
+        found = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(f"{self.root}/data/{folder}")
+        counts = found.select(self._part_of_file(self.root).alias("part")).groupBy("part").count().collect()
+        uris = {r["part"][len(self.root) + 1 :]: r["count"] for r in counts}
+        parts = [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in sorted(uris.items())]
+        siblings = Counter(folder_of(p) for p in parts)
+        return [{**p, "files": siblings[folder_of(p)]} for p in parts]
+
     def _again(self, previous, operation: str, rows: DataFrame | None, keep: list, schema=None, tag=None, **options) -> int:
         """Commit with the table's own layout and rules."""
         return self._commit(
             operation, rows, keep, schema or T.StructType.fromJson(json.loads(previous["schema"])), previous=previous,
             partition_by=previous["partition_by"], constraints=previous["constraints"],
-            generated=previous["generated"], comment=previous["comment"], tag=tag, **options,
+            generated=previous["generated"], comment=previous["comment"], tag=tag, index_by=previous.get("index_by"), **options,
         )
 
     def _fit(self, df: DataFrame, entry, allow_missing: bool = False) -> DataFrame:
@@ -225,14 +275,18 @@ class SnapshotTable:
 
     def create(
         self, df: DataFrame, partition_by: list[str] | None = None, constraints: dict[str, str] | None = None,
-        generated: dict[str, str] | None = None, comment: str | None = None, tag: str | None = None,
+        generated: dict[str, str] | None = None, comment: str | None = None, tag: str | None = None, index_by: list[str] | None = None,
     ) -> int:
-        """Create the table, or replace its contents, schema and rules."""
+        """Create the table, or replace its contents, schema and rules.
+
+        ``index_by`` names the key of later merges: each file's smallest and largest key and a Bloom filter of its
+        keys are kept beside the data, so that a merge reads only files that may hold a key of its source.
+        """
         df = with_generated(df, generated or {})
         previous = self._entry() if self.exists() else None
         return self._commit(
             "CREATE OR REPLACE", df, [], df.schema, previous=previous, partition_by=partition_by,
-            constraints=constraints, generated=generated, comment=comment, tag=tag,
+            constraints=constraints, generated=generated, comment=comment, tag=tag, index_by=index_by,
         )
 
     def overwrite(self, df: DataFrame, allow_missing: bool = False, tag: str | None = None) -> int:
@@ -247,11 +301,17 @@ class SnapshotTable:
             raise ValueError(f"{self.root} is not partitioned")
         return self._again(entry, "OVERWRITE PARTITIONS", self._fit(df, entry), entry["parts"], replace_partitions=True)
 
-    def append(self, df: DataFrame, allow_missing: bool = False, tag: str | None = None) -> int:
-        """Add rows; none of the old files is read or moved. A tag is applied once only."""
+    def append(self, df: DataFrame, allow_missing: bool = False, tag: str | None = None, evolve: bool = False) -> int:
+        """Add rows; none of the old files is read or moved. A tag is applied once only.
+
+        ``evolve`` adds new columns, and new fields of structs, to the table's schema; old rows have NULL there.
+        """
         entry = self._entry()
         if tag is not None and self.has_tag(tag):
             return entry["version"]
+        if evolve:
+            schema = widened(T.StructType.fromJson(json.loads(entry["schema"])), df.schema)
+            entry, allow_missing = {**entry, "schema": schema.json()}, True
         return self._again(entry, "APPEND", self._fit(df, entry, allow_missing), entry["parts"], tag=tag)
 
     def _split(self, entry, touched: DataFrame) -> tuple[list, list]:
@@ -293,7 +353,8 @@ class SnapshotTable:
 
         The source is written to the table's folder first: the several passes over it then
         see the same rows, even if it is random, time-dependent or costly. The target is read
-        twice: its keys, to find the parts and keys the source mentions, and then those parts.
+        twice: its keys, to find the parts and keys the source mentions, and then those parts. With an
+        index over the keys, only the parts that it cannot rule out are read for keys.
         """
         entry = self._entry()
         if tag is not None and self.has_tag(tag):
@@ -305,7 +366,8 @@ class SnapshotTable:
             schema = T.StructType(schema.fields + [T.StructField(f.name, f.dataType, True) for f in new])
         staging = f"{self.root}/staging/{entry['version'] + 1}-{uuid.uuid4().hex[:12]}"
         staged = self._staged(source, f"{staging}/source")
-        everything = self._read_parts(entry["parts"], schema, True)
+        near = self._may_hold(entry, staged, keys, null_safe)
+        everything = self._read_parts(near, schema, True)
         known = self._staged(M.known_keys(everything, staged, keys, null_safe, also=["__part"]), f"{staging}/known")
         hit, keep, survivors = [], list(entry["parts"]), None
         if any(c.kind != M.INSERT for c in clauses):
@@ -321,6 +383,29 @@ class SnapshotTable:
         finally:
             storage.delete(self.spark, staging)
 
+    def _may_hold(self, entry, staged: DataFrame, keys: list[str], null_safe: bool = False) -> list[dict]:
+        """The parts that may hold a key of the staged rows, as far as an index tells."""
+        if not keys or list(entry.get("index_by") or []) != list(keys):
+            return entry["parts"]
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        asked = staged.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in keys])
+        folders = sorted({f"{p['root']}/index/{p['path'].partition('/')[0]}" for p in entry["parts"]})
+        found = keyindex.candidates(self.spark, folders, asked, keys, len(entry["parts"]), null_safe)
+        return [p for p in entry["parts"] if self._part_label(p) in found]
+
+    def replace_parts(self, old: list[dict], rows: DataFrame | None, operation: str = "REWRITE", tag: str | None = None) -> int:
+        """Put ``rows`` in the place of some parts of the newest version; the others stay as they are."""
+        entry, gone = self._entry(), {self._part_label(p) for p in old}
+        return self._again(entry, operation, rows, [p for p in entry["parts"] if self._part_label(p) not in gone], tag=tag)
+
+    def parts(self, version: int | None = None) -> list[dict]:
+        """Root, path and rows of each file of a version."""
+        return self._entry(version)["parts"]
+
+    def read_parts(self, parts: list[dict]) -> DataFrame:
+        """The rows of some parts of the newest version's schema."""
+        return self._read_parts(parts, T.StructType.fromJson(json.loads(self._entry()["schema"])))
+
     def _staged(self, df: DataFrame, path: str) -> DataFrame:
         """The frame's rows, written once next to the table so that every pass sees the same."""
         df.write.parquet(path)
@@ -331,29 +416,35 @@ class SnapshotTable:
     def restore(self, version: int) -> int:
         """Make an old version the newest one. No data is copied; an expired version is refused."""
         old, entry = self._entry(version), self._entry()
-        folders = {f"{p['root']}/data/{p['path']}" for p in old["parts"]} - {f"{p['root']}/data/{p['path']}" for p in entry["parts"]}
-        if not all(storage.exists(self.spark, f) for f in folders):
+        present = {self._part_label(p) for p in entry["parts"]}
+        lost = [p for p in old["parts"] if self._part_label(p) not in present]
+        if not all(storage.exists(self.spark, f"{p['root']}/data/{p['path']}") for p in lost):
             raise ValueError(f"version {version} of {self.root} has expired")
         return self._commit(
             f"RESTORE {version}", None, old["parts"], T.StructType.fromJson(json.loads(old["schema"])), previous=entry,
             partition_by=old["partition_by"], constraints=old["constraints"], generated=old["generated"], comment=old["comment"],
+            index_by=old.get("index_by"),
         )
 
-    def compact(self, cluster_by: list[str] | None = None, files: int | None = None) -> int:
+    def compact(self, cluster_by: list[str] | None = None, files: int | None = None, together: bool = False) -> int:
         """Rewrite into fewer files, optionally keeping rows with near keys together.
 
-        A row number breaks ties, so that a key with very many rows still spreads over files.
-        Without keys and file count, adaptive execution sizes the files.
+        Keys count in turn: a range of the first lies in few files. With ``together`` all keys count alike: rows
+        follow a curve over the ranks of their keys, and a range of any key lies in few files. A row number
+        breaks ties, so that a key with very many rows still spreads over files. Without keys and file
+        count, adaptive execution sizes the files.
         """
         entry = self._entry()
         df = self.read()
         if cluster_by:
+            df = df.withColumn("__row", F.monotonically_increasing_id())
             keys = [F.col(k) for k in cluster_by]
-            tie = F.monotonically_increasing_id()
-            df = df.withColumn("__row", tie)
+            if together:
+                df = df.withColumn("__along", curve.curve(self.read(), cluster_by, entry["row_count"]))
+                keys = [F.col("__along")]
             order = [*keys, F.col("__row")]
             df = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-            df = df.sortWithinPartitions(*keys).drop("__row")
+            df = df.sortWithinPartitions(*keys).drop("__row", "__along")
         elif files:
             df = df.repartition(files)
         else:
@@ -364,10 +455,17 @@ class SnapshotTable:
         entry = self._entry()
         return self._again(entry, "REPARTITION", self.read().repartition(files), [])
 
+    def file_ranges(self, columns: list[str]) -> DataFrame:
+        """Rows of each file of the newest version, and the smallest and largest value of some columns."""
+        entry = self._entry()
+        rows = self._read_parts(entry["parts"], T.StructType.fromJson(json.loads(entry["schema"])), True)
+        limits = [f(c).alias(f"{n}_{c}") for c in columns for f, n in ((F.min, "low"), (F.max, "high"))]
+        return rows.groupBy(F.col("__part").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *limits)
+
     def usage(self) -> DataFrame:
         """Files and bytes of the newest version, by the sizes in the file metadata."""
         entry = self._entry()
-        counts = [storage.usage(self.spark, f"{p['root']}/data/{p['path']}") for p in entry["parts"]]
+        counts = [storage.usage(self.spark, f"{root}/data/{path}") for root, paths in self._paths(entry["parts"]).items() for path in paths]
         return self.spark.createDataFrame(
             [(entry["version"], sum(c[0] for c in counts), sum(c[1] for c in counts))], "version long, files long, bytes long"
         )
@@ -386,10 +484,13 @@ class SnapshotTable:
         newest = self.version()
         young = F.col("committed_at") >= F.lit(datetime.now(timezone.utc) - retain)
         parts = log.select("version", (young | (F.col("version") > newest - keep_versions)).alias("kept"), F.explode("parts").alias("p"))
-        parts = parts.filter(F.col("p.root") == self.root)
+        files = parts.filter(F.col("p.root") == self.root).groupBy(F.col("p.path").alias("path")).agg(F.bool_or("kept").alias("kept"), F.max("version").alias("last_version"))
+        folder = F.regexp_replace("path", "/[^/]*$", "")
+        used = files.filter("kept").select(folder.alias("folder")).distinct().withColumn("in_use", F.lit(True))
+        # A folder without a kept file goes as a whole.
         dead = (
-            parts.groupBy(F.col("p.path").alias("part")).agg(F.bool_or("kept").alias("kept"), F.max("version").alias("last_version"))
-            .filter(~F.col("kept")).select("part", "last_version")
+            files.filter("NOT kept").withColumn("folder", folder).join(used, "folder", "left")
+            .groupBy(F.when(F.col("in_use"), F.col("path")).otherwise(F.col("folder")).alias("part")).agg(F.max("last_version").alias("last_version"))
         )
         if dry_run:
             return dead
@@ -409,6 +510,6 @@ class SnapshotTable:
         other._commit(
             "CLONE", self.read() if deep else None, [] if deep else entry["parts"],
             T.StructType.fromJson(json.loads(entry["schema"])), previous=previous, partition_by=entry["partition_by"],
-            constraints=entry["constraints"], generated=entry["generated"], comment=entry["comment"],
+            constraints=entry["constraints"], generated=entry["generated"], comment=entry["comment"], index_by=entry.get("index_by"),
         )
         return other

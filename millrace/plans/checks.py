@@ -83,6 +83,26 @@ def q_multi(spark, sf):
     return counts.select("name", "passed_records", "failed_records").withColumn("kept", F.lit(kept).cast("long"))
 
 
+@query(
+    "q_quarantine",
+    f"""select event_id, concat_ws(',', case when not coalesce(value > 10, false) then 'large' end, case when user_id is null then 'has_user' end,
+        case when not coalesce(event_type <> 'error', false) then 'sound' end) as broken,
+        count(*) over () as n_rejected, count(*) filter (not coalesce(value > 10, false)) over () as n_large from {NULLED}
+    where not (coalesce(value > 10, false) and coalesce(event_type <> 'error', false))""",
+)
+def q_quarantine(spark, sf):
+    """Rows that drop rules keep out, with all rules they break, from the write that keeps the others, and the counts of that write."""
+    rules = [Expectation("large", "value > 10", DROP), Expectation("has_user", "user_id IS NOT NULL"), Expectation("sound", "event_type <> 'error'", DROP)]
+    path = scratch(spark, "judged")
+    rows = nulled_events(spark, sf).select("event_id", "event_type", "user_id", "value")
+    found = quality.write_judged(rows, rules, path)
+    counts = {name: failed for _, name, _, failed in quality.rule_counts(found, rules, "events")}
+    rejected = quality.read_rejected(spark.read, path, rows.schema)
+    n = sum(k for names, k in found.items() if {"large", "sound"} & set(names.split(",")))
+    # Dropping looks at the rules' verdict, so a large row without a user stays.
+    return rejected.select("event_id", F.array_join("broken", ",").alias("broken"), F.lit(n).cast("long").alias("n_rejected"), F.lit(counts["large"]).cast("long").alias("n_large"))
+
+
 @query(
     "q_metrics",
     f"""select dataset, expectation, sum(ok)::bigint as passing_records, sum(bad)::bigint as failing_records from (

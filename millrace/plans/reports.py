@@ -10,10 +10,10 @@ from millrace.operators import cleaning
 from millrace.operators.hotkeys import join_hot_keys
 from millrace.operators.pivot import pivot_listed
 from millrace.operators.quality import DROP, FAIL, Expectation
-from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
 from millrace.plans.streams import incoming, stream_of
 from millrace.session import scratch
+from millrace.streaming import aggregates as A
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
 from millrace.streaming.ingest import infer_schema, ingest
@@ -226,11 +226,11 @@ def c_daily_mean(spark, sf):
     sets = D.Datasets(spark, scratch(spark, "sets"))
 
     @sets.dataset(D.STREAM, expectations=[Expectation("positive", "value > 5", DROP)])
-    def recordings_enriched(s):
+    def rates(s):
         return recordings.join(patients, "patient")  # a static side keeps no state
 
     sets.run()
-    daily = sets.read_stream("recordings_enriched").groupBy("patient", "name", F.to_date("ts").cast("string").alias("day")).agg(rounded_avg("value").alias("avg_rate"))
-    target = SnapshotTable(spark, scratch(spark, "snapshot"))
-    D.running_aggregate(daily, target, scratch(spark, "checkpoint"))
-    return target.read()
+    rows = sets.read_stream("rates").withColumn("day", F.to_date("ts").cast("string"))
+    daily = A.AggregateTable(spark, scratch(spark, "aggregate"), ["patient", "name", "day"], {"avg_rate": A.Aggregate(A.AVG, "value")})
+    daily.apply_stream(rows, scratch(spark, "checkpoint"))
+    return daily.current().withColumn("avg_rate", F.round("avg_rate", 4))

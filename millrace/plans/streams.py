@@ -10,9 +10,11 @@ from millrace.operators.quality import DROP, Expectation
 from millrace.operators.snapshots import SnapshotTable
 from millrace.plans.registry import query
 from millrace.session import scratch
+from millrace.streaming import aggregates as A
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
-from millrace.streaming.ingest import infer_schema, ingest
+from millrace.streaming.ingest import FileFeed, infer_schema, ingest
+from millrace.streaming.joins import enrich_stream, interval_join
 from millrace.tables import table
 
 
@@ -88,9 +90,58 @@ def st_ingest_inferred(spark, sf):
 
 @query("st_ingest_csv", "select c_custkey, c_name, c_acctbal, true as has_source from customer")
 def st_ingest_csv(spark, sf):
-    path = incoming(spark, table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), "csv")
-    schema = infer_schema(spark, path, "csv", infer_types=True, hints={"c_custkey": "bigint"})
-    return run(spark, ingest(spark, path, schema, "csv").select("c_custkey", "c_name", "c_acctbal", F.col("source_file").isNotNull().alias("has_source")))
+    """Files with their columns in different orders, each read by its own header."""
+    customer, source = table(spark, sf, "customer"), scratch(spark, "incoming")
+    for condition, columns in (("c_custkey % 2 = 0", ["c_custkey", "c_name", "c_acctbal"]), ("c_custkey % 2 = 1", ["c_acctbal", "c_custkey", "c_name"])):
+        customer.filter(condition).select(*columns).write.mode("append").option("header", True).csv(source)
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType())])
+    target = SnapshotTable(spark, scratch(spark, "snapshot"))
+    FileFeed(spark, source, scratch(spark, "schemas"), "csv", schema).load_into(target, scratch(spark, "checkpoint"))
+    fits = F.col("source_file").isNotNull() & F.col("_rescued_data").isNull()
+    return target.read().select("c_custkey", "c_name", "c_acctbal", fits.alias("has_source"))
+
+
+@query(
+    "st_ingest_nested",
+    """select o_orderkey, c_name as buyer, case when o_orderpriority <> '1-URGENT' then o_totalprice end as price,
+    case when o_orderpriority = '1-URGENT' then 'unknown' end as bad_price, case when o_orderstatus = 'P' then 'call first' end as note, c_mktsegment as segment
+    from orders join customer on o_custkey = c_custkey""",
+)
+def st_ingest_nested(spark, sf):
+    """Nested records: a field of another type and one that the schema lacks are rescued under their dotted paths."""
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    orders = table(spark, sf, "orders").join(customer, "o_custkey")
+    urgent, note = F.col("o_orderpriority") == "1-URGENT", F.when(F.col("o_orderstatus") == "P", F.lit("call first")).alias("note")
+    buyer = F.struct(F.col("c_name").alias("name"), F.array(F.struct(F.col("c_mktsegment").alias("segment"))).alias("tags")).alias("buyer")
+    good = F.to_json(F.struct("o_orderkey", buyer, F.struct(F.col("o_totalprice").alias("price"), note).alias("deal")))
+    bad = F.to_json(F.struct("o_orderkey", buyer, F.struct(F.lit("unknown").alias("price"), note).alias("deal")))
+    path = scratch(spark, "incoming")
+    orders.select(F.when(urgent, bad).otherwise(good).alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("o_orderkey bigint, buyer struct<name: string, tags: array<struct<kind: string>>>, deal struct<price: double>")
+    rescued = F.from_json("_rescued_data", "map<string,string>")
+    return run(spark, ingest(spark, path, schema).select(
+        "o_orderkey", F.col("buyer.name").alias("buyer"), F.col("deal.price").alias("price"), rescued["deal.price"].alias("bad_price"),
+        rescued["deal.note"].alias("note"), rescued["buyer.tags[0].segment"].alias("segment"),
+    ))
+
+
+@query(
+    "st_ingest_grows",
+    """select o_orderkey, o_orderstatus, case when o_orderstatus = 'P' then o_orderpriority end as o_orderpriority,
+    case when o_orderstatus = 'P' then o_totalprice end as price, 2 as n_schemas from orders""",
+)
+def st_ingest_grows(spark, sf):
+    """Files with new fields, one of them nested, widen the schema and the table; older rows have nulls there."""
+    orders, source = table(spark, sf, "orders"), scratch(spark, "incoming")
+    key = F.struct("o_orderkey").alias("of")
+    feed = FileFeed(spark, source, scratch(spark, "schemas"))
+    target, checkpoint = SnapshotTable(spark, scratch(spark, "snapshot")), scratch(spark, "checkpoint")
+    orders.filter("o_orderstatus <> 'P'").select(key, "o_orderstatus").write.json(source)
+    feed.load_into(target, checkpoint)
+    orders.filter("o_orderstatus = 'P'").select(F.struct("o_orderkey", F.col("o_totalprice").alias("price")).alias("of"), "o_orderstatus", "o_orderpriority").write.mode("append").json(source)
+    feed.load_into(target, checkpoint)
+    rows = target.read().filter("_rescued_data IS NULL")
+    return rows.select("of.o_orderkey", "o_orderstatus", "o_orderpriority", "of.price", F.lit(len(feed.schemas())).alias("n_schemas"))
 
 
 # ---- streaming and materialised tables ----------------------------------------------------------
@@ -185,24 +236,97 @@ def st_graph(spark, sf):
     return sets.read("per_segment")
 
 
+@query("st_continuous", "select event_type, count(*) as n from events group by 1")
+def st_continuous(spark, sf):
+    """A query that keeps running takes in files that come while it runs, until it is stopped."""
+    events = table(spark, sf, "events")
+    source, target, checkpoint = scratch(spark, "incoming"), scratch(spark, "stream"), scratch(spark, "checkpoint")
+    events.filter("event_type <> 'click'").write.parquet(source)
+    running = D.append_stream(spark.readStream.schema(events.schema).parquet(source), target, checkpoint, continuous_every="200 milliseconds")
+    try:
+        running.processAllAvailable()
+        events.filter("event_type = 'click'").write.mode("append").parquet(source)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(events.schema).parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+EVENT_STATS = {"n": A.Aggregate(A.COUNT), "top": A.Aggregate(A.MAX, "value"), "low_user": A.Aggregate(A.MIN, "user_id")}
+
+
 @query("st_agg", "select event_type, count(*) as n, max(value) as top, min(user_id) as low_user from events group by 1")
 def st_agg(spark, sf):
     """A running aggregate: two runs over growing input give the aggregate over all of it."""
     events = table(spark, sf, "events")
     source, checkpoint = scratch(spark, "incoming"), scratch(spark, "checkpoint")
-    target = SnapshotTable(spark, scratch(spark, "snapshot"))
-
-    def refresh():
-        stream = spark.readStream.schema(events.schema).parquet(source)
-        D.running_aggregate(
-            stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"), F.min("user_id").alias("low_user")), target, checkpoint
-        )
-
+    target = A.AggregateTable(spark, scratch(spark, "aggregate"), ["event_type"], EVENT_STATS)
     events.filter("value <= 10").write.parquet(source)
-    refresh()
+    target.apply_stream(spark.readStream.schema(events.schema).parquet(source), checkpoint)
     events.filter("value > 10").write.mode("append").parquet(source)
-    refresh()
-    return target.read()
+    target.apply_stream(spark.readStream.schema(events.schema).parquet(source), checkpoint)
+    return target.current()
+
+
+@query(
+    "st_agg_users",
+    """select user_id, count(*) as n, count(props) as with_props, round(sum(value), 4) as total, round(avg(value), 4) as mean, min(ts) as first_at, max(event_id) as last_id
+    from events group by 1""",
+)
+def st_agg_users(spark, sf):
+    """States of many groups, added week by week and folded where runs of like size have come together."""
+    events = table(spark, sf, "events")
+    stats = {
+        "n": A.Aggregate(A.COUNT), "with_props": A.Aggregate(A.COUNT, "props"), "total": A.Aggregate(A.SUM, "value"),
+        "mean": A.Aggregate(A.AVG, "value"), "first_at": A.Aggregate(A.MIN, "ts"), "last_id": A.Aggregate(A.MAX, "event_id"),
+    }
+    target = A.AggregateTable(spark, scratch(spark, "aggregate"), ["user_id"], stats, fan=2)
+    for week in range(5):
+        target.apply(events.filter(F.floor((F.dayofmonth("ts") - 1) / 7) == week), f"weeks:{week}")
+    return target.current().withColumns({"total": F.round("total", 4), "mean": F.round("mean", 4)})
+
+
+ORDER_STATS = {"n": A.Aggregate(A.COUNT), "worth": A.Aggregate(A.SUM, "o_totalprice"), "least": A.Aggregate(A.MIN, "o_totalprice"), "most": A.Aggregate(A.MAX, "o_totalprice")}
+
+
+@query(
+    "st_incremental",
+    """with now as (select o_custkey, case when o_orderpriority = '2-HIGH' then o_totalprice * 2 else o_totalprice end as o_totalprice from orders
+    where o_orderstatus <> 'F' or o_totalprice < 200000)
+    select o_custkey, count(*) as n, round(sum(o_totalprice), 2) as worth, min(o_totalprice) as least, max(o_totalprice) as most from now group by 1""",
+)
+def st_incremental(spark, sf):
+    """An aggregate that follows its source through an append, an update and a delete by their differences."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    source = SnapshotTable(spark, scratch(spark, "snapshot"))
+    source.create(orders.filter("o_orderstatus <> 'P'"))
+    kept_up = A.MaintainedAggregate(source, scratch(spark, "maintained"), ["o_custkey"], ORDER_STATS)
+    changes = [
+        lambda: source.append(orders.filter("o_orderstatus = 'P'")),
+        lambda: source.update("o_orderpriority = '2-HIGH'", {"o_totalprice": "o_totalprice * 2"}),
+        lambda: source.delete("o_orderstatus = 'F' AND o_totalprice >= IF(o_orderpriority = '2-HIGH', 400000, 200000)"),
+    ]
+    kept_up.refresh()
+    for change in changes:
+        change()
+        kept_up.refresh()
+    return kept_up.read().withColumn("worth", F.round("worth", 2))
+
+
+@query(
+    "a_sketch_days",
+    """select cast(date_trunc('month', o_orderdate) as date)::varchar as month, count(distinct o_custkey) as buyers, true as close from orders group by 1""",
+)
+def a_sketch_days(spark, sf):
+    """Distinct buyers of each month from sketches kept by day, within three hundredths of the exact count."""
+    orders = table(spark, sf, "orders").select(F.to_date("o_orderdate").cast("string").alias("day"), "o_custkey")
+    days = A.AggregateTable(spark, scratch(spark, "aggregate"), ["day"], {"buyers": A.Aggregate(A.DISTINCT, "o_custkey")})
+    for year in ("< '1998'", ">= '1998'"):
+        days.apply(orders.filter(f"day {year}"))
+    month = F.concat(F.substring("day", 1, 7), F.lit("-01")).alias("month")
+    estimates = days.by(month).withColumnRenamed("buyers", "estimate")
+    exact = orders.groupBy(month).agg(F.count_distinct("o_custkey").alias("buyers"))
+    return exact.join(estimates, "month").select("month", "buyers", (F.abs(F.col("estimate") - F.col("buyers")) <= F.col("buyers") * 0.03).alias("close"))
 
 
 # ---- stream joins -------------------------------------------------------------------------------
@@ -226,7 +350,56 @@ def st_stream_join(spark, sf):
     """Two streams; customers, the smaller side, are held four times so that a busy user's events spread over four tasks."""
     events = stream_of(spark, table(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), "value"))
     customers = stream_of(spark, table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name"))
-    return run(spark, D.enrich_stream(events, customers, ["id"], salts=4).select("event_id", "c_name", "value"))
+    return run(spark, enrich_stream(events, customers, ["id"], salts=4).select("event_id", "c_name", "value"))
+
+
+MARK = -1  # not null: rows without a key are left out before the watermark sees them
+
+
+def in_slices(spark, df, time, slices, columns):
+    """A stream whose files come in the order of time, one for each micro-batch, and end with two rows of far times.
+
+    The first lifts the watermark over all other rows, the second is the batch that sees it.
+    """
+    path = scratch(spark, "incoming")
+    limits = df.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
+    step = (limits.high - limits.low) / slices
+    for i in range(slices):
+        upper = limits.low + step * (i + 1)
+        part = df.filter(F.col(time) >= limits.low + step * i) if i else df
+        part = part.filter(F.col(time) < upper) if i < slices - 1 else part
+        part.coalesce(1).write.mode("append").parquet(path)
+    for steps in (10, 11):
+        last = [limits.high + step * steps if c == time else MARK for c in columns]
+        spark.createDataFrame([last], df.select(*columns).schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def clicks_and_buys(spark, sf):
+    events = table(spark, sf, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("at"), "event_type")
+    clicks = events.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("click"), F.col("at").alias("clicked"))
+    buys = events.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("buy"), F.col("at").alias("bought"))
+    return in_slices(spark, clicks, "clicked", 4, clicks.columns), in_slices(spark, buys, "bought", 4, buys.columns)
+
+
+NEAR = "c.user_id = b.user_id and b.ts >= c.ts - interval 1 hour and b.ts <= c.ts + interval 1 day"
+PAIRED = f"select c.user_id, c.event_id as click, b.event_id as buy from (select * from events where event_type = 'click') c {{}} join (select * from events where event_type = 'purchase') b on {NEAR}"
+
+
+@query("st_stream_interval_join", PAIRED.format(""))
+def st_stream_interval_join(spark, sf):
+    """Two streams joined by user where a purchase lies near a click in time; what has passed leaves the state."""
+    clicks, buys = clicks_and_buys(spark, sf)
+    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour")
+    return run(spark, near.select("user_id", "click", "buy")).filter(F.col("user_id") != MARK)
+
+
+@query("st_stream_interval_left", PAIRED.format("left"))
+def st_stream_interval_left(spark, sf):
+    """The same with clicks that no purchase followed, put out when none can come any more."""
+    clicks, buys = clicks_and_buys(spark, sf)
+    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour", how="left")
+    return run(spark, near.select("user_id", "click", "buy")).filter(F.col("user_id") != MARK)
 
 
 @query(

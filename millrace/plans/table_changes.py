@@ -281,6 +281,34 @@ def tb_compact(spark, sf):
     return target.read().withColumn("fewer", F.lit(target.usage().first()["files"] < before))
 
 
+@query("tb_cluster_curve", "select o_orderkey, o_custkey, o_totalprice, true as fewer from orders")
+def tb_cluster_curve(spark, sf):
+    """Clustered by two keys alike: no row changes, and a range of the second key meets fewer files than sorted in turn."""
+    target = snapshot(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+    middle = (F.col("low_o_totalprice") <= 260000) & (F.col("high_o_totalprice") >= 240000)
+    target.compact(["o_custkey", "o_totalprice"], files=16)
+    in_turn = target.file_ranges(["o_totalprice"]).filter(middle).count()
+    target.compact(["o_custkey", "o_totalprice"], files=16, together=True)
+    alike = target.file_ranges(["o_totalprice"]).filter(middle).count()
+    return target.read().withColumn("fewer", F.lit(alike < in_turn))
+
+
+@query(
+    "tb_merge_indexed",
+    """with s as (select l_orderkey as o_orderkey, max(l_linestatus) as o_orderstatus, max(l_quantity) as most from lineitem where l_quantity >= 49 group by 1)
+    select o.o_orderkey, coalesce(s.o_orderstatus, o.o_orderstatus) as o_orderstatus, o.o_totalprice, coalesce(s.most, 0) as most
+    from orders o left join s on s.o_orderkey = o.o_orderkey""",
+)
+def tb_merge_indexed(spark, sf):
+    """A merge into a table with an index over its key: files that hold no key of the source are neither read nor written."""
+    target = snapshot(spark, table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(0.0).alias("most")), index_by=["o_orderkey"])
+    target.compact(["o_orderkey"], files=8)
+    large = table(spark, sf, "lineitem").filter("l_quantity >= 49").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    changes = large.agg(F.max("l_linestatus").alias("o_orderstatus"), F.max("l_quantity").alias("most"))
+    target.merge(changes, "o_orderkey", [when_matched_update()])
+    return target.read()
+
+
 @query("tb_repartition", "select o_orderkey, o_orderstatus, o_totalprice, true as as_asked from orders where o_totalprice < 250000")
 def tb_repartition(spark, sf):
     target = snapshot(spark, open_orders(spark, sf))

@@ -35,6 +35,18 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+        line = spark._jvm.java.io.BufferedReader(reader).readLine()
+        return line.removeprefix("\ufeff") if line is not None else None
+    finally:
+        stream.close()
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that must not exist yet: the store lets one writer create it, and refuses others."""
     fs, hadoop_path = _open(spark, path)

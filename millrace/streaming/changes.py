@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.snapshots import SnapshotTable
+from millrace.streaming.runs import RunTable
 
 SEQUENCE, DELETED = "__sequence", "__deleted"
 
@@ -24,24 +26,25 @@ def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys).agg(best).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
-class ChangeTable:
+class ChangeTable(RunTable):
     """Latest row per key of a change feed.
 
-    Applying a batch reduces it to one row per key and appends that; the old rows are not read.
-    Reading reduces what was appended. :meth:`compact` folds it to one row per key, after which
-    reading needs no aggregation. Deletions stay as tombstones with their sequence, so that an
-    older change that arrives late cannot bring a key back. Applying the same changes again
-    changes nothing. Sequences of one key should not tie; make them a struct with a second
-    column if they may.
+    Applying a batch reduces it to one row per key and adds that as a run; the old rows are not read.
+    ``compact_every`` runs of like size in a bucket are folded to one row per key, so reading reduces
+    only what is not folded yet. Deletions stay as tombstones with their sequence, so that an older
+    change that arrives late cannot bring a key back. Applying the same changes again changes
+    nothing. Sequences of one key should not tie; make them a struct with a second column if they may.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, keys: list[str], sequence_by: Column | str,
-        delete_when: Column | str | None = None, except_columns: list[str] | None = None, compact_every: int = 20,
+        self, spark: SparkSession, root: str, keys: list[str], sequence_by: Column | str, delete_when: Column | str | None = None,
+        except_columns: list[str] | None = None, compact_every: int = 4, buckets: int = 8, retain: timedelta | None = timedelta(days=7),
     ):
-        self.spark, self.table, self.keys = spark, SnapshotTable(spark, root), list(keys)
-        self.sequence_by, self.delete_when = sequence_by, delete_when
-        self.except_columns, self.compact_every = list(except_columns or []), compact_every
+        super().__init__(spark, root, keys, buckets, compact_every, retain)
+        self.sequence_by, self.delete_when, self.except_columns = sequence_by, delete_when, list(except_columns or [])
+
+    def combine(self, rows: DataFrame) -> DataFrame:
+        return latest_changes(rows, self.keys)
 
     def _reduced(self, batch: DataFrame) -> DataFrame:
         deleted = F.lit(False) if self.delete_when is None else F.coalesce(_expr(self.delete_when), F.lit(False))
@@ -49,39 +52,21 @@ class ChangeTable:
             *[c for c in batch.columns if c not in self.except_columns],
             _expr(self.sequence_by).alias(SEQUENCE), deleted.alias(DELETED),
         ).filter(F.col(SEQUENCE).isNotNull())
-        return latest_changes(marked, self.keys)
+        return self.combine(marked)
 
     def apply(self, batch: DataFrame, tag: str | None = None) -> None:
-        rows = self._reduced(batch)
-        if not self.table.exists():
-            self.table.create(rows, comment="folded", tag=tag)
-            return
-        if tag is not None and self.table.has_tag(tag):
-            return
-        version = self.table.append(rows, tag=tag)
-        if self.compact_every and version % self.compact_every == 0:
-            self.compact()
+        self.add(self._reduced(batch), tag)
 
     def apply_stream(self, stream: DataFrame, checkpoint: str) -> None:
         """Apply all changes that are there now."""
-        query = (
-            stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-            .foreachBatch(lambda batch, batch_id: self.apply(batch, f"{checkpoint}:{batch_id}")).start()
-        )
-        query.awaitTermination()
-
-    def _state(self) -> DataFrame:
-        entry = self.table._entry()
-        rows = self.table.read()
-        folded = entry["operation"] in ("CREATE OR REPLACE", "OVERWRITE")
-        return rows if folded else latest_changes(rows, self.keys)
+        self.add_stream(stream, checkpoint, self.apply)
 
     def current(self) -> DataFrame:
         """Live rows, without the bookkeeping columns."""
-        return self._state().filter(~F.col(DELETED)).drop(SEQUENCE, DELETED)
+        return self.rows().filter(~F.col(DELETED)).drop(SEQUENCE, DELETED)
 
     def tombstones(self) -> DataFrame:
-        return self._state().filter(F.col(DELETED)).select(*self.keys, SEQUENCE)
+        return self.rows().filter(F.col(DELETED)).select(*self.keys, SEQUENCE)
 
     def compact(self) -> None:
-        self.table.overwrite(self._state())
+        self.fold(everything=True)

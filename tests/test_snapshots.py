@@ -21,7 +21,7 @@ def students(spark, folder):
     t.create(spark.createDataFrame([(1, "Yve", 1.0)], STUDENT))
     t.append(spark.createDataFrame([(2, "Omar", 2.5)], STUDENT))
     t.append(spark.createDataFrame([(3, "Elia", 3.3)], STUDENT))
-    t.append(spark.createDataFrame([(4, "Ted", 4.7), (5, "Tiffany", 5.5), (6, "Vini", 6.3)], STUDENT))
+    t.append(spark.createDataFrame([(4, "Ted", 4.7), (5, "Tiffany", 5.5), (6, "Vini", 6.3)], STUDENT).coalesce(1))
     t.update("name LIKE 'T%'", {"value": "value + 1"})
     t.delete("value > 6")
     return t
@@ -224,3 +224,62 @@ def test_an_expired_version_is_not_restored(spark, folder):
 def test_missing_version(spark, students):
     with pytest.raises(ValueError, match="no version"):
         students.read(version=99)
+
+
+# ---- files and key index ------------------------------------------------------------------------
+
+
+def eight_files(spark, folder, **options):
+    t = SnapshotTable(spark, folder)
+    rows = spark.range(8000).select(F.col("id").alias("k"), F.concat(F.lit("n"), (F.col("id") * 7919 % 8000).cast("string")).alias("name"), F.lit(0).alias("v"))
+    t.create(rows.repartition(8), **options)
+    return t
+
+
+def paths(t):
+    return {p["path"] for p in t.parts()}
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "name"], ["name"]])
+def test_a_merge_of_one_row_reads_and_writes_one_file(spark, folder, keys):
+    t = eight_files(spark, folder, index_by=keys)
+    before = paths(t)
+    source = spark.createDataFrame([(4711, "n" + str(4711 * 7919 % 8000), 5)], "k long, name string, v int")
+    near = t._may_hold(t._entry(), source, keys)
+    assert len(near) == 1  # nothing of the other seven files is read
+    t.merge(source, keys, [when_matched_update()])
+    assert len(before) == 8 and len(before - paths(t)) == 1 and len(paths(t) - before) == 1
+    assert t.read().filter("v = 5").collect() == source.collect() and t.read().count() == 8000
+
+
+def test_an_index_loses_no_match(spark, folder):
+    plain, indexed = eight_files(spark, f"{folder}/a"), eight_files(spark, f"{folder}/b", index_by=["k"])
+    source = spark.range(7000, 9000, 3).select(F.col("id").alias("k"), F.lit("new").alias("name"), F.lit(1).alias("v"))
+    for t in (plain, indexed):
+        t.merge(source, "k", [when_matched_update(), when_not_matched_insert()])
+        t.append(spark.createDataFrame([(None, "x", 3)], "k long, name string, v int"))
+        t.delete("k % 5 = 0")
+        t.merge(spark.createDataFrame([(None, "null", 9), (1, "one", 9)], "k long, name string, v int"), "k", [when_matched_update(), when_not_matched_insert()], null_safe=True)
+    assert sorted(map(str, plain.read().collect())) == sorted(map(str, indexed.read().collect()))
+    assert indexed.read().filter("name = 'null'").count() == 1
+    indexed.restore(0)
+    assert indexed._may_hold(indexed._entry(), spark.createDataFrame([(99_999,)], "k long"), ["k"]) == []
+
+
+def test_update_and_delete_rewrite_touched_files_only(spark, folder):
+    t = eight_files(spark, folder)
+    before = paths(t)
+    t.update("k = 17", {"v": "1"})
+    assert len(before & paths(t)) == 7
+    t.delete("k = 18")
+    assert len(before & paths(t)) == 6 and t.read().count() == 7999
+
+
+def test_tags_of_writers_stay_in_the_newest_entry(spark, folder):
+    t = SnapshotTable(spark, folder)
+    t.create(spark.range(1), tag="a:0")
+    t.append(spark.range(1), tag="a:1")
+    t.append(spark.range(1), tag="once")
+    t.append(spark.range(1), tag="a:0")
+    assert t.read().count() == 3 and t.has_tag("a:1") and t.has_tag("once") and not t.has_tag("a:2") and not t.has_tag("b:0")
+    assert t._entry()["tags"] == {"a": 1, "once": 0}

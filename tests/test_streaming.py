@@ -12,6 +12,7 @@ from millrace.session import scratch
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
 from millrace.streaming.ingest import infer_schema, ingest
+from millrace.streaming.joins import enrich_stream, interval_join
 
 CHANGE = "k int, seq int, op string, v string"
 FEED = [(1, 1, "U", "a"), (1, 3, "D", None), (1, 2, "U", "late"), (2, 1, "U", "b"), (2, 5, "U", "c"), (3, 4, "D", None), (3, 5, "U", "back"), (4, 1, "U", "x")]
@@ -149,13 +150,13 @@ def test_streams_count_violations_too(spark, folder):
     assert totals == {("small", 3, 4), ("even", 4, 3)}
 
 
-def test_stream_join_with_salt_and_watermark(spark, folder):
+def test_stream_join_with_salt(spark, folder):
     left = spark.range(50).select((F.col("id") % 2).alias("k"), "id", F.current_timestamp().alias("ts"))
     right = spark.createDataFrame([(0, "even"), (1, "odd")], "k long, name string").withColumn("ts2", F.current_timestamp())
     left.write.parquet(f"{folder}/l")
     right.write.parquet(f"{folder}/r")
     streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{n}") for n, df in (("l", left), ("r", right))]
-    joined = D.enrich_stream(*streams, ["k"], salts=3, stream_watermark=("ts", "1 hour"), other_watermark=("ts2", "1 hour")).select("id", "name")
+    joined = enrich_stream(*streams, ["k"], salts=3).select("id", "name")
     D.append_stream(joined, f"{folder}/out", f"{folder}/cp")
     assert sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").collect()) == [(i, "odd" if i % 2 else "even") for i in range(50)]
 
