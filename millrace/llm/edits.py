@@ -32,7 +32,9 @@ from millrace.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 FAN = 32  # pre-tokens of a leaf
-LOOK = 3  # characters behind a pre-token that its end may depend on, and one more
+SPECIAL = "<|endoftext|>"  # one token, as in packing; texts are split there before the pattern applies
+LOOK = 3 + len(SPECIAL)  # characters behind a pre-token that its end may depend on, and one more
+LONG = 2000  # bytes of a pre-token that goes to the encoder without its own splitting
 REMEMBERED = 200_000  # counts of pre-tokens that a worker remembers
 Edits = list[tuple[int, int, str]]
 
@@ -44,9 +46,11 @@ class Known(dict):
         self.encode = encode
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        n = self[piece] = len(self.encode(piece))
+        n = len(self.encode(piece))
+        if len(piece) < LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = n
         return n
 
 
@@ -59,18 +63,37 @@ class Counter:
         with open(ranks, "rb") as file:
             found = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={})
-        self.pattern, self.known = regex.compile(public_tokenizers.PATTERN), Known(self.encoding.encode_ordinary)
+        self.pattern, self.known = regex.compile(public_tokenizers.PATTERN), Known(self.ids)
+
+    def ids(self, piece: str) -> list[int]:
+        """Tokens of one pre-token, past the encoder's own splitting, which recurses over long white space."""
+        if piece == SPECIAL:
+            return [-1]
+        raw = piece.encode("utf-8", "replace")
+        return self.encoding._core_bpe.encode_single_piece(raw)
+
+    def pieces(self, text: str, at: int = 0) -> Iterator[str]:
+        """Pre-tokens from ``at`` on; they depend on what is behind ``at`` alone."""
+        while at < len(text):
+            stop = text.find(SPECIAL, at)
+            # The pattern covers every character, and takes the special token's place for the end of the text.
+            yield from (m.group() for m in self.pattern.finditer(text, at, len(text) if stop < 0 else stop))
+            if stop < 0:
+                break
+            yield SPECIAL
+            at = stop + len(SPECIAL)
 
     def leaves(self, text: str) -> list[tuple[int, int]]:
-        """(characters, tokens) of each leaf of a text; the pattern covers every character."""
-        out = []
+        """(characters, tokens) of each leaf of a text.
+
+        Tokens are counted by pre-token: a leaf's text alone may be cut otherwise, as white space at
+        its end belongs to what follows.
+        """
+        out, known = [], self.known
         for part in chunks(text):
-            sizes, at = list(map(len, self.pattern.findall(part))), 0
-            for i in range(0, len(sizes), FAN):
-                end = at + sum(sizes[i : i + FAN])
-                # A leaf ends where a pre-token does, so its text alone is cut into the same pre-tokens.
-                out.append((end - at, len(self.encoding.encode_ordinary(part[at:end]))))
-                at = end
+            pieces = list(self.pieces(part)) if SPECIAL in part else self.pattern.findall(part)
+            sizes, tokens = list(map(len, pieces)), list(map(known.__getitem__, pieces))
+            out += [(sum(sizes[i : i + FAN]), sum(tokens[i : i + FAN])) for i in range(0, len(pieces), FAN)]
         return out
 
 
@@ -152,8 +175,7 @@ class Document:
         high, end = tree.find(start + length)
         end += tree.chars[tree.size + high]
         new, chars, tokens, pieces, begin = [], 0, 0, 0, at
-        for found in self.counter.pattern.finditer(self.text, at):
-            piece = found.group()
+        for piece in self.counter.pieces(self.text, at):
             at, chars, tokens, pieces = at + len(piece), chars + len(piece), tokens + self.counter.known[piece], pieces + 1
             while end + shift < at and high + 1 < tree.used:
                 high += 1
