@@ -27,6 +27,46 @@ def test_edited_counts_equal_full_counts(counter, text, changes):
         assert document.tree.chars[1] == len(document.text)
 
 
+def full_count(counter, text):
+    """Tokens of a whole text, encoded at once; the special token is one."""
+    parts = text.split(edits.SPECIAL)
+    return sum(len(counter.encoding.encode_ordinary(p)) for p in parts) + len(parts) - 1
+
+
+WORDY = st.lists(st.sampled_from(["def", "x", " y", "\t", "\n", "\n\t", "  ", " ", "\u00a0", "\u0085", "\u2028", "12", ",", "é", "日", "'s", "<|endoftext|>", "<|end", "oftext|>"]), min_size=400, max_size=900).map("".join)
+
+
+@given(WORDY, st.lists(st.tuples(st.integers(0, 3000), st.integers(0, 40), st.text(st.sampled_from(list("a \t\n\u00a0\u2028<|endoftext|>")), max_size=14)), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_counts_over_many_leaves(counter, text, changes):
+    document = edits.Document(text, counter.leaves(text), counter)
+    assert document.tree.tokens[1] == full_count(counter, text)
+    for start, length, insert in changes:
+        document.edit(start, length, insert)
+        assert document.tree.tokens[1] == full_count(counter, document.text)
+
+
+@pytest.mark.parametrize("text", ["\t".join(["def f():\n", "if a:\n\t", "return x, y\n"] * 90), ("def f():\n\tif a:\n\t\treturn x, y\n\treturn z\n\n" * 40)])
+def test_indented_code_counts_as_encoded(counter, text):
+    assert sum(t for _, t in counter.leaves(text)) == full_count(counter, text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "x", "\u00a0", "é!"])
+def test_a_million_alike(counter, unit):
+    text = "a" + unit * 1_000_000 + "b"
+    document = edits.Document(text, counter.leaves(text), counter)
+    n = document.tree.tokens[1]
+    document.edit(len(text) - 1, 1, "")
+    document.edit(len(text) - 1, 0, "b")
+    assert document.tree.tokens[1] == n > 0
+
+
+def test_counts_agree_with_packing(counter):
+    encode = packing.Encoder(packing.RANKS, packing.VOCABULARY)
+    for text in ("one <|endoftext|> two", "  <|endoftext|><|endoftext|>\n x", "<|endoftext|", " " * 5000 + "x", "\t\n" * 3000):
+        assert sum(t for _, t in counter.leaves(text)) == len(encode(text.encode()))
+
+
 def test_an_edit_encodes_little(counter):
     text = " ".join(f"word{i % 97}" for i in range(20_000))
     document = edits.Document(text, counter.leaves(text), counter)
@@ -250,3 +290,58 @@ def test_windows_choose_the_text(body, text):
 def test_pages_of_a_table_without_article_tags(spark, small):
     for r in spark.read.parquet(f"{small}/pages.parquet").collect():
         assert pages.main_text(r.html.replace("article>", "div>")) == pages.main_text(r.html)
+
+
+@pytest.mark.parametrize("name", [
+    "ad-hoc committee", "share-price", "social-history", "search-strategy", "notice-of-meeting", "wp-block alert-level", "widget-theory", "related-work", "menu-costs", "banner-blindness",
+])
+def test_words_of_a_class_remove_no_text(name):
+    body = f"<article>{DENSE}<section class='{name}'><p>{LONG}</p></section><div id='{name}'><p>{LONG}</p></div></article>"
+    assert pages.main_text(PAGE % body).split() == (LONG * 5).split()
+    assert pages.main_text(PAGE % body.replace("article>", "div>")).split() == (LONG * 5).split()
+
+
+@pytest.mark.parametrize("part", [
+    "<div class=ad><p>Buy this now!</p></div>", "<aside><p>" + "Read more of this. " * 20 + "</p></aside>", "<div class='comments'><p>" + "I disagree with all of it. " * 20 + "</p></div>",
+    "<div class='cookie-note'>We use them</div>", "<div hidden>" + "Not to be seen. " * 20 + "</div>",
+])
+def test_boilerplate_inside_an_article_goes(part):
+    assert pages.main_text(PAGE % f"<article>{DENSE}{part}<p>{LONG}</p></article>").split() == (LONG * 4).split()
+
+
+def test_text_inside_one_marked_element_stays():
+    assert pages.main_text(PAGE % f"<article><h1>Head</h1><div class=notice>{DENSE}</div></article>").split() == ("Head " + LONG * 3).split()
+
+
+def plain_runs(weight, there, threshold):
+    """Surges and dives one window after the other."""
+    kept, run = [], []
+    windows = [sum(weight[i : i + pages.WINDOW]) for i in range(len(weight))]
+    for i in range(len(weight) + 1):
+        if not any(there[i : i + pages.WINDOW]):
+            if any(windows[j] >= threshold for k in run for j in range(max(0, run[0] - pages.WINDOW + 1), run[-1] + 1) if j >= 0):
+                kept += run
+            run = []
+        elif there[i]:
+            run.append(i)
+    return kept
+
+
+@given(st.lists(st.tuples(st.integers(0, 60), st.booleans()), max_size=30), st.integers(1, 120))
+@settings(max_examples=200, deadline=None)
+def test_line_blocks_against_a_plain_version(lines, threshold):
+    weight = np.array([w if t else 0 for w, t in lines], np.int64)
+    there = np.array([t and w > 0 for w, t in lines], bool)
+    assert pages.surged(weight, there, threshold) == plain_runs(weight.tolist(), there.tolist(), threshold)
+
+
+def plain_text(page):
+    """The article by line blocks alone: no class or id is looked at."""
+    import re
+
+    return pages.main_text(re.sub(r"\s(class|id)=(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page))
+
+
+def test_marks_decide_few_given_pages(spark, small):
+    rows = [r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
+    assert sum(plain_text(h) == pages.main_text(h) for h in rows) >= 0.95 * len(rows)
