@@ -7,7 +7,7 @@ starts the next one. Every load adds a row to the audit log.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +56,16 @@ def schema_number() -> Column:
 
 
 class LoadArea:
-    """A folder of loaded tables with one audit log."""
+    """A folder of loaded tables with one audit log.
 
-    def __init__(self, spark: SparkSession, root: str, user: str = "?"):
-        self.spark, self.root, self.user = spark, root.rstrip("/"), user
+    Every ``EXPIRE_EVERY`` versions of a table, files that only versions older than ``retain`` name are removed;
+    None keeps all.
+    """
+
+    EXPIRE_EVERY = 10
+
+    def __init__(self, spark: SparkSession, root: str, user: str = "?", retain: timedelta | None = timedelta(days=7)):
+        self.spark, self.root, self.user, self.retain = spark, root.rstrip("/"), user, retain
         self.audit = SnapshotTable(spark, f"{self.root}/audit_log")
 
     def table(self, name: str, schema_version: str | None = None) -> SnapshotTable:
@@ -146,6 +152,9 @@ class LoadArea:
                 clauses = [M.when_matched_update(set=values), M.when_not_matched_insert(values=values)]
                 table.merge(df, primary_keys, clauses, null_safe=True)
         self.log(name, mode, load_type, load_date, version)
+        written = self.table(name, version)
+        if self.retain is not None and written.version() % self.EXPIRE_EVERY == self.EXPIRE_EVERY - 1:
+            written.expire(keep_versions=2, retain=self.retain, dry_run=False, force=True)
         return version
 
     def _merge_into_next_version(self, df: DataFrame, name: str, version: str, primary_keys: str | list[str]) -> str:
@@ -156,10 +165,12 @@ class LoadArea:
         bumped = next_schema_version(version)
         target = self.table(name, bumped)
         extract = target._staged(df, f"{target.root}/staging/extract")
-        M.check_single_match(old, extract, keys, null_safe=True)
-        clauses = [M.when_matched_update(), M.when_not_matched_insert()]
-        target.create(M.merge_rows(wide, extract, keys, clauses, null_safe=True))
-        storage.delete(self.spark, f"{target.root}/staging")
+        try:
+            M.check_single_match(old, extract, keys, null_safe=True)
+            clauses = [M.when_matched_update(), M.when_not_matched_insert()]
+            target.create(M.merge_rows(wide, extract, keys, clauses, null_safe=True))
+        finally:
+            storage.delete(self.spark, f"{target.root}/staging")
         return bumped
 
     # ---- reading state -------------------------------------------------------------------
@@ -170,17 +181,30 @@ class LoadArea:
         return high_watermark(table.read(), column, pattern).collect()[0][0] if table.exists() else None
 
     def rollback(self, name: str, load_type: str, load_date: datetime, mode: str = "overwrite") -> int | None:
-        """Go back to the version before the newest one; None if there is none."""
-        table = self.table(name)
+        """Go back to the version before the newest one; None if there is none.
+
+        Where the newest load began a schema version, that is the schema version before: the audit rows of
+        the new one go, so that the next load starts it again.
+        """
+        schema = self.last_schema_version(name)
+        table = self.table(name, schema)
         previous = table.previous_version()
-        if previous is None:
+        if previous is not None:
+            restored = table.restore(previous)
+            self.log(name, mode, load_type, load_date, schema)
+            return restored
+        loads = self.audit_rows().filter(F.col("table_name") == name).withColumn("__number", schema_number())
+        current = int(schema.rpartition("_")[2])
+        earlier = loads.filter(F.col("__number") < current).agg(F.max_by("schema_version", "__number").alias("v")).first()["v"]
+        if earlier is None:
             return None
-        restored = table.restore(previous)
-        self.log(name, mode, load_type, load_date, self.last_schema_version(name))
-        return restored
+        self.audit.delete((F.col("table_name") == name) & (F.col("schema_version") == schema))
+        self.log(name, mode, load_type, load_date, earlier)
+        return self.table(name, earlier).version()
 
     def quality_gate(self, sources: dict[str, str], target: str, load_date: datetime) -> int:
-        """After a load: -1 no source was ever loaded, 1 the target was empty and is rolled back, else 0.
+        """After a load: -1 no source was ever loaded, 1 the target was empty and is rolled back, 2 it was empty and there is
+        nothing to go back to, else 0.
 
         The target is looked at only if a source's newest load has the type given for it.
         """
@@ -191,8 +215,7 @@ class LoadArea:
             return 0
         if not self.table(target).read().isEmpty():
             return 0
-        self.rollback(target, next(iter(sources.values())), load_date)
-        return 1
+        return 2 if self.rollback(target, next(iter(sources.values())), load_date) is None else 1
 
 
 def high_watermark(df: DataFrame, column: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
@@ -201,6 +224,7 @@ def high_watermark(df: DataFrame, column: str, pattern: str = "yyyy-MM-dd HH:mm:
 
 
 # ---- exports ------------------------------------------------------------------------------------
+# The columns of both export logs.
 
 
 def export_errors(failed: DataFrame, table_name: str, path: str, run_id: str, row_id: str, message: str, export_type: str, user: str = "?") -> DataFrame:

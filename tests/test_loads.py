@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -86,3 +86,30 @@ def test_schema_versions_are_compared_by_number(spark, folder):
         area.table("t", version).create(spark.range(1).toDF("id"))
         area.log("t", "overwrite", "full", datetime(2024, 1, 1 + n, tzinfo=timezone.utc), version)
     assert area.last_schema_version("t") == "v_1000" and next_schema_version("v_999") == "v_1000"
+
+
+def test_gate_after_an_empty_load_that_began_a_schema_version(spark, folder):
+    area = LoadArea(spark, folder)
+    area.write(spark.createDataFrame([(1, 2)], "a int, b int"), "t", "overwrite", "full", when(1))
+    area.write(spark.createDataFrame([], "a int, c int"), "t", "overwrite", "full", when(2))
+    assert area.last_schema_version("t") == "v_002"
+    assert area.quality_gate({"t": "full"}, "t", when(3)) == 1
+    assert area.last_schema_version("t") == "v_001" and [tuple(r) for r in area.table("t").read().collect()] == [(1, 2)]
+    assert area.write(spark.createDataFrame([(3, 4)], "a int, c int"), "t", "overwrite", "full", when(4)) == "v_002"
+    assert [tuple(r) for r in area.table("t").read().collect()] == [(3, 4)]
+
+
+def test_gate_without_anything_to_go_back_to(spark, folder):
+    area = LoadArea(spark, folder)
+    area.write(spark.createDataFrame([], "a int"), "t", "overwrite", "full", when(1))
+    assert area.quality_gate({"t": "full"}, "t", when(2)) == 2
+
+
+def test_loads_expire_their_old_versions(spark, folder, monkeypatch):
+    monkeypatch.setattr(LoadArea, "EXPIRE_EVERY", 3)
+    area = LoadArea(spark, folder, retain=timedelta(0))
+    for n in range(3):
+        area.write(spark.createDataFrame([(n,)], "a int").coalesce(1), "t", "overwrite", "full", when(n + 1))
+    with pytest.raises(ValueError, match="expired"):
+        area.table("t").restore(0)
+    assert area.table("t").read(version=1).collect()[0]["a"] == 1 and area.table("t").read().collect()[0]["a"] == 2

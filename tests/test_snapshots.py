@@ -283,3 +283,32 @@ def test_tags_of_writers_stay_in_the_newest_entry(spark, folder):
     t.append(spark.range(1), tag="a:0")
     assert t.read().count() == 3 and t.has_tag("a:1") and t.has_tag("once") and not t.has_tag("a:2") and not t.has_tag("b:0")
     assert t._entry()["tags"] == {"a": 1, "once": 0}
+
+
+def test_clustering_along_a_curve(spark, folder):
+    t = SnapshotTable(spark, folder)
+    rows = spark.range(6000).select((F.col("id") * 7919 % 6000).alias("a"), (F.col("id") * 104729 % 6007).cast("double").alias("b"), F.concat(F.lit("s"), F.col("id") % 5).alias("c"))
+    rows = rows.unionAll(spark.createDataFrame([(None, None, None), (1, float("nan"), "s")], rows.schema))
+    t.create(rows)
+    before = sorted(map(str, t.read().collect()))
+    met = {}
+    for together in (False, True):
+        t.compact(["a", "b"], files=16, together=together)
+        ranges = t.file_ranges(["a", "b"])
+        met[together] = [ranges.filter(f"low_{k} <= 700 AND high_{k} >= 500").count() for k in "ab"]
+        assert sorted(map(str, t.read().collect())) == before and len(t.parts()) == 16
+    assert met[False][1] == 16 and met[True][1] <= 8 and met[True][0] <= 8
+    t.compact(["a", "b", "c"], files=4, together=True)
+    assert sorted(map(str, t.read().collect())) == before
+
+
+def test_appends_widen_the_schema(spark, folder):
+    t = SnapshotTable(spark, folder)
+    t.create(spark.createDataFrame([(1, (2,))], "a int, s struct<x: int>"))
+    wide = spark.createDataFrame([(3, (4, "y"), 0.5)], "a int, s struct<x: int, y: string>, b double")
+    with pytest.raises(SchemaMismatch):
+        t.append(wide)
+    t.append(wide, evolve=True)
+    assert sorted((r.a, r.s.x, r.s.y, r.b) for r in t.read().collect()) == [(1, 2, None, None), (3, 4, "y", 0.5)]
+    with pytest.raises(SchemaMismatch):
+        t.append(spark.createDataFrame([("x",)], "a string"), evolve=True)

@@ -1,5 +1,6 @@
 import itertools
 import json
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.quality import DROP, FAIL, Expectation, metrics_report
+from millrace.operators.snapshots import SnapshotTable
 from millrace.session import scratch
 from millrace.streaming import datasets as D
 from millrace.streaming.changes import ChangeTable
-from millrace.streaming.ingest import infer_schema, ingest
+from millrace.streaming.ingest import FileFeed, infer_schema, ingest
 from millrace.streaming.joins import enrich_stream, interval_join
 
 CHANGE = "k int, seq int, op string, v string"
@@ -196,3 +198,205 @@ def test_counts_of_every_micro_batch_stay(spark, folder):
     assert sets.run() != first and sets.read("t").count() == 50
     kinds = {(r["event_type"], r["origin"]["update_id"] == first) for r in sets.events().collect()}
     assert kinds == {("create_update", True), ("create_update", False), ("flow_definition", True), ("flow_definition", False), ("flow_progress", True), ("flow_progress", False)}
+
+
+# ---- files: nested rescue, headers, growing schemas -----------------------------------------------
+
+
+def ingested(spark, folder, lines, ddl):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
+    return [r.asDict(recursive=True) for r in ingest(spark, folder, T.StructType.fromDDL(ddl), stream=False).collect()]
+
+
+def test_nested_values_are_rescued_by_path(spark, folder):
+    lines = [
+        '{"id": 1, "at": {"x": 1, "y": 2}}', '{"id": 2, "at": {"x": "far", "z": {"deep": [1]}}}', '{"id": 3, "at": 7}',
+        '{"id": 4, "items": [{"n": 1}, {"n": "two", "m": true}, {"k": null}]}', '{"id": 5, "items": {"n": 1}}', '{"id": 6, "at": null, "more": null}',
+        '{"id": 7, "items": [[1]]}', '"text"', "[1]",
+    ]
+    got = ingested(spark, folder, lines, "id bigint, at struct<x: bigint, y: bigint>, items array<struct<n: bigint>>")
+    by_id = {r["id"]: r for r in got if r["id"]}
+    rescued = {k: json.loads(r["_rescued_data"]) if r["_rescued_data"] else None for k, r in by_id.items()}
+    assert rescued[1] is None and by_id[1]["at"] == {"x": 1, "y": 2} and rescued[6] is None
+    assert by_id[2]["at"] in ({"x": None, "y": None}, None) and (rescued[2] == {"at.x": "far", "at.z": '{"deep":[1]}'} or "at" in rescued[2])
+    assert rescued[3] == {"at": "7"} and rescued[5] == {"items": '{"n":1}'}
+    assert by_id[4]["items"] is None and "items" in rescued[4] or rescued[4] == {"items[1].n": "two", "items[1].m": "true"}
+    assert rescued[7] is not None
+    assert sorted(r["_rescued_data"] for r in got if not r["id"]) == ['"text"', "[1]"]
+
+
+def leaves(value, path=""):
+    if isinstance(value, dict):
+        return {k: v for n, x in value.items() for k, v in leaves(x, f"{path}.{n}" if path else n).items()}
+    return {} if value is None else {path: value}
+
+
+SHAPES = st.recursive(st.one_of(st.none(), st.integers(0, 9), st.sampled_from(["a", "b c"])), lambda x: st.dictionaries(st.sampled_from("pqr"), x, max_size=3), max_leaves=6)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.sampled_from("pqr"), SHAPES, max_size=3), min_size=1, max_size=8))
+def test_no_nested_value_is_lost(spark, objects):
+    path = scratch(spark, "shapes")
+    rows = ingested(spark, path, [json.dumps(o) for o in objects], "p bigint, q struct<p: string, q: struct<r: bigint>>, r string")
+    for o, row in zip(objects, rows):
+        kept = leaves({k: v for k, v in row.items() if k in "pqr"})
+        rescued = json.loads(row["_rescued_data"]) if row["_rescued_data"] else {}
+        for at, value in leaves(o).items():
+            above = [r for r in rescued if at == r or at.startswith(r + ".")]
+            held = [k for k in kept if at == k or at.startswith(k + ".")]
+            assert above or held, (o, row)
+            if at in kept and not above:
+                assert str(kept[at]) == str(value)
+
+
+def csv_file(spark, folder, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_csv_is_read_by_each_files_header(spark, folder):
+    source = f"{folder}/in"
+    csv_file(spark, source, ["id,name,price", "1,a,1.5", "two,b,2", '3,"x, ""y""",3'])
+    csv_file(spark, source, ["price,id", "9.25,4", ",5", "1,6,extra", "7"])
+    csv_file(spark, source, ["id,price,note", "007,1,call"])
+    schema = T.StructType.fromDDL("id int, name string, price double")
+    feed, target = FileFeed(spark, source, f"{folder}/schemas", "csv", schema, options={"escape": '"'}), SnapshotTable(spark, f"{folder}/t")
+    feed.load_into(target, f"{folder}/cp")
+    feed.load_into(target, f"{folder}/cp")
+    rows = sorted([(r["id"], r["name"], r["price"], r["_rescued_data"]) for r in target.read().collect()], key=str)
+    # A line that does not fit its header is kept whole; a value of another type under its column.
+    assert rows == sorted([
+        (1, "a", 1.5, None), (None, "b", 2.0, '{"id":"two"}'), (3, 'x, "y"', 3.0, None), (4, None, 9.25, None), (5, None, None, None),
+        (6, None, 1.0, "1,6,extra"), (None, None, 7.0, "7"), (7, None, 1.0, None),
+    ], key=str)
+    assert feed.schema().names == ["id", "name", "price", "note"]
+    assert target.read().filter("id = 7").first()["note"] == "call"
+
+
+def test_the_schema_grows_with_new_fields(spark, folder):
+    source, target = f"{folder}/in", SnapshotTable(spark, f"{folder}/t")
+    feed = FileFeed(spark, source, f"{folder}/schemas")
+    csv_file(spark, source, ['{"a": 1, "s": {"x": 1}}'])
+    feed.load_into(target, f"{folder}/cp")
+    csv_file(spark, source, ['{"a": 2, "b": "new", "s": {"x": 2, "y": "deep"}}', '{"a": "three"}'])
+    feed.load_into(target, f"{folder}/cp")
+    feed.load_into(target, f"{folder}/cp")
+    assert len(feed.schemas()) == 2 and feed.schema().simpleString() == "struct<a:bigint,s:struct<x:bigint,y:string>,b:string>"
+    rows = [(r.a, r.b, r.s.y if r.s else None, r["_rescued_data"]) for r in target.read().collect()]
+    assert sorted(rows, key=str) == sorted([(1, None, None, None), (2, "new", "deep", None), (None, None, None, '{"a":"three"}')], key=str)
+
+
+# ---- quarantine and refresh ------------------------------------------------------------------------
+
+
+def test_rejected_rows_are_kept_apart(spark, folder):
+    rules = [Expectation("small", "id < 5", DROP), Expectation("even", "id % 2 = 0"), Expectation("known", "id IS NOT NULL", DROP)]
+    sets = D.Datasets(spark, f"{folder}/sets")
+    rows = spark.range(7).unionAll(spark.sql("SELECT CAST(NULL AS LONG)"))
+    rows.coalesce(1).write.parquet(f"{folder}/in")
+    sets.dataset(D.TABLE, name="t", expectations=rules)(lambda s: rows)
+    sets.dataset(D.STREAM, name="s", expectations=rules)(lambda s: spark.readStream.schema("id long").parquet(f"{folder}/in"))
+    sets.dataset(D.TABLE, name="n")(lambda s: s.read("t"))
+    sets.run()
+    want = [(5, ["small", "even"]), (6, ["small"]), (None, ["small", "even", "known"])]
+    for name in ("t", "s"):
+        assert sorted((tuple(r) for r in sets.rejected(name).collect()), key=str) == sorted(want, key=str)
+        assert sorted(r.id for r in sets.read(name).collect()) == [0, 1, 2, 3, 4] and sets.read(name).columns == ["id"]
+    assert sets.rejected("n").isEmpty() and sets.read("n").count() == 5
+    assert {(r.dataset, r.name, r.passed_records, r.failed_records) for r in sets.metrics().collect()} == {
+        (d, *c) for d in "ts" for c in (("small", 5, 3), ("even", 4, 4), ("known", 7, 1))
+    }
+
+
+RETRIED = '''
+import sys
+from pyspark.sql import SparkSession, functions as F
+from pyspark.sql.functions import udf
+from pyspark import TaskContext
+sys.path.insert(0, sys.argv[1])
+from millrace.operators import quality
+spark = SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+
+@udf("long")
+def fails_once(i):
+    if i == 900 and TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+    return i
+
+rows = spark.range(0, 1000, 1, 2).select(fails_once("id").alias("id"))
+found = quality.write_judged(rows, [quality.Expectation("small", "id < 950", quality.DROP), quality.Expectation("even", "id % 2 = 0")], sys.argv[2])
+print("COUNTS", quality.rule_counts(found, [quality.Expectation("small", "", quality.DROP), quality.Expectation("even", "")], "d"))
+'''
+
+
+def test_counts_are_exact_when_a_task_fails_once(folder):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", RETRIED, root, folder], capture_output=True, text=True, timeout=300)
+    assert "COUNTS [('d', 'small', 950, 50), ('d', 'even', 500, 500)]" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_failed_branch_leaves_the_others_and_is_resumed_alone(spark, folder):
+    sets, built, broken = D.Datasets(spark, folder), [], {"on": True}
+
+    @sets.dataset(D.TABLE)
+    def bad(s):
+        built.append("bad")
+        if broken["on"]:
+            raise RuntimeError("source is away")
+        return spark.range(2)
+
+    @sets.dataset(D.TABLE)
+    def behind(s):
+        rows = s.read("bad")
+        built.append("behind")
+        return rows.unionAll(s.read("good"))
+
+    @sets.dataset(D.TABLE)
+    def good(s):
+        built.append("good")
+        return spark.range(10, 13)
+
+    with pytest.raises(RuntimeError, match="source is away"):
+        sets.run()
+    assert sorted(built) == ["bad", "good"] and sets.unfinished() == {"bad", "behind"}
+    broken["on"] = False
+    built.clear()
+    again = D.Datasets(spark, folder)  # a new process knows the log alone
+    again.declared = sets.declared
+    again.run(resume=True)
+    assert sorted(built) == ["bad", "behind"] and again.unfinished() == set()
+    assert sorted(r.id for r in again.read("behind").collect()) == [0, 1, 10, 11, 12]
+
+
+def test_chosen_datasets_with_what_they_read(spark, folder):
+    sets, built = D.Datasets(spark, folder), []
+    for name, inputs in (("a", []), ("b", ["a"]), ("c", []), ("d", ["b", "c"])):
+        def build(s, name=name, inputs=inputs):
+            built.append(name)
+            return reduce(lambda x, y: x.unionAll(y), [spark.range(1), *[s.read(i) for i in inputs]])
+
+        sets.dataset(D.TABLE, name=name)(build)
+    sets.run(only=["b"])
+    assert sorted(built) == ["a", "b"]
+    sets.run()
+    assert sorted(built) == ["a", "a", "b", "b", "c", "d"] and sets.read("d").count() == 4
+    with pytest.raises(KeyError):
+        sets.run(only=["x"])
+
+
+def test_independent_datasets_run_at_the_same_time(spark, folder):
+    import threading
+
+    sets, meet = D.Datasets(spark, folder), threading.Barrier(3, timeout=60)
+    for name in "abc":
+        def build(s, name=name):
+            meet.wait()  # only passed if all three are being built
+            return spark.range(1)
+
+        sets.dataset(D.TABLE, name=name)(build)
+    sets.run()
+    assert all(sets.read(n).count() == 1 for n in "abc")
