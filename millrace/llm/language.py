@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.registry import query
 from millrace.llm.texts import SPACE, as_bytes, held_out, letters, pieces, slices, table_of, tidy
@@ -27,7 +28,8 @@ from millrace.tables import table
 STEPS = 64  # bytes of a window
 HIDDEN = 12
 SAMPLE_ROWS = 1500  # labelled documents of each language learned from, about
-SAMPLE_CHARS = 20_000  # longer ones are labelled, but not learned from
+SAMPLE_CHARS = 20_000  # learned from a document: a longer one gives a stretch from a place of its hash
+MOST_LANGUAGES = 500  # the ones with most documents; a bound for what comes to the driver
 GROUP_BYTES = 1 << 17  # bytes that go through the network together
 UNDETERMINED = "und"
 
@@ -173,14 +175,20 @@ def train(values: list[bytes], langs: list[str], hidden: int = HIDDEN, rounds: i
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Train on about ``sample_rows`` documents of each language, chosen by a hash of text and id.
 
-    The languages and their counts come to the driver (a language code list), and the sample.
-    Documents without text or language are left out.
+    At most twice as many of a language, of ``MOST_LANGUAGES`` languages at most, come to the driver. Documents
+    without text or language are left out.
     """
-    rows = docs.filter("lang IS NOT NULL").filter(F.length("text") <= sample_chars).select("doc_id", "lang", "text")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
-    order = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_003))
+    rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), "lang").limit(MOST_LANGUAGES)
+    hashed = F.xxhash64("doc_id", F.length("text"))
+    order = F.pmod(hashed, F.lit(1_000_003))
     share = F.lit(1_000_003.0 * sample_rows) / F.col("__n")
-    chosen = rows.join(F.broadcast(counts), "lang").filter(order < share).select("doc_id", "lang", as_bytes(F.col("text")).alias("__bytes"))
+    start = F.pmod(hashed, F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
+    part = F.col("text").substr(start.cast("int"), F.lit(sample_chars))
+    some = rows.join(F.broadcast(counts), "lang").filter(order < share).select("doc_id", "lang", order.alias("__order"), as_bytes(part).alias("__bytes"))
+    # Rows alike in id and length share their hash; the rank bounds them too.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("__order", "doc_id"))
+    chosen = some.withColumn("__place", place).filter(F.col("__place") <= 2 * sample_rows)
     sample = sorted((r.lang, r.doc_id is not None, r.doc_id or 0, bytes(r["__bytes"])) for r in chosen.collect())
     return train([r[3] for r in sample], [r[0] for r in sample])
 

@@ -107,3 +107,81 @@ def test_a_score_does_not_depend_on_the_texts_around():
     alone = [model.scores([v])[0] for v in values]
     assert np.allclose(model.scores(values), alone, atol=1e-9) and np.allclose(model.scores(values[::-1]), alone[::-1], atol=1e-9)
     assert alone[0] == alone[6] == 1 / (1 + np.exp(-0.25))
+
+
+def plain_states(layer, codes, order):
+    """One position after the other, one unit after the other."""
+    hidden = layer.state.shape[0]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    h, out = np.zeros(hidden), {}
+    for t in order:
+        x = layer.byte[codes[t]]
+        u = [sum(h[i] * layer.state[i, j] for i in range(hidden)) for j in range(3 * hidden)]
+        new = np.zeros(hidden)
+        for j in range(hidden):
+            z, r = sigmoid(x[j] + u[j]), sigmoid(x[hidden + j] + u[hidden + j])
+            n = np.tanh(x[2 * hidden + j] + r * u[2 * hidden + j])
+            new[j] = (1 - z) * n + z * h[j]
+        h = out[t] = new
+    return out
+
+
+def test_document_probabilities_against_a_plain_network():
+    rng = np.random.default_rng(5)
+    layers = tuple(language.Layer(rng.normal(0, 0.5, (256, 9)).astype(np.float32), rng.normal(0, 0.5, (3, 9)).astype(np.float32)) for _ in range(2))
+    model = language.Model(["a", "b", "c"], layers, rng.normal(0, 1, (6, 3)).astype(np.float32), rng.normal(0, 1, 3).astype(np.float32))
+    for text in (b"Two words, and 12 more; " * 9, "Ünï cödé".encode(), b"x"):
+        raw = language.letters(np.frombuffer(text + b" " * (-len(text) % language.STEPS), np.uint8))
+        total = []
+        for at in range(0, len(raw), language.STEPS):
+            codes = raw[at : at + language.STEPS]
+            ahead, back = plain_states(layers[0], codes, range(len(codes))), plain_states(layers[1], codes, range(len(codes) - 1, -1, -1))
+            for t in np.flatnonzero(codes != 0x20):
+                e = np.exp(ahead[t] @ model.out[:3] + back[t] @ model.out[3:] + model.bias)
+                total.append(e / e.sum())
+        assert np.allclose(model.documents([text])[0], np.mean(total, 0), atol=1e-4)
+
+
+def test_a_language_of_long_documents_only_is_learned(spark):
+    rng = np.random.default_rng(1)
+    word = lambda letters, n: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(n))
+    rows = [(i, word("abcdefg", 60), "x") for i in range(60)] + [(100 + i, word("stuvwxyz", 5000), "y") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.labels == ["x", "y"]
+    got = language.label(spark.createDataFrame([(1, word("abcdefg", 30)), (2, word("stuvwxyz", 30))], "doc_id long, text string"), model, ["doc_id"])
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "x", 2: "y"}
+
+
+def test_the_sample_of_repeated_rows_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda values, langs: seen.append(len(values)))
+    language.fit(spark.range(5000).select(F.lit(1).alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang")), sample_rows=5000)
+    language.fit(spark.range(5000).select(F.lit(1).alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang")), sample_rows=20)
+    assert seen[0] == 5000 and seen[1] <= 40
+
+
+def plain_score(model, text):
+    """Every piece of every word by itself, its bucket's weight, the mean with the neutral pieces, and the logistic function."""
+    lowered = "".join(c.lower() if c.isascii() and c.isalpha() or "À" <= c <= "Þ" and c != "×" else c if ord(c) > 127 else " " for c in text)
+    total = count = 0
+    for word in lowered.split(" "):
+        padded = b" " + word.encode() + b" "
+        for n in toxicity.LENGTHS:
+            for i in range(len(padded) - n + 1 if word else 0):
+                piece = padded[i : i + n]
+                if not (i == 0 and i + n == len(padded)):
+                    h = 0
+                    for k, c in enumerate(piece):
+                        h = (h * 0x01000193 + c + 1) % (1 << 32) if k else c + 1
+                    total += float(model.weight[((h ^ (h >> 15)) * 0x9E3779B1 % (1 << 32)) >> (32 - toxicity.BITS)])
+                    count += 1
+    return 1 / (1 + np.exp(-(total / (count + toxicity.NEUTRAL) + model.bias)))
+
+
+def test_scores_against_a_plain_average(toxic_words):
+    weight = np.random.default_rng(8).normal(size=toxicity.BUCKETS).astype(np.float32) * 20
+    model = toxicity.Model(weight, -0.3)
+    texts = ["", "a", "ab c", "One, TWO; three!", "Ünïcode ÀÉ words 12 3", "tabs\tand\nlines " * 30, "x" * 300, "日本語 text"]
+    got = model.scores([t.encode() for t in texts])
+    assert np.allclose(got, [plain_score(model, t) for t in texts], atol=1e-5)
