@@ -31,8 +31,8 @@ from millrace.tables import table
 TOP = 20
 TREES = 8
 LEAF = 256  # sampled entries of a leaf, at most
-LEAVES = 160  # leaves a query visits over all trees, at least
-VISITED = 0.12  # and this share of all leaves
+LEAVES = 64  # leaves of a tree, at least, where entries allow it
+VISITED = 0.12  # share of all leaves that a query visits: with eight trees, scored pairs stay below those of a full search
 SAMPLE = 60_000  # entries the trees are grown on, at most
 BLOCK = 4096  # entries of a leaf that meet its queries in one block
 SPARE = 4  # entries a block keeps beyond the wanted ones, as it ranks by sums in another order
@@ -196,7 +196,7 @@ def meet(stream: Iterator[pa.RecordBatch], width: int, most: int) -> Iterator[pa
 
 
 def nearest(
-    rows: DataFrame, wanted: str, id_col: str = "vec_id", vector: str = "embedding", top: int = TOP, trees: int = TREES, leaves: int = LEAVES, share: float = VISITED,
+    rows: DataFrame, wanted: str, id_col: str = "vec_id", vector: str = "embedding", top: int = TOP, trees: int = TREES, leaf: int = LEAF, share: float = VISITED,
     sample: int = SAMPLE,
 ) -> DataFrame:
     """(query_id, rank, id, score): the ``top`` nearest found of every row for which ``wanted`` holds.
@@ -227,10 +227,12 @@ def nearest(
     drawn = known.filter(place <= int((1 << 30) * min(1.0, sample / count))).select("entry", "vector").orderBy(F.xxhash64("entry"), "entry").limit(sample)
     base = spark.sparkContext.broadcast(lifted(matrix(drawn.select("vector").toArrow().column(0).combine_chunks(), width), longest))
 
+    size = max(1, min(leaf, len(base.value) // LEAVES))
+
     def grown(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for t in batch.column(0).to_pylist():
-                tree = grow(base.value, SEED * 1000 + t)
+                tree = grow(base.value, SEED * 1000 + t, size)
                 arrays = [pa.array([x.tobytes()], pa.binary()) for x in (tree.normals, tree.offsets, tree.children)]
                 yield pa.RecordBatch.from_arrays([pa.array([t]), *arrays], ["tree", "normals", "offsets", "children"])
 
@@ -254,7 +256,7 @@ def nearest(
 
     def asked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = planted()
-        number = max(leaves, int(share * sum(len(tree.children) + 1 for tree in forest)))
+        number = max(top, round(share * sum(len(tree.children) + 1 for tree in forest)))
         for batch in stream:
             at = lifted(matrix(batch.column(1), width), longest)
             at[:, -1] = 0
@@ -265,7 +267,7 @@ def nearest(
 
     kind = known.schema["vector"].dataType.simpleString()
     schema = f"leaf long, id long, vector {kind}"
-    blocks = max(1, -(-count // max(1, (min(count, sample) // LEAF) * BLOCK // 2)))  # leaves hold equal shares of the entries
+    blocks = max(1, -(-count // max(1, (min(count, sample) // size) * BLOCK // 2)))  # leaves hold equal shares of the entries
     index = known.select("entry", "vector").mapInArrow(tidy(placed), schema)
     index = index.select("leaf", F.pmod("id", F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "vector")
     queries = known.join(asking.select("entry").distinct(), "entry", "left_semi").select("entry", "vector").mapInArrow(tidy(asked), schema)

@@ -432,7 +432,10 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     Null, empty and blank texts have no shingles and are components of their own. A text with fewer
     words than a shingle has one, its whole sequence. Rows that repeat an id count as one document.
     Documents without an id link with nothing and have no component. An empty table gives an empty result.
+    Different sets of a similarity under 67 percent may share fewer than ``SHARED`` tokens; it is refused.
     """
+    if not 67 <= percent <= 100:
+        raise ValueError("a similarity has 67 to 100 percent")
     spark = docs.sparkSession
     common = _written(_common(docs, words), "common-tokens")
     frequent = common.orderBy(F.desc("n"), "token").toArrow().column("token").to_numpy().view(np.uint64)

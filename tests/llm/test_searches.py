@@ -67,13 +67,13 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def shingle_set(text):
+def shingle_set(text, k=4):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)} if len(words) >= 4 else {tuple(words)} if words else set()
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
 
 
-def brute_components(rows):
-    sets = {i: shingle_set(t) for i, t in rows}
+def brute_components(rows, k_words=4, percent=85):
+    sets = {i: shingle_set(t, k_words) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -84,7 +84,7 @@ def brute_components(rows):
     ids = sorted(sets)
     for n, i in enumerate(ids):
         for k in ids[n + 1 :]:
-            if sets[i] and sets[k] and 100 * len(sets[i] & sets[k]) >= 85 * len(sets[i] | sets[k]):
+            if sets[i] and sets[k] and 100 * len(sets[i] & sets[k]) >= percent * len(sets[i] | sets[k]):
                 parent[max(root(i), root(k))] = min(root(i), root(k))
     return {i: (len(sets[i]), root(i)) for i in ids}
 
@@ -200,3 +200,22 @@ def test_repeats_edge_rows(spark, docs, no_docs):
     assert len(got) == docs.count() and by[4].n_bytes == 0 and by[9].n_removed == 30_000 and by[2].n_removed == by[2].n_bytes
     assert by[7].n_removed == 0 and bytes(by[8].kept).decode() == "日本語のテキスト"
     assert repeats.remove_repeats(no_docs, ["doc_id"]).count() == 0
+
+
+def test_similarities_that_shared_tokens_cannot_find_are_refused(docs):
+    with pytest.raises(ValueError, match="67"):
+        similar.similar(docs, percent=60)
+
+
+def test_forest_scores_fewer_pairs_than_a_full_search(spark, monkeypatch):
+    """Pairs that leaves bring together, counted from the trees."""
+    rng = np.random.default_rng(6)
+    for n in (1000, 4000):
+        at = neighbours.lifted(rng.normal(0, 1, (n, 16)), 8.0)
+        size = max(1, min(neighbours.LEAF, n // neighbours.LEAVES))
+        trees = [neighbours.grow(at, t, size) for t in range(neighbours.TREES)]
+        assert all(len(t.children) + 1 >= neighbours.LEAVES for t in trees)
+        filled = [np.bincount(t.leaves(at)) for t in trees]
+        number = max(neighbours.TOP, round(neighbours.VISITED * sum(len(t.children) + 1 for t in trees)))
+        pairs = [sum(int(filled[t][leaf]) for t, leaf in neighbours.visit(trees, v, number)) for v in at[:100]]
+        assert np.mean(pairs) < n
