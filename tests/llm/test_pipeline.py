@@ -41,7 +41,7 @@ def test_stages_in_turn_equal_brute_force(spark, small):
     rows = known.collect()
     assert len(rows) >= 0.97 * docs.count()
     single = step(spark, "similar", known)
-    parts = brute_components([(r.doc_id, r.text) for r in rows])
+    parts = brute_components([(r.doc_id, r.text) for r in rows], cp.WORDS, cp.PERCENT)
     assert sorted(r.doc_id for r in single.collect()) == sorted(k for k, (n, c) in parts.items() if not n or c == k)
     cleaned = step(spark, "repeats", single)
     want = without_repeats(single.collect())
@@ -106,3 +106,8 @@ def test_similar_stage_takes_five_words_and_eight_tenths(spark):
     near, tight = near_groups([t[:2] for t in texts]), near_groups([t[:2] for t in texts], 4, 85)
     kept = sorted(r.doc_id for r in got.collect())
     assert kept == sorted(k for k, g in near.items() if k == g) and len(kept) < sum(k == g for k, g in tight.items())
+
+
+def test_documents_without_languages_stay(spark, docs):
+    got = step(spark, "language", docs.withColumn("lang", F.lit(None).cast("string")))
+    assert got.columns == docs.columns and got.count() == docs.filter(language.has_letter(F.col("text"))).count() > 0
