@@ -269,11 +269,11 @@ def j_full_outer(spark, sf):
 
 @query(
     "j_left",
-    """select c_custkey, cast(o_orderkey as varchar) as order_text from customer left join (select * from orders where o_totalprice > 300000) on c_custkey = o_custkey""",
+    """select c_custkey, cast(o_orderkey as varchar) as order_text from customer left join orders on c_custkey = o_custkey""",
 )
 def j_left(spark, sf):
-    big = table(spark, sf, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return table(spark, sf, "customer").select("c_custkey").join(big, "c_custkey", "left").select("c_custkey", F.col("o_orderkey").cast("string").alias("order_text"))
+    placed = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return table(spark, sf, "customer").select("c_custkey").join(placed, "c_custkey", "left").select("c_custkey", F.col("o_orderkey").cast("string").alias("order_text"))
 
 
 @query(

@@ -54,9 +54,8 @@ def c_abandoned(spark, sf):
     the same, and a customer with very many items needs no more room in a task than others.
     """
     orders = table(spark, sf, "orders")
-    converted = orders.filter("o_totalprice > 400000").select("o_custkey").distinct().withColumn("converted", F.lit(True))
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    undecided = customers.join(converted, "o_custkey", "left").na.fill(False).filter(~F.col("converted")).select("o_custkey")
+    undecided = customers.join(orders.filter("o_totalprice > 400000"), "o_custkey", "left_anti")
     placed = join_hot_keys(orders.select("o_orderkey", "o_custkey"), undecided, ["o_custkey"])
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"))
     carts = placed.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "item").distinct()

@@ -108,10 +108,10 @@ def snk_table_roundtrip(spark, sf):
     return spark.table(name)
 
 
-@query("snk_snapshot_write", "select * from customer where c_acctbal > 0")
+@query("snk_snapshot_write", "select * from customer")
 def snk_snapshot_write(spark, sf):
     target = SnapshotTable(spark, scratch(spark, "snapshot"))
-    target.create(table(spark, sf, "customer").filter("c_acctbal > 0"))
+    target.create(table(spark, sf, "customer"))
     return target.read()
 
 

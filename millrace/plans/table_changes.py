@@ -22,8 +22,13 @@ def snapshot(spark, df, **options):
     return target
 
 
+def all_orders(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 def open_orders(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").filter("o_totalprice < 250000")
+    """Targets of merges: the orders that changes may still find missing."""
+    return all_orders(spark, sf).filter("o_totalprice < 250000")
 
 
 def order_changes(spark, sf):
@@ -40,19 +45,19 @@ CHANGES = """source as (select l_orderkey as o_orderkey, max(l_linestatus) as o_
     case when max(l_returnflag) = 'A' then 'delete' when min(l_returnflag) = 'N' then 'insert' else 'update' end as kind from lineitem group by 1)"""
 
 
-@query("tb_replace", "select o_orderkey, o_orderstatus, o_totalprice from orders where o_totalprice < 250000")
+@query("tb_replace", "select o_orderkey, o_orderstatus, o_totalprice from orders")
 def tb_replace(spark, sf):
     """Replacing may change the schema."""
     target = snapshot(spark, table(spark, sf, "orders").select("o_orderkey"))
-    target.create(open_orders(spark, sf))
+    target.create(all_orders(spark, sf))
     return target.read()
 
 
-@query("tb_overwrite_enforced", "select o_orderkey, o_orderstatus, o_totalprice, true as refused from orders where o_orderstatus = 'F'")
+@query("tb_overwrite_enforced", "select o_orderkey, o_orderstatus, o_totalprice * 2 as o_totalprice, true as refused from orders")
 def tb_overwrite_enforced(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    target = snapshot(spark, open_orders(spark, sf))
-    target.overwrite(orders.filter("o_orderstatus = 'F'"))
+    orders = all_orders(spark, sf)
+    target = snapshot(spark, orders)
+    target.overwrite(orders.withColumn("o_totalprice", F.col("o_totalprice") * 2))
     try:
         target.overwrite(table(spark, sf, "orders"))
         refused = False
@@ -264,9 +269,9 @@ def tb_time_travel(spark, sf):
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
-@query("tb_restore", "select o_orderkey, o_orderstatus, o_totalprice, 2 as newest from orders where o_totalprice < 250000")
+@query("tb_restore", "select o_orderkey, o_orderstatus, o_totalprice, 2 as newest from orders")
 def tb_restore(spark, sf):
-    target = snapshot(spark, open_orders(spark, sf))
+    target = snapshot(spark, all_orders(spark, sf))
     target.delete()
     newest = target.restore(0)
     return target.read().withColumn("newest", F.lit(newest))
@@ -309,9 +314,9 @@ def tb_merge_indexed(spark, sf):
     return target.read()
 
 
-@query("tb_repartition", "select o_orderkey, o_orderstatus, o_totalprice, true as as_asked from orders where o_totalprice < 250000")
+@query("tb_repartition", "select o_orderkey, o_orderstatus, o_totalprice, true as as_asked from orders")
 def tb_repartition(spark, sf):
-    target = snapshot(spark, open_orders(spark, sf))
+    target = snapshot(spark, all_orders(spark, sf))
     target.repartition(3)
     files = target.read().select("_metadata.file_path").distinct().count()
     return target.read().withColumn("as_asked", F.lit(files == 3))
@@ -349,13 +354,13 @@ def tb_clone(spark, sf):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-@query("tb_external_survives_drop", "select o_orderkey, o_orderstatus, o_totalprice, true as managed_gone from orders where o_totalprice < 250000")
+@query("tb_external_survives_drop", "select o_orderkey, o_orderstatus, o_totalprice, true as managed_gone from orders")
 def tb_external_survives_drop(spark, sf):
     """Dropping a schema removes a managed table's files and leaves an external table's."""
     from millrace import storage
 
     schema, outside = own_schema(spark), scratch(spark, "external")
-    rows = open_orders(spark, sf)
+    rows = all_orders(spark, sf)
     rows.write.saveAsTable(f"{schema}.managed")
     rows.write.option("path", outside).saveAsTable(f"{schema}.external")
     location = spark.sql(f"DESCRIBE SCHEMA {schema}").filter("info_name = 'Location'").first()["info_value"]
