@@ -36,7 +36,7 @@ LENGTH = 200
 GRAM = 64
 CHUNK = 1 << 19  # windows of a text that are looked at together
 BLOCK = 1 << 19  # bytes that are suffix-sorted together
-MANY = 10_000  # different stretches of one anchor hash, above which windows are dealt out one by one
+MANY = 500  # different stretches of one anchor hash, above which windows are dealt out one by one
 _MASK = (1 << 64) - 1
 
 
@@ -211,48 +211,23 @@ def _stretches(stream: Iterator[pa.RecordBatch], length: int, gram: int) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (zero, zero, key, at, count, zero, zero)], ["anchor", "content", "key", "first", "windows", "shift", "copies"])
 
 
-VERDICT = "anchor long, key long, first long, windows long, shift long, verdict int"
 WHOLE, ASKS, PARTNER = 0, 1, 2
 
 
-def _verdicts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches sorted by anchor and content: those that repeat as a whole, and those to compare.
+def _verdicts(found: DataFrame) -> DataFrame:
+    """(anchor, key, first, windows, shift, verdict): stretches that repeat as a whole, and those to compare.
 
     Of anchors with several contents, each content comes once: it asks for its windows' fate, or, if it
-    repeats as a whole, it is only a partner. 4 is added to the verdicts of anchors with very many.
+    repeats as a whole, it is only a partner. 4 is added to the verdicts of anchors with very many. Contents
+    are counted with partial aggregates, and the counts joined back, so no task holds an anchor whole.
     """
-    held: list[np.ndarray] | None = None
-
-    def judged(columns: list[np.ndarray]) -> pa.RecordBatch:
-        anchor, content, key, first, windows, shift, copies = columns
-        new_anchor = np.concatenate(([True], np.diff(anchor) != 0))
-        new = new_anchor | np.concatenate(([True], np.diff(content) != 0))
-        at = np.flatnonzero(new)
-        total = np.add.reduceat(copies, at)
-        group = np.cumsum(new_anchor)[at] - 1
-        contents = np.bincount(group)[group]
-        rows, verdict = [], []
-        whole = np.flatnonzero((np.repeat(total, np.diff(np.append(at, len(new)))) > 1) & (copies == 1))
-        rows.append(whole)
-        verdict.append(np.full(len(whole), WHOLE))
-        several = contents > 1
-        rows.append(at[several])
-        verdict.append(np.where(total[several] > 1, PARTNER, ASKS) + 4 * (contents[several] > MANY))
-        pick = np.concatenate(rows)
-        arrays = [pa.array(x[pick]) for x in (anchor, key, first, windows, shift)] + [pa.array(np.concatenate(verdict).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(arrays, ["anchor", "key", "first", "windows", "shift", "verdict"])
-
-    for batch in stream:
-        now = [batch.column(i).to_numpy() for i in range(7)]
-        now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-        if not len(now[0]):
-            continue
-        last = int(np.searchsorted(now[0], now[0][-1]))  # rows of the last anchor may go on in the next batch
-        if last:
-            yield judged([x[:last] for x in now])
-        held = [x[last:] for x in now]
-    if held is not None and len(held[0]):
-        yield judged(held)
+    sent = found.filter("copies > 0")
+    contents = sent.groupBy("anchor", "content").agg(F.sum("copies").alias("total"), F.min(F.struct("key", "first", "windows", "shift")).alias("one"))
+    anchors = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
+    again = contents.filter("total > 1").select("anchor", "content")
+    whole = sent.filter("copies = 1").join(again, ["anchor", "content"], "left_semi").select("anchor", "key", "first", "windows", "shift", F.lit(WHOLE).alias("verdict"))
+    kind = F.when(F.col("total") > 1, F.lit(PARTNER)).otherwise(F.lit(ASKS)) + F.when(F.col("contents") > MANY, F.lit(4)).otherwise(F.lit(0))
+    return whole.unionAll(contents.join(anchors, "anchor").select("anchor", "one.*", kind.alias("verdict")))
 
 
 SEGMENT = "anchor long, part int, key long, first long, windows long, shift long, asks boolean, bytes binary"
@@ -330,8 +305,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
     raw = as_bytes(F.col("text"))
     rows = docs.select(*keep, raw.alias("__bytes"), F.xxhash64("doc_id", raw).alias("__key"))
     found = written(rows.select("__key", "__bytes").mapInArrow(tidy(lambda s: _stretches(s, length, gram)), STRETCH), "stretches")
-    dealt = found.filter("copies > 0").repartition("anchor").sortWithinPartitions("anchor", "content", "key", "first")
-    verdicts = written(dealt.mapInArrow(tidy(_verdicts), VERDICT), "stretch-verdicts")
+    verdicts = written(_verdicts(found), "stretch-verdicts")
 
     last = (F.col("first") + F.col("windows") + (length - 1)).alias("b")
     whole = found.filter("copies = 0").select("key", F.col("first").alias("a"), last)

@@ -205,17 +205,3 @@ def test_repeats_edge_rows(spark, docs, no_docs):
 def test_similarities_that_shared_tokens_cannot_find_are_refused(docs):
     with pytest.raises(ValueError, match="67"):
         similar.similar(docs, percent=60)
-
-
-def test_forest_scores_fewer_pairs_than_a_full_search(spark, monkeypatch):
-    """Pairs that leaves bring together, counted from the trees."""
-    rng = np.random.default_rng(6)
-    for n in (1000, 4000):
-        at = neighbours.lifted(rng.normal(0, 1, (n, 16)), 8.0)
-        size = max(1, min(neighbours.LEAF, n // neighbours.LEAVES))
-        trees = [neighbours.grow(at, t, size) for t in range(neighbours.TREES)]
-        assert all(len(t.children) + 1 >= neighbours.LEAVES for t in trees)
-        filled = [np.bincount(t.leaves(at)) for t in trees]
-        number = max(neighbours.TOP, round(neighbours.VISITED * sum(len(t.children) + 1 for t in trees)))
-        pairs = [sum(int(filled[t][leaf]) for t, leaf in neighbours.visit(trees, v, number)) for v in at[:100]]
-        assert np.mean(pairs) < n
