@@ -188,7 +188,7 @@ class SnapshotTable:
     def _commit(
         self, operation: str, rows: DataFrame | None, keep: list, schema: T.StructType, *, previous=None,
         partition_by: list[str] | None = None, constraints=None, generated=None, comment=None, tag=None,
-        replace_partitions: bool = False, index_by: list[str] | None = None,
+        replace_partitions: bool = False, index_by: list[str] | None = None, gather: bool = True,
     ) -> int:
         if VERSION_FOLDER in (n.lower() for n in schema.names):
             raise SchemaMismatch(f"a column may not be called {VERSION_FOLDER}")
@@ -201,11 +201,10 @@ class SnapshotTable:
             folder = f"{VERSION_FOLDER}={version}-{uuid.uuid4().hex[:12]}"
             target = f"{self.root}/data/{folder}"
             rows, seen = self._checked(rows.select(*[F.col(f"`{n}`") for n in schema.names]), constraints)
-            if partition_by:
+            if partition_by and gather:
                 # Gather each partition in few files; one too large for a task is split.
-                rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
-            else:
-                rows.write.parquet(target)
+                rows = rows.hint("rebalance", *partition_by)
+            rows.write.partitionBy(*partition_by).parquet(target)
             if seen is not None:
                 broken = {k: v for k, v in seen.get.items() if v}
                 if broken:
@@ -276,9 +275,12 @@ class SnapshotTable:
     def create(
         self, df: DataFrame, partition_by: list[str] | None = None, constraints: dict[str, str] | None = None,
         generated: dict[str, str] | None = None, comment: str | None = None, tag: str | None = None, index_by: list[str] | None = None,
+        gather: bool = True,
     ) -> int:
         """Create the table, or replace its contents, schema and rules.
 
+        Rows of a partition are gathered in few files by a shuffle; without ``gather`` each task writes its own.
+
         ``index_by`` names the key of later merges: each file's smallest and largest key and a Bloom filter of its
         keys are kept beside the data, so that a merge reads only files that may hold a key of its source.
         """
@@ -286,7 +288,7 @@ class SnapshotTable:
         previous = self._entry() if self.exists() else None
         return self._commit(
             "CREATE OR REPLACE", df, [], df.schema, previous=previous, partition_by=partition_by,
-            constraints=constraints, generated=generated, comment=comment, tag=tag, index_by=index_by,
+            constraints=constraints, generated=generated, comment=comment, tag=tag, index_by=index_by, gather=gather,
         )
 
     def overwrite(self, df: DataFrame, allow_missing: bool = False, tag: str | None = None) -> int:

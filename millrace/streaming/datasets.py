@@ -193,7 +193,7 @@ class Datasets:
         else:
             table, rules = SnapshotTable(self.spark, self.path(d.name)), bool(d.expectations)
             rows = quality.judged(source, d.expectations) if rules else source
-            version = table.create(rows, comment=d.comment, partition_by=[quality.VERDICT, quality.BROKEN] if rules else None)
+            version = table.create(rows, comment=d.comment, partition_by=[quality.VERDICT, quality.BROKEN] if rules else None, gather=False)
             if rules:
                 # The parts' names tell the rules, and their rows come from the footers.
                 found: dict[str, int] = {}
