@@ -27,7 +27,7 @@ def _positions(keys: list[str], bits: Column) -> Column:
 
 
 def write(rows: DataFrame, keys: list[str], counts: dict[str, int], path: str) -> None:
-    """Index new files: ``rows`` holds their keys and ``__part``, ``counts`` the rows of each part."""
+    """Index new files: ``rows`` holds their keys and ``__part``, the file; ``counts`` the rows of each file."""
     spark = rows.sparkSession
     lows = [F.min(k).alias(f"low_{i}") for i, k in enumerate(keys)]
     highs = [F.max(k).alias(f"high_{i}") for i, k in enumerate(keys)]
@@ -44,7 +44,7 @@ def _is_set(bitmap: Column, at: Column) -> Column:
 
 
 def candidates(spark: SparkSession, folders: list[str], asked: DataFrame, keys: list[str], files: int, null_safe: bool = False) -> set[str]:
-    """Labels of the parts that may hold one of the asked keys. Collects at most one label for each file."""
+    """The files that may hold one of the asked keys. Collects at most one name for each file."""
     if not folders:
         return set()
     ranges = spark.read.parquet(*[f"{f}/ranges" for f in folders])

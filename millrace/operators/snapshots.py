@@ -15,6 +15,7 @@ before its history row leaves a folder that no version names.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections import Counter
 from datetime import datetime, timedelta, timezone
@@ -44,6 +45,11 @@ def folder_of(part) -> str:
     return part["path"].rpartition("/")[0]
 
 
+def _without_scheme(file: str) -> str:
+    """A file's URL-encoded path without scheme and host."""
+    return re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", file)
+
+
 def partition_of(part) -> str:
     """The partition values of a part, as they stand in its path."""
     return folder_of(part).partition("/")[2]
@@ -143,7 +149,7 @@ class SnapshotTable:
         for root, paths in self._paths(parts).items():
             df = self.spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*[f"{root}/data/{p}" for p in paths])
             if with_part:
-                extra = [self._part_of_file(root).alias("__part")]
+                extra = [F.col("_metadata.file_path").alias("__part")]
             frames.append(df.select(*[F.col(f"`{n}`") for n in schema.names], *extra))
         return reduce(DataFrame.unionByName, frames)
 
@@ -159,11 +165,12 @@ class SnapshotTable:
             out.setdefault(root, []).extend([folder] if whole else [p["path"] for p in members])
         return out
 
-    def _part_of_file(self, root: str) -> Column:
-        """Label of the part a row was read from; equals :meth:`_part_label` of that part."""
-        path = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "")
-        inside = F.substring(path, len(storage.raw_path(self.spark, f"{root}/data")) + 2, 1_000_000)
-        return F.concat(F.lit(f"{root}|"), inside)
+    def _among(self, parts: list[dict], files) -> tuple[list[dict], list[dict]]:
+        """Parts that are, and are not, among files named as in ``_metadata.file_path``."""
+        inside = {_without_scheme(f) for f in files}
+        roots = {root: storage.raw_path(self.spark, f"{root}/data") for root in {p["root"] for p in parts}}
+        met = [f"{roots[p['root']]}/{p['uri']}" in inside for p in parts]
+        return [p for p, m in zip(parts, met) if m], [p for p, m in zip(parts, met) if not m]
 
     @staticmethod
     def _part_label(part) -> str:
@@ -210,12 +217,13 @@ class SnapshotTable:
                 if broken:
                     storage.delete(self.spark, target)
                     raise ConstraintViolated(f"{operation} on {self.root} violates {broken}")
-            new_parts = self._written_parts(folder, schema)
+            rows_of = self._rows_of_files(folder, schema)
+            new_parts = self._parts_of_files(rows_of)
             if not new_parts:
                 storage.delete(self.spark, target)
             if index_by and new_parts:
                 written = self._read_parts(new_parts, schema, True).select(*index_by, "__part")
-                keyindex.write(written, index_by, {self._part_label(p): p["rows"] for p in new_parts}, f"{self.root}/index/{folder}")
+                keyindex.write(written, index_by, rows_of, f"{self.root}/index/{folder}")
         if replace_partitions:
             written = {partition_of(p) for p in new_parts}
             keep = [p for p in keep if partition_of(p) not in written]
@@ -241,11 +249,14 @@ class SnapshotTable:
             raise
         return version
 
-    def _written_parts(self, folder: str, schema: T.StructType) -> list[dict]:
-        """One part for each file that was written, with rows. Counts come from footers: exact even if tasks were retried."""
+    def _rows_of_files(self, folder: str, schema: T.StructType) -> dict[str, int]:
+        """The files that were written, with their rows. Counts come from footers: exact even if tasks were retried."""
         found = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(f"{self.root}/data/{folder}")
-        counts = found.select(self._part_of_file(self.root).alias("part")).groupBy("part").count().collect()
-        uris = {r["part"][len(self.root) + 1 :]: r["count"] for r in counts}
+        return {r["file"]: r["count"] for r in found.groupBy(F.col("_metadata.file_path").alias("file")).count().collect()}
+
+    def _parts_of_files(self, rows_of: dict[str, int]) -> list[dict]:
+        start = len(storage.raw_path(self.spark, f"{self.root}/data")) + 1
+        uris = {_without_scheme(f)[start:]: n for f, n in rows_of.items()}
         parts = [{"root": self.root, "path": unquote(uri), "uri": uri, "rows": n} for uri, n in sorted(uris.items())]
         siblings = Counter(folder_of(p) for p in parts)
         return [{**p, "files": siblings[folder_of(p)]} for p in parts]
@@ -318,9 +329,7 @@ class SnapshotTable:
 
     def _split(self, entry, touched: DataFrame) -> tuple[list, list]:
         """Parts with and without a row in ``touched`` (a frame with a ``__part`` column)."""
-        hit = {r["__part"] for r in touched.select("__part").distinct().collect()}
-        labels = [(self._part_label(p), p) for p in entry["parts"]]
-        return [p for label, p in labels if label in hit], [p for label, p in labels if label not in hit]
+        return self._among(entry["parts"], [r["__part"] for r in touched.select("__part").distinct().collect()])
 
     def update(self, condition: Column | str, set: dict[str, Column | str]) -> int:
         entry = self._entry()
@@ -393,7 +402,7 @@ class SnapshotTable:
         asked = staged.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in keys])
         folders = sorted({f"{p['root']}/index/{p['path'].partition('/')[0]}" for p in entry["parts"]})
         found = keyindex.candidates(self.spark, folders, asked, keys, len(entry["parts"]), null_safe)
-        return [p for p in entry["parts"] if self._part_label(p) in found]
+        return self._among(entry["parts"], found)[0]
 
     def replace_parts(self, old: list[dict], rows: DataFrame | None, operation: str = "REWRITE", tag: str | None = None) -> int:
         """Put ``rows`` in the place of some parts of the newest version; the others stay as they are."""
