@@ -36,6 +36,9 @@ HISTORY_SCHEMA = (
     "constraints map<string,string>, generated map<string,string>, comment string, tag string, tags map<string,long>, index_by array<string>"
 )
 
+# Rows of one sort when a compaction puts many into a file, and the most sorts of one compaction.
+SORT_ROWS, MOST_SORTS = 1_000_000, 256
+
 # Spark reads this folder level as a column, so no table may have a column of this name.
 VERSION_FOLDER = "millrace_version"
 
@@ -444,9 +447,12 @@ class SnapshotTable:
         follow a curve over the ranks of their keys, and a range of any key lies in few files. A row number
         breaks ties, so that a key with very many rows still spreads over files. Without keys and file
         count, adaptive execution sizes the files.
+
+        A file of many rows is sorted in stretches of about ``SORT_ROWS`` rows, each by a task, and then written from
+        them in their order. So a task's memory does not grow with the file.
         """
         entry = self._entry()
-        df = self.read()
+        df, staging, sorts = self.read(), None, 1
         if cluster_by:
             df = df.withColumn("__row", F.monotonically_increasing_id())
             keys = [F.col(k) for k in cluster_by]
@@ -454,13 +460,35 @@ class SnapshotTable:
                 df = df.withColumn("__along", curve.curve(self.read(), cluster_by, entry["row_count"]))
                 keys = [F.col("__along")]
             order = [*keys, F.col("__row")]
-            df = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+            if files and not entry["partition_by"]:  # rows of a partitioned table are gathered anew
+                sorts = max(1, min(-(-entry["row_count"] // (files * SORT_ROWS)), MOST_SORTS // files))
+            df = df.repartitionByRange(files * sorts, *order) if files else df.repartitionByRange(*order)
             df = df.sortWithinPartitions(*keys).drop("__row", "__along")
+            if sorts > 1:
+                staging = f"{self.root}/staging/{entry['version'] + 1}-{uuid.uuid4().hex[:12]}"
+                df = self._strung(df, files, staging)
         elif files:
             df = df.repartition(files)
         else:
             df = df.hint("rebalance")
-        return self._again(entry, "OPTIMIZE", df, [])
+        try:
+            return self._again(entry, "OPTIMIZE", df, [])
+        finally:
+            if staging:
+                storage.delete(self.spark, staging)
+
+    def _strung(self, df: DataFrame, files: int, path: str) -> DataFrame:
+        """The frame's partitions, written in ``path``, as ``files`` partitions that each read neighbouring ones in their order."""
+        df.write.parquet(path)
+        names = sorted(n for n in storage.file_names(self.spark, path) if n.startswith("part-"))
+        read = self.spark.read.schema(df.schema)
+        strung = []
+        for i in range(files):
+            some = [read.parquet(f"{path}/{n}") for n in names[len(names) * i // files : len(names) * (i + 1) // files]]
+            if some:
+                strung.append(reduce(DataFrame.union, some).coalesce(1))
+        # A union of single partitions alone would be one partition; this reads no file.
+        return reduce(DataFrame.union, strung, read.option("pathGlobFilter", "none").parquet(path))
 
     def repartition(self, files: int) -> int:
         entry = self._entry()

@@ -199,6 +199,28 @@ def test_compaction_spreads_a_hot_key(spark, folder):
     assert t.read().count() == 20000 and largest < 10000
 
 
+def test_compaction_sorts_large_files_in_stretches(spark, folder, monkeypatch):
+    """A task sorts no more than a stretch of a file, and the files are as if each had been sorted whole."""
+    t, sorted_by_a_task = SnapshotTable(spark, folder), []
+
+    def delete(spark, path, real=storage.delete):
+        files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()
+        sorted_by_a_task.extend(r["count"] for r in files)
+        return real(spark, path)
+
+    t.create(spark.range(20000).selectExpr("nullif(id * 7919 % 5000, 0) AS k", "id").repartition(20))
+    monkeypatch.setattr("millrace.operators.snapshots.SORT_ROWS", 1000, raising=False)
+    monkeypatch.setattr(storage, "delete", delete)
+    t.compact(["k"], files=4)
+    assert rows(t.read().select("id")) == [(i,) for i in range(20000)]
+    assert len(sorted_by_a_task) > 16 and max(sorted_by_a_task) < 2500 and not storage.file_names(spark, f"{folder}/staging")
+    ranges = sorted((r["low_k"], r["high_k"], r["rows"]) for r in t.file_ranges(["k"]).collect())
+    assert len(ranges) == 4 and max(r[2] for r in ranges) < 8000 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    for part in t.parts():
+        keys = [r["k"] for r in t.read_parts([part]).coalesce(1).collect()]
+        assert keys == sorted(keys, key=lambda k: (k is not None, k))
+
+
 def test_second_writer_of_a_version_is_refused(spark, students):
     entry = students._entry()
     students.append(spark.createDataFrame([(77, "Z", 1.0)], STUDENT))
