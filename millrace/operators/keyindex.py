@@ -63,10 +63,11 @@ def candidates(spark: SparkSession, folders: list[str], asked: DataFrame, keys:
     sizes = [r["bits"] for r in filters.select("bits").distinct().collect()]  # powers of two: a few
     tests = distinct.select(F.xxhash64(*keys).alias("key"), F.explode(F.array(*[F.struct(F.lit(b).cast("long").alias("bits"), _positions(keys, F.lit(b).cast("long")).alias("at")) for b in sizes])).alias("t"))
     tests = tests.select("key", "t.bits", F.explode("t.at").alias("at")).withColumn("piece", F.floor(F.col("at") / PIECE).cast("long"))
-    met = tests.join(filters, ["bits", "piece"]).filter(_is_set(F.col("bitmap"), F.col("at") % PIECE))
+    # Shuffled joins: both the filters and what is asked grow with their tables, and a broadcast passes through the driver.
+    met = tests.join(filters.hint("merge"), ["bits", "piece"]).filter(_is_set(F.col("bitmap"), F.col("at") % PIECE))
     whole = met.groupBy("__part", "key").agg(F.count_distinct("at").alias("met"))
     # Two of a key's places may be one.
     wanted = tests.groupBy("key", "bits").agg(F.count_distinct("at").alias("asked"))
     sized = filters.select("__part", "bits").distinct()
-    hits = whole.join(sized, "__part").join(wanted, ["key", "bits"]).filter("met = asked").select("__part").distinct()
+    hits = whole.join(sized, "__part").join(wanted.hint("merge"), ["key", "bits"]).filter("met = asked").select("__part").distinct()
     return near & {r["__part"] for r in hits.collect()}

@@ -45,6 +45,17 @@ def _as_column(value: Column | str | None) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
+MOST_SENT = 100_000  # rows of a source that may be broadcast; a small file can hold very many
+
+
+def for_joins(source: DataFrame) -> DataFrame:
+    """The source as joins should take it: Spark may broadcast a small one, a large one is shuffled.
+
+    Spark's own check goes by the size of files, and rows of few bytes take many times as much on the driver.
+    """
+    return source.hint("merge") if source.limit(MOST_SENT + 1).count() > MOST_SENT else source
+
+
 def _same_key(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
     def same(k: str) -> Column:
         a, b = F.col(f"{left}.{k}"), F.col(f"{right}.{k}")

@@ -381,6 +381,7 @@ class SnapshotTable:
         staging = f"{self.root}/staging/{entry['version'] + 1}-{uuid.uuid4().hex[:12]}"
         staged = self._staged(source, f"{staging}/source")
         near = self._may_hold(entry, staged, keys, null_safe)
+        staged = M.for_joins(staged)
         everything = self._read_parts(near, schema, True)
         known = self._staged(M.known_keys(everything, staged, keys, null_safe, also=["__part"]), f"{staging}/known")
         hit, keep, survivors = [], list(entry["parts"]), None

@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.merge import DuplicateSourceRows, when_matched_delete, when_matched_update, when_not_matched_insert
 from millrace import storage
+from millrace.operators import merge
 from millrace.operators.snapshots import ConstraintViolated, SchemaMismatch, SnapshotTable, with_generated
 
 STUDENT = "id int, name string, value double"
@@ -334,3 +336,49 @@ def test_appends_widen_the_schema(spark, folder):
     assert sorted((r.a, r.s.x, r.s.y, r.b) for r in t.read().collect()) == [(1, 2, None, None), (3, 4, "y", 0.5)]
     with pytest.raises(SchemaMismatch):
         t.append(spark.createDataFrame([("x",)], "a string"), evolve=True)
+
+
+def test_a_merge_of_many_rows_broadcasts_neither_them_nor_filters(spark, folder, monkeypatch):
+    """What a broadcast holds passes through the driver; small files can hold very many rows."""
+    plans, joined = [], []
+
+    def collect(df, real=type(spark.range(1)).collect):
+        found = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    def matched_rows(*args, real=merge.matched_rows):
+        df = real(*args)
+        joined.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    t = SnapshotTable(spark, folder)
+    t.create(spark.range(0, 4000, 1, 4).selectExpr("id AS k", "0 AS v"), index_by=["k"])
+    monkeypatch.setattr(merge, "MOST_SENT", 100, raising=False)
+    monkeypatch.setattr(merge, "matched_rows", matched_rows)
+    monkeypatch.setattr(type(spark.range(1)), "collect", collect)
+    source = spark.range(0, 8000, 4).selectExpr("if(id % 8 = 0, id, id + 100000) AS k", "1 AS v")
+    t.merge(source, "k", [when_matched_update(), when_not_matched_insert()])
+    tests = [p for p in plans if "bitmap" in p and "Join" in p]
+    assert tests and not any(re.search(r"BroadcastHashJoin \[(bits|key|piece)", p) for p in tests)
+    assert "SortMergeJoin" in joined[0] and "BroadcastHashJoin" not in joined[0]
+    monkeypatch.undo()
+    want = [(k, int(k % 8 == 0)) for k in range(4000)] + [(k, 1) for k in range(4000, 8000, 8)] + [(k + 100000, 1) for k in range(4, 8000, 8)]
+    assert rows(t.read()) == sorted(want)
+    t.merge(spark.createDataFrame([(1, 9)], "k long, v int"), "k", [when_matched_update()])
+    assert rows(t.read().filter("k = 1")) == [(1, 9)]
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_large_and_small_sources_are_joined_alike(spark, folder, monkeypatch, many):
+    """Null keys, keys in common and repeated ones, by either join."""
+    monkeypatch.setattr(merge, "MOST_SENT", 0 if many else 100_000, raising=False)
+    t = SnapshotTable(spark, folder)
+    t.create(spark.createDataFrame([(None, "a"), (1, "b"), (2, "c"), (2, "d"), (3, "e")], "k long, v string"), index_by=["k"])
+    source = spark.createDataFrame([(None, "A"), (2, "C"), (4, "D"), (4, "E")], "k long, v string")
+    t.merge(source, "k", [when_matched_update(), when_not_matched_insert()])
+    assert sorted(map(tuple, t.read().collect()), key=str) == sorted([(None, "a"), (None, "A"), (1, "b"), (2, "C"), (2, "C"), (3, "e"), (4, "D"), (4, "E")], key=str)
+    with pytest.raises(DuplicateSourceRows):
+        t.merge(source, "k", [when_matched_update()])
+    t.merge(source.limit(1), "k", [when_matched_delete()], null_safe=True)
+    assert t.read().filter("k IS NULL").count() == 0
