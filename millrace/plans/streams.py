@@ -390,7 +390,7 @@ PAIRED = f"select c.user_id, c.event_id as click, b.event_id as buy from (select
 def st_stream_interval_join(spark, sf):
     """Two streams joined by user where a purchase lies near a click in time; what has passed leaves the state."""
     clicks, buys = clicks_and_buys(spark, sf)
-    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour")
+    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour", long_batches=True)
     return run(spark, near.select("user_id", "click", "buy")).filter(F.col("user_id") != MARK)
 
 
@@ -398,7 +398,7 @@ def st_stream_interval_join(spark, sf):
 def st_stream_interval_left(spark, sf):
     """The same with clicks that no purchase followed, put out when none can come any more."""
     clicks, buys = clicks_and_buys(spark, sf)
-    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour", how="left")
+    near = interval_join(clicks, buys, ["user_id"], "clicked", "bought", "1 hour", "1 day", "1 hour", "1 hour", how="left", long_batches=True)
     return run(spark, near.select("user_id", "click", "buy")).filter(F.col("user_id") != MARK)
 
 

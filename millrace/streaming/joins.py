@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def enrich_stream(stream: DataFrame, other: DataFrame, keys: list[str], salts: int = 1) -> DataFrame:
@@ -24,7 +27,7 @@ def enrich_stream(stream: DataFrame, other: DataFrame, keys: list[str], salts: i
 
 def interval_join(
     left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, before: str, after: str,
-    left_late: str = "0 seconds", right_late: str = "0 seconds", how: str = "inner",
+    left_late: str = "0 seconds", right_late: str = "0 seconds", how: str = "inner", long_batches: bool = False,
 ) -> DataFrame:
     """Rows of two streams with equal keys whose times lie near: right from ``before`` its left row to ``after`` it.
 
@@ -34,6 +37,11 @@ def interval_join(
     ``before`` + ``after`` and the lateness of rows, however long the streams run. Null keys meet nothing. The columns
     are those of left, then those of right without the keys; other names have to differ. Batches are
     joined alike.
+
+    A batch compares all rows of a key that it or the state holds. If batches span much more time than the range, as
+    when catching up, set ``long_batches``: times are cut into stretches as long as the range, a left row is held in its own,
+    a right row in the two that can hold its partners, and only rows of one stretch are compared. A busy key's rows then
+    spread over tasks; the state has its right rows twice. Ranges in months and other times than timestamps go without.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"an interval join is inner or left, not {how}")
@@ -44,6 +52,31 @@ def interval_join(
     left = left.withWatermark(left_time, left_late) if left.isStreaming else left
     right = (right.withWatermark(right_time, right_late) if right.isStreaming else right).withColumnsRenamed(renamed)
     near = (F.col(right_time) >= F.col(left_time) - F.expr(f"INTERVAL {before}")) & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {after}"))
+    micros = _micros(left, right, left_time, right_time, before, after) if long_batches else None
+    if micros and sum(micros) > 0:
+        left = left.withColumn("__stretch", _stretch(left_time, 0, sum(micros)))
+        first, last = _stretch(right_time, -micros[1], sum(micros)), _stretch(right_time, micros[0], sum(micros))
+        right = right.withColumn("__right_stretch", F.explode(F.sequence(first, last)))
+        keys, renamed = [*keys, "__stretch"], renamed | {"__stretch": "__right_stretch"}
     for k in keys:
         near = near & (F.col(k) == F.col(renamed[k]))
-    return left.join(right, near, how).drop(*renamed.values())
+    return left.join(right, near, how).drop("__stretch", *renamed.values())
+
+
+def _micros(left: DataFrame, right: DataFrame, left_time: str, right_time: str, before: str, after: str) -> list[int] | None:
+    """Microseconds before and after, if they bound the range at any time."""
+    if {left.schema[left_time].dataType, right.schema[right_time].dataType} != {T.TimestampType()}:
+        return None
+    spark = left.sparkSession
+    both = spark.sql(f"SELECT INTERVAL {before} AS before, INTERVAL {after} AS after")
+    if not all(isinstance(f.dataType, T.DayTimeIntervalType) for f in both.schema.fields):
+        return None
+    sides = list(both.first())
+    # Days are those of the session's zone, where one may be longer or shorter.
+    by_day = spark.conf.get("spark.sql.session.timeZone") != "UTC" and any(abs(x) >= timedelta(days=1) for x in sides)
+    return [(x + timedelta(days=int(by_day))) // timedelta(microseconds=1) for x in sides]
+
+
+def _stretch(time: str, later: int, length: int) -> Column:
+    """The number of the stretch of a time, or of one some microseconds later."""
+    return F.floor((F.unix_micros(F.col(time)) + F.lit(later).cast("long")) / F.lit(length)).cast("long")

@@ -258,3 +258,39 @@ def test_interval_join_checks_its_arguments(spark):
     with pytest.raises(ValueError, match="inner or left"):
         interval_join(a, b.drop("x"), ["k"], "t", "u", "1 hour", "1 hour", how="full")
     assert interval_join(a, b.drop("x"), ["k"], "t", "u", "1 hour", "1 hour").columns == ["k", "t", "x", "u"]
+
+
+def test_a_batch_compares_rows_near_in_time_only(spark, folder):
+    """One busy key whose batch spans much more time than the range: its rows spread over tasks, at the ends of stretches too."""
+    def stream(name, times):
+        frame = spark.createDataFrame([(1, i, START + timedelta(minutes=m)) for i, m in enumerate(times)] + [(1, -1, None), (None, -2, START)], f"k long, {name} long, {name}_at timestamp")
+        frame.coalesce(1).write.parquet(f"{folder}/{name}")
+        return spark.readStream.schema(frame.schema).parquet(f"{folder}/{name}"), frame
+
+    (left, all_left), (right, all_right) = stream("l", range(0, 3000, 7)), stream("r", range(0, 3000, 5))
+    joined = interval_join(left, right, ["k"], "l_at", "r_at", "10 minutes", "20 minutes", long_batches=True)
+    assert joined.columns == ["k", "l", "l_at", "r", "r_at"]
+    got = []
+    joined.withColumn("task", F.spark_partition_id()).writeStream.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).foreachBatch(lambda b, _: got.extend(b.collect())).start().awaitTermination()
+    want = sorted((i, j) for i, a in enumerate(range(0, 3000, 7)) for j, b in enumerate(range(0, 3000, 5)) if -10 <= b - a <= 20)
+    assert sorted((r.l, r.r) for r in got) == want and len({r.task for r in got}) > 4
+    for before, after in (("10 minutes", "20 minutes"), ("-5 minutes", "20 minutes"), ("1 day", "0 days"), ("0 hours", "1 month")):
+        near = f"r_at >= l_at - interval {before} and r_at <= l_at + interval {after}"
+        for how in ("inner", "left"):
+            plain = all_left.alias("a").join(all_right.alias("b"), F.expr(f"a.k = b.k and {near}"), how).select("l", "r")
+            found = interval_join(all_left, all_right, ["k"], "l_at", "r_at", before, after, how=how, long_batches=True).select("l", "r")
+            assert plain.exceptAll(found).isEmpty() and found.exceptAll(plain).isEmpty()
+
+
+def test_days_of_a_zone_lose_no_pair(spark):
+    """A day that the clock makes an hour longer or shorter."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        times = spark.range(0, 96 * 12).selectExpr("id", "timestamp'2024-03-08 12:00:00' + make_dt_interval(0, 0, id * 5) AS t")
+        left, right = times.selectExpr("1 AS k", "id AS l", "t AS l_at"), times.filter("id % 7 = 0").selectExpr("1 AS k", "id AS r", "t AS r_at")
+        plain = left.alias("a").join(right.alias("b"), F.expr("a.k = b.k and r_at >= l_at - interval 1 hour and r_at <= l_at + interval 1 day")).select("l", "r")
+        found = interval_join(left, right, ["k"], "l_at", "r_at", "1 hour", "1 day", long_batches=True).select("l", "r")
+        assert plain.exceptAll(found).isEmpty() and found.exceptAll(plain).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
