@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import os
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import neighbours, repeats, similar
 from millrace.llm.graphs import components
+from millrace.session import Steps, scratch
 
 
 def brute(rows, wanted, top):
@@ -110,6 +112,32 @@ def test_similar_equals_brute_force(spark, monkeypatch, few, stars):
     assert got == brute_components(texts)
 
 
+def left(spark):
+    """Labels of the folders that steps have left in the shared folder."""
+    base = os.path.dirname(scratch(spark, "x"))
+    return collections.Counter(x.rpartition("-")[0] for x in os.listdir(base)) if os.path.isdir(base) else collections.Counter()
+
+
+@pytest.mark.parametrize("pairs, rows", [(250_000, 20_000_000), (3, 50)])
+def test_similar_leaves_its_result_alone(spark, monkeypatch, pairs, rows):
+    monkeypatch.setattr(similar, "PAIRS_AT_ONCE", pairs)
+    monkeypatch.setattr(similar, "ROWS_AT_ONCE", rows)
+    texts = [(7 * g + k, " ".join(f"g{g}w{i}" for i in range(60 + k))) for g in range(9) for k in range(1 + g % 5)]
+    before = left(spark)
+    got = similar.similar(spark.createDataFrame(texts, "doc_id long, text string").repartition(3))
+    assert {k.removeprefix("/"): n for k, n in (left(spark) - before).items()} == {"similar": 1}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(texts)
+
+
+def test_steps_end_with_their_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with Steps(spark) as steps:
+        df = steps.written(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test-steps")
+        assert df.count() == 7 and len(steps.paths) == 1 and os.path.isdir(steps.paths[0])
+    assert not os.path.exists(steps.paths[0]) and spark.conf.get(key, None) == before
+
+
 def test_similar_on_a_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar.similar(docs).collect()}
