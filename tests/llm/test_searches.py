@@ -129,6 +129,44 @@ def test_similar_leaves_its_result_alone(spark, monkeypatch, pairs, rows):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(texts)
 
 
+def test_tokens_of_the_same_entries_are_one_cell(spark):
+    rows = [(t, e, e % 5, 40) for t in range(1, 21) for e in range(100, 142) if (t + e) % 21 > 1]  # a family, two of 42 missing at each token
+    rows += [(t, e, e, 34) for t in range(31, 34) for e in (500, *range(1000 * t, 1000 * t + 33))]  # tokens that share one entry
+    with Steps(spark) as steps:
+        got = similar._cells(spark.createDataFrame(rows, "token long, entry long, group long, __count long"), steps).collect()
+    cells = collections.defaultdict(dict)
+    for r in got:
+        assert r.entry not in cells[r.cell]
+        cells[r.cell][r.entry] = r.group
+    family = [c for c in cells.values() if min(c) < 500]
+    assert len(family) <= 8 and set().union(*family) == set(range(100, 142)) and all(g == e % 5 for c in family for e, g in c.items())
+    met = {(c, e) for c, m in cells.items() for e in m}
+    for t in {r[0] for r in rows}:  # the entries of a token are together somewhere
+        assert any({e for k, e, *_ in rows if k == t} <= set(m) for m in cells.values())
+    assert len(met) < len(rows) / 2 + 3 * 34 and sum(500 in m for m in cells.values()) in (1, 2, 3)
+
+
+def test_opened_cells_find_what_all_pairs_find():
+    rng = np.random.default_rng(12)
+    for two in (False, True):
+        base = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (40, 130, 135, 300)]
+        sets = [np.unique(np.concatenate((b[rng.random(len(b)) > p], rng.integers(0, 1 << 63, int(len(b) * p), dtype=np.uint64)))) for b in base for p in rng.uniform(0, 0.14, 25)]
+        ids, groups = rng.permutation(len(sets)) + 5, np.arange(len(sets)) // 2
+        blocks = rng.integers(0, 2, len(sets)) if two else np.zeros(len(sets), int)
+        pairs = {(int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))) for i in range(len(sets)) for k in range(i) if not (two and blocks[i] == blocks[k]) and similar.linked(sets[i], sets[k], 80)}
+        got = list(similar.opened(ids, groups, blocks, sets, [similar.bitmap(x) for x in sets], 80))
+        group = dict(zip(ids.tolist(), groups.tolist()))
+
+        def parts(links):
+            at = {g: g for g in group.values()}
+            for a, b in links:
+                x, y = at[group[a]], at[group[b]]
+                at = {g: min(x, y) if v in (x, y) else v for g, v in at.items()}
+            return at
+
+        assert set(got) <= pairs and parts(got) == parts(pairs) and len(got) < len(pairs)
+
+
 def test_steps_end_with_their_files(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
